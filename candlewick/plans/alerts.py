@@ -51,7 +51,7 @@ def alert_message(window: str = WINDOW) -> Column:
     return F.format_string(
         f"ALERT: %s price changed by %.2f%% in last {minutes} minutes (%s -> %s)",
         F.col("symbol"),
-        F.col("price_change_pct"),
+        F.bround("price_change_pct", 2),  # ties to even, as %.2f does elsewhere
         F.col("old_price").cast("string"),
         F.col("new_price").cast("string"),
     )

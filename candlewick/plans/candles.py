@@ -47,13 +47,12 @@ def candles_by(ticks: DataFrame, keys: tuple[str, ...] = ("symbol", "exchange"),
 
 
 def trade_statistics() -> list[Column]:
-    price = F.col("price").cast("double")
     return [
         *ohlc(),
         F.sum("volume").alias("volume"),
         F.count("*").alias("num_trades"),
-        F.avg(price).alias("avg_price"),
-        F.stddev_samp(price).alias("price_stddev"),
+        F.avg("price").alias("avg_price"),
+        F.stddev_samp(F.col("price").cast("double")).alias("price_stddev"),
     ]
 
 

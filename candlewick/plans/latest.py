@@ -13,7 +13,7 @@ def _statistics() -> list[Column]:
     return [
         F.min("price").alias("min_price_24h"),
         F.max("price").alias("max_price_24h"),
-        F.avg(F.col("price").cast("double")).alias("avg_price_24h"),
+        F.avg("price").alias("avg_price_24h"),
         F.sum("volume").alias("volume_24h"),
         F.count("*").alias("updates_24h"),
     ]
@@ -63,7 +63,7 @@ def latest_prices(stg: DataFrame, as_of=None) -> DataFrame:
         F.min_by("price", near).alias("price_24h_ago"),
         F.min(daily("price")).alias("min_price_24h"),
         F.max(daily("price")).alias("max_price_24h"),
-        F.avg(daily("price").cast("double")).alias("avg_price_24h"),
+        F.avg(daily("price")).alias("avg_price_24h"),
         F.sum(daily("volume")).alias("volume_24h"),
         F.count_if(in_day).alias("updates_24h"),
     )

@@ -318,11 +318,10 @@ def validation_summary(
 
 def quality_report(candles: DataFrame, lookback: str = "24 hours", as_of=None) -> DataFrame:
     """Close-price statistics per symbol."""
-    close = F.col("close").cast("double")
     return recent(candles, "period_start", lookback, as_of).groupBy("symbol").agg(
         F.count("*").alias("data_points"),
-        F.avg(close).alias("avg_price"),
-        F.stddev_samp(close).alias("price_stddev"),
+        F.avg("close").alias("avg_price"),
+        F.stddev_samp(F.col("close").cast("double")).alias("price_stddev"),
         F.min("close").alias("min_price"),
         F.max("close").alias("max_price"),
         F.sum("total_volume").alias("total_volume"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions.times import as_of_column, plus, seconds_between
@@ -14,8 +14,10 @@ def _since(df: DataFrame, column: str, lookback: str, as_of) -> DataFrame:
     return df.filter(F.col(column) >= plus(as_of_column(as_of), lookback, -1))
 
 
-def _r(column: str, digits: int = 2):
-    return F.round(F.col(column), digits)
+def _r(column: Column | str, digits: int = 2) -> Column:
+    """Rounded as an exact decimal, so that halves always go up."""
+    value = F.col(column) if isinstance(column, str) else column
+    return F.round(value.cast("decimal(38,12)"), digits)
 
 
 def current_prices(latest: DataFrame) -> DataFrame:
@@ -87,9 +89,9 @@ def average_spreads(summary: DataFrame, lookback: str = "1 hour", as_of=None) ->
         .groupBy("symbol")
         .agg(
             F.count("*").alias("windows"),
-            F.round(F.avg("avg_spread"), 4).alias("avg_spread"),
-            F.round(F.avg("avg_spread_pct"), 4).alias("avg_spread_pct"),
-            F.round(F.max("max_spread"), 4).alias("max_spread_seen"),
+            _r(F.avg("avg_spread"), 4).alias("avg_spread"),
+            _r(F.avg("avg_spread_pct"), 4).alias("avg_spread_pct"),
+            _r(F.max("max_spread"), 4).alias("max_spread_seen"),
         )
         .orderBy(F.desc("avg_spread_pct"), "symbol")
     )
@@ -102,12 +104,12 @@ def price_vs_average(latest: DataFrame, summary: DataFrame, lookback: str = "15
         .groupBy("symbol")
         .agg(F.max_by("avg_price", "window_start").alias("avg_price"))
     )
-    price, average = F.col("latest_price").cast("double"), F.col("avg_price")
+    price, average = F.col("latest_price").cast("double"), F.col("avg_price").cast("double")
     return latest.join(newest, "symbol").select(
         "symbol",
         _r("latest_price").alias("current_price"),
         _r("avg_price").alias("window_avg"),
-        F.round((price - average) / average * 100, 2).alias("diff_pct"),
+        _r((price - average) / average * 100).alias("diff_pct"),
     )
 
 
@@ -115,8 +117,8 @@ def daily_statistics(latest: DataFrame) -> DataFrame:
     return latest.agg(
         F.count_distinct("symbol").alias("active_symbols"),
         F.sum("updates_24h").alias("total_updates_24h"),
-        F.round(F.avg("price_change_pct_24h"), 2).alias("avg_change_pct"),
-        F.round(F.sum("volume_24h"), 2).alias("total_volume_24h"),
+        _r(F.avg("price_change_pct_24h")).alias("avg_change_pct"),
+        _r(F.sum("volume_24h")).alias("total_volume_24h"),
     )
 
 
@@ -146,7 +148,7 @@ def irregular_symbols(summary: DataFrame, lookback: str = "2 hours", as_of=None,
         .groupBy("symbol")
         .agg(
             F.count("*").alias("windows_with_data"),
-            F.round(F.avg("update_count"), 2).alias("avg_updates_per_window"),
+            _r(F.avg("update_count")).alias("avg_updates_per_window"),
             F.min("update_count").alias("min_updates"),
             F.max("update_count").alias("max_updates"),
         )
@@ -222,7 +224,7 @@ def check_prices(ticks: DataFrame) -> DataFrame:
         .agg(
             F.max("time").alias("latest"),
             F.count("*").alias("total"),
-            F.round(F.avg(F.col("price").cast("double")), 2).alias("avg_price"),
+            _r(F.avg("price")).alias("avg_price"),
         )
         .orderBy("symbol")
     )

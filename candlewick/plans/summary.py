@@ -24,21 +24,20 @@ def activity_level(updates):
 def price_summary(stg: DataFrame, as_of=None, width: str = WIDTH) -> DataFrame:
     """26 columns per (window, symbol).
 
-    First and last price are order-based aggregates, so the window is read once. The distinct count makes Spark
+    Averages of prices are exact decimals. First and last price are order-based aggregates, so the window is read once. The distinct count makes Spark
     aggregate per (window, symbol, second) first; the counts are merged afterwards.
     """
-    price = F.col("price").cast("double")
     order = arrival_order()
     grouped = stg.groupBy(bucket_start("time", width).alias("window_start"), "symbol").agg(
         F.min("price").alias("min_price"),
         F.max("price").alias("max_price"),
-        F.avg(price).alias("avg_price"),
-        F.stddev_samp(price).alias("price_stddev"),
+        F.avg("price").alias("avg_price"),
+        F.stddev_samp(F.col("price").cast("double")).alias("price_stddev"),
         F.sum("volume").alias("total_volume"),
-        F.avg(F.col("volume").cast("double")).alias("avg_volume"),
-        F.avg(F.col("bid").cast("double")).alias("avg_bid"),
-        F.avg(F.col("ask").cast("double")).alias("avg_ask"),
-        F.avg(F.col("spread").cast("double")).alias("avg_spread"),
+        F.avg("volume").alias("avg_volume"),
+        F.avg("bid").alias("avg_bid"),
+        F.avg("ask").alias("avg_ask"),
+        F.avg("spread").alias("avg_spread"),
         F.avg("spread_pct").alias("avg_spread_pct"),
         F.max("spread").alias("max_spread"),
         F.count("*").alias("update_count"),

@@ -16,14 +16,18 @@ NOW = "TIMESTAMP '2024-01-31 00:00:00'"
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Decimals and doubles as doubles of six digits, the form both engines agree on."""
-    numeric = (T.DecimalType, T.DoubleType, T.FloatType)
-    return df.select(
-        [
-            F.round(F.col(f"`{f.name}`").cast("double"), 6).alias(f.name) if isinstance(f.dataType, numeric) else f"`{f.name}`"
-            for f in df.schema
-        ]
-    )
+    """Decimals and doubles as doubles of six digits, the form both engines agree on.
+
+    The way over a decimal makes ties round alike, whatever the last bit of a double is.
+    """
+
+    def shown(field: T.StructField):
+        column = F.col(f"`{field.name}`")
+        if not isinstance(field.dataType, (T.DecimalType, T.FractionalType)):
+            return column
+        return F.round(column.cast("decimal(38,12)"), 6).cast("double").alias(field.name)
+
+    return df.select([shown(f) for f in df.schema])
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -78,7 +82,7 @@ PARTS = {
         SELECT time_bucket(INTERVAL 15 MINUTES, time) AS bucket, symbol, exchange,
                first(price ORDER BY time, id) AS open, max(price) AS high, min(price) AS low,
                last(price ORDER BY time, id) AS close, sum(volume) AS volume, count(*) AS num_trades,
-               avg(CAST(price AS DOUBLE)) AS avg_price, stddev_samp(CAST(price AS DOUBLE)) AS price_stddev
+               CAST(avg(price) AS DECIMAL(38,12)) AS avg_price, stddev_samp(CAST(price AS DOUBLE)) AS price_stddev
         FROM log GROUP BY ALL""",
     "latest": f"""
         SELECT l.symbol, l.price AS latest_price, l.volume AS latest_volume, l.bid AS latest_bid, l.ask AS latest_ask,
@@ -94,7 +98,7 @@ PARTS = {
                    FROM stg WHERE time BETWEEN {NOW} - INTERVAL 25 HOURS AND {NOW} - INTERVAL 23 HOURS) h
                ON l.symbol = h.symbol AND h.rn = 1
         LEFT JOIN (SELECT symbol, min(price) AS min_price_24h, max(price) AS max_price_24h,
-                          avg(CAST(price AS DOUBLE)) AS avg_price_24h, sum(volume) AS volume_24h, count(*) AS updates_24h
+                          CAST(avg(price) AS DECIMAL(38,12)) AS avg_price_24h, sum(volume) AS volume_24h, count(*) AS updates_24h
                    FROM stg WHERE time >= {NOW} - INTERVAL 24 HOURS AND time <= {NOW} GROUP BY symbol) s
                ON l.symbol = s.symbol
         WHERE l.rn = 1""",
@@ -107,17 +111,17 @@ PARTS = {
                  AS update_distribution_pct,
                max_price - min_price AS price_range,
                {_PCT.format(a="max_price", b="min_price")} AS price_range_percentage,
-               CASE WHEN avg_price > 0 THEN price_stddev / avg_price * 100 END AS coefficient_of_variation,
+               CASE WHEN avg_price > 0 THEN price_stddev / CAST(avg_price AS DOUBLE) * 100 END AS coefficient_of_variation,
                first_price, last_price, {_PCT.format(a="last_price", b="first_price")} AS period_return_percentage,
                CASE WHEN update_count >= 100 THEN 'Very High' WHEN update_count >= 50 THEN 'High'
                     WHEN update_count >= 20 THEN 'Medium' WHEN update_count >= 5 THEN 'Low' ELSE 'Very Low' END
                  AS activity_level,
                {NOW} AS updated_at
         FROM (SELECT time_bucket(INTERVAL 15 MINUTES, time) AS window_start, symbol, min(price) AS min_price,
-                     max(price) AS max_price, avg(CAST(price AS DOUBLE)) AS avg_price,
+                     max(price) AS max_price, CAST(avg(price) AS DECIMAL(38,12)) AS avg_price,
                      stddev_samp(CAST(price AS DOUBLE)) AS price_stddev, sum(volume) AS total_volume,
-                     avg(CAST(volume AS DOUBLE)) AS avg_volume, avg(CAST(bid AS DOUBLE)) AS avg_bid,
-                     avg(CAST(ask AS DOUBLE)) AS avg_ask, avg(CAST(spread AS DOUBLE)) AS avg_spread,
+                     CAST(avg(volume) AS DECIMAL(38,12)) AS avg_volume, CAST(avg(bid) AS DECIMAL(38,12)) AS avg_bid,
+                     CAST(avg(ask) AS DECIMAL(38,12)) AS avg_ask, CAST(avg(spread) AS DECIMAL(38,12)) AS avg_spread,
                      avg(spread_pct) AS avg_spread_pct, max(spread) AS max_spread, count(*) AS update_count,
                      count(DISTINCT date_trunc('second', time)) AS unique_seconds_with_updates,
                      first(price ORDER BY time, id) AS first_price, last(price ORDER BY time, id) AS last_price
@@ -138,7 +142,7 @@ def sql(body: str, parts: str = "", numbers: str = "") -> str:
     """`body` over the named parts; `numbers` lists the columns to round as `comparable` does."""
     wanted = {p for part in parts.split() for p in [part, *_NEEDS.get(part, [])]}
     ctes = ", ".join(f"{name} AS ({PARTS[name]})" for name in PARTS if name in wanted)
-    rounded = ", ".join(f"round(CAST({n} AS DOUBLE), 6) AS {n}" for n in numbers.split())
+    rounded = ", ".join(f"CAST(round(CAST({n} AS DECIMAL(38,12)), 6) AS DOUBLE) AS {n}" for n in numbers.split())
     outer = f"SELECT * REPLACE ({rounded}) FROM ({body}) AS result" if rounded else body
     return f"WITH {ctes} {outer}" if ctes else outer
 

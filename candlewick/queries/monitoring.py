@@ -339,7 +339,7 @@ def validation_summary(spark, sf_dir):
 @query(
     "quality_report",
     sql(
-        f"""SELECT symbol, count(*) AS data_points, avg(CAST(close AS DOUBLE)) AS avg_price,
+        f"""SELECT symbol, count(*) AS data_points, CAST(avg(close) AS DECIMAL(38,12)) AS avg_price,
                    stddev_samp(CAST(close AS DOUBLE)) AS price_stddev, min(close) AS min_price, max(close) AS max_price,
                    sum(total_volume) AS total_volume FROM candles WHERE period_start {_SINCE} GROUP BY 1""",
         "candles",

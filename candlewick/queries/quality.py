@@ -144,7 +144,7 @@ def _ranges_sql(source: str, key: str, order_key: str) -> str:
     return f"""
         SELECT {head}lower_bound, upper_bound, next_lower_bound, count(*) AS failures FROM (
           SELECT *, lead(lower_bound) OVER ({partition} ORDER BY lower_bound, upper_bound) AS next_lower_bound,
-                 row_number() OVER ({partition} ORDER BY lower_bound DESC, upper_bound DESC) = 1 AS is_last
+                 lead(1) OVER ({partition} ORDER BY lower_bound, upper_bound) IS NULL AS is_last
           FROM ({source}))
         WHERE NOT (coalesce(lower_bound < upper_bound, false)
                    AND coalesce(upper_bound <= next_lower_bound, is_last, false))

@@ -11,7 +11,7 @@ _SINCE = f">= {NOW} - INTERVAL 31 DAYS"
 
 
 def _d(column: str, digits: int = 2) -> str:
-    return f"round(CAST({column} AS DOUBLE), {digits})"
+    return f"CAST(round(CAST({column} AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
 
 
 @query(
@@ -101,8 +101,8 @@ def q_activity_heatmap(spark, sf_dir):
 @query(
     "q_avg_spreads",
     sql(
-        f"""SELECT symbol, count(*) AS windows, round(avg(avg_spread), 4) AS avg_spread,
-                   round(avg(avg_spread_pct), 4) AS avg_spread_pct, {_d('max(max_spread)', 4)} AS max_spread_seen
+        f"""SELECT symbol, count(*) AS windows, {_d('avg(avg_spread)', 4)} AS avg_spread,
+                   {_d('avg(avg_spread_pct)', 4)} AS avg_spread_pct, {_d('max(max_spread)', 4)} AS max_spread_seen
             FROM summary WHERE window_start {_SINCE} GROUP BY 1""",
         "summary",
     ),
@@ -114,8 +114,8 @@ def q_avg_spreads(spark, sf_dir):
 @query(
     "q_price_vs_avg",
     sql(
-        f"""SELECT l.symbol, {_d('l.latest_price')} AS current_price, round(p.avg_price, 2) AS window_avg,
-                   round((CAST(l.latest_price AS DOUBLE) - p.avg_price) / p.avg_price * 100, 2) AS diff_pct
+        f"""SELECT l.symbol, {_d('l.latest_price')} AS current_price, {_d('p.avg_price')} AS window_avg,
+                   {_d('(CAST(l.latest_price AS DOUBLE) - CAST(p.avg_price AS DOUBLE)) / CAST(p.avg_price AS DOUBLE) * 100')} AS diff_pct
             FROM latest l JOIN (SELECT DISTINCT ON (symbol) symbol, avg_price FROM summary WHERE window_start {_SINCE}
                                 ORDER BY symbol, window_start DESC) p ON l.symbol = p.symbol""",
         "latest summary",
@@ -129,7 +129,7 @@ def q_price_vs_avg(spark, sf_dir):
     "q_daily_stats",
     sql(
         f"""SELECT count(DISTINCT symbol) AS active_symbols, CAST(sum(updates_24h) AS BIGINT) AS total_updates_24h,
-                   round(avg(price_change_pct_24h), 2) AS avg_change_pct, {_d('sum(volume_24h)')} AS total_volume_24h
+                   {_d('avg(price_change_pct_24h)')} AS avg_change_pct, {_d('sum(volume_24h)')} AS total_volume_24h
             FROM latest""",
         "latest",
     ),
@@ -168,7 +168,7 @@ def q_window_completeness(spark, sf_dir):
 @query(
     "q_irregular_symbols",
     sql(
-        f"""SELECT symbol, count(*) AS windows_with_data, round(avg(update_count), 2) AS avg_updates_per_window,
+        f"""SELECT symbol, count(*) AS windows_with_data, {_d('avg(update_count)')} AS avg_updates_per_window,
                    min(update_count) AS min_updates, max(update_count) AS max_updates
             FROM summary WHERE window_start {_SINCE} GROUP BY 1 HAVING count(*) < 2976""",
         "summary",
@@ -238,7 +238,7 @@ def q_summary_stats(spark, sf_dir):
 @query(
     "q_recent_windows",
     sql(
-        f"""SELECT symbol, strftime(window_start, '%H:%M') AS "time", round(avg_price, 2) AS avg_price, update_count,
+        f"""SELECT symbol, strftime(window_start, '%H:%M') AS "time", {_d('avg_price')} AS avg_price, update_count,
                    activity_level FROM summary WHERE window_start {_SINCE} ORDER BY window_start DESC, symbol LIMIT 5""",
         "summary",
     ),
@@ -275,7 +275,7 @@ def q_raw_summary(spark, sf_dir):
 @query(
     "q_check_prices",
     sql(
-        """SELECT symbol, max(time) AS latest, count(*) AS total, round(avg(CAST(price AS DOUBLE)), 2) AS avg_price
+        f"""SELECT symbol, max(time) AS latest, count(*) AS total, {_d('avg(price)')} AS avg_price
            FROM ticks GROUP BY 1""",
         "ticks",
     ),

@@ -14,7 +14,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> Data
 
 
 def write_report(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+    """JSON lines; times keep their microseconds."""
+    df.write.mode("overwrite").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
 
 
 def _like(pattern: str) -> re.Pattern:

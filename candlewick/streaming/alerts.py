@@ -1,9 +1,9 @@
 """Sliding-window price alerts on a stream.
 
-State is kept per (symbol, slice of one window length), not per symbol: each tick goes to its own slice, where it is
-checked, and to the next slice, where it is only remembered. A catch-up batch of one hot symbol is thus spread over
-many keys, no key holds more than two windows of ticks, and a slice is forgotten as a whole once the watermark has
-passed it.
+State is kept per (symbol, time slice), not per symbol: a catch-up batch of one hot symbol is spread over many keys.
+A tick is checked in its own slice; if it lies within one window of the slice's end, the next slice remembers it
+too. Ticks older than the watermark by more than a window are dropped from the state, and a slice as a whole is
+forgotten once the watermark has passed it.
 """
 
 from __future__ import annotations
@@ -27,8 +27,8 @@ _STATE = "us long, id long, price string"
 class WindowAlerts(StatefulProcessor):
     """Compares each new tick with the oldest tick of its window."""
 
-    def __init__(self, span: int, threshold: float):
-        self.span, self.threshold = span, threshold
+    def __init__(self, span: int, slice_span: int, threshold: float):
+        self.span, self.slice_span, self.threshold = span, slice_span, threshold
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -38,11 +38,12 @@ class WindowAlerts(StatefulProcessor):
         new = pd.concat(list(rows), ignore_index=True)
         known = pd.DataFrame(list(self.ticks.get()), columns=["us", "id", "price"])
         if known.empty:
-            self.handle.registerTimer((int(key[1]) + self.span) // 1000)
+            self.handle.registerTimer((int(key[1]) + self.slice_span) // 1000)
         fresh = new[["us", "id", "price"]]
-        self.ticks.appendList([(int(u), int(i), str(p)) for u, i, p in fresh.itertuples(index=False)])
         seen = pd.concat([known, fresh]) if len(known) else fresh
         seen = seen.sort_values(["us", "id"], kind="stable")
+        needed = seen[seen["us"] >= timerValues.getCurrentWatermarkInMs() * 1000 - self.span]
+        self.ticks.put([(int(u), int(i), str(p)) for u, i, p in needed.itertuples(index=False)])
         asked = new[new["own"]].sort_values(["us", "id"], kind="stable")
         if asked.empty:
             return
@@ -72,25 +73,30 @@ class WindowAlerts(StatefulProcessor):
 
 
 def alert_stream(
-    ticks: DataFrame, window: str = WINDOW, threshold: float = THRESHOLD, delay: str = "1 minute"
+    ticks: DataFrame,
+    window: str = WINDOW,
+    threshold: float = THRESHOLD,
+    delay: str = "1 minute",
+    slice_width: str = "1 hour",
 ) -> DataFrame:
     """Alerts in event time. A tick is compared with the ticks that arrived before or with it; one later than
     `delay` is left out."""
     ticks.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    span = micros(window)
-    us = F.unix_micros("time")
-    own = slice_start(us, span)
-    targets = F.array(
-        F.struct(own.alias("slice"), F.lit(True).alias("own")), F.struct((own + span).alias("slice"), F.lit(False).alias("own"))
-    )
+    span, slice_span = micros(window), micros(slice_width)
+    if slice_span < span:
+        raise ValueError("a slice must not be shorter than the window")
+    us = F.col("us")
+    own = slice_start(us, slice_span)
+    following = F.when(us + span >= own + slice_span, F.struct((own + slice_span).alias("slice"), F.lit(False).alias("own")))
+    targets = F.array_compact(F.array(F.struct(own.alias("slice"), F.lit(True).alias("own")), following))
     placed = (
         ticks.withWatermark("time", delay)
-        .select("time", "symbol", "id", us.alias("us"), F.col("price").cast("string").alias("price"),
-                F.explode(targets).alias("t"))
+        .select("time", "symbol", "id", F.unix_micros("time").alias("us"), F.col("price").cast("string").alias("price"))
+        .withColumn("t", F.explode(targets))
         .select("time", "symbol", "id", "us", "price", "t.slice", "t.own")
     )
     alerts = placed.groupBy("symbol", "slice").transformWithStateInPandas(
-        statefulProcessor=WindowAlerts(span, threshold),
+        statefulProcessor=WindowAlerts(span, slice_span, threshold),
         outputStructType=_OUTPUT,
         outputMode="Append",
         timeMode="EventTime",
