@@ -21,7 +21,7 @@ from candlewick.plans.alerts import THRESHOLD, WINDOW, alert_message, slice_star
 from candlewick.session import ROCKSDB
 
 _OUTPUT = "symbol string, us long, id long, old_price string, new_price string, price_change_pct double"
-_STATE = "us long, id long, price string"
+_STATE = "us array<long>, id array<long>, price array<string>"
 
 
 class WindowAlerts(StatefulProcessor):
@@ -32,34 +32,39 @@ class WindowAlerts(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.ticks = handle.getListState("ticks", _STATE)
+        self.ticks = handle.getValueState("ticks", _STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows), ignore_index=True)
-        known = pd.DataFrame(list(self.ticks.get()), columns=["us", "id", "price"])
-        if known.empty:
+        parts = [(f["us"].to_numpy("int64"), f["id"].to_numpy("int64"), f["price"].to_numpy(object),
+                  f["own"].to_numpy(bool)) for f in rows]
+        known = self.ticks.get()
+        if known is None:
             self.handle.registerTimer((int(key[1]) + self.slice_span) // 1000)
-        fresh = new[["us", "id", "price"]]
-        seen = pd.concat([known, fresh]) if len(known) else fresh
-        seen = seen.sort_values(["us", "id"], kind="stable")
-        needed = seen[seen["us"] >= timerValues.getCurrentWatermarkInMs() * 1000 - self.span]
-        self.ticks.put([(int(u), int(i), str(p)) for u, i, p in needed.itertuples(index=False)])
-        asked = new[new["own"]].sort_values(["us", "id"], kind="stable")
-        if asked.empty:
+        else:
+            us, ids, prices = (np.array(column, kind) for column, kind in zip(known, ("int64", "int64", object)))
+            parts.append((us, ids, prices, np.zeros(len(us), bool)))
+        us, ids, prices, asked = (np.concatenate(columns) for columns in zip(*parts))
+        order = np.lexsort((ids, us))
+        us, ids, prices, asked = us[order], ids[order], prices[order], asked[order]
+
+        keep = np.searchsorted(us, timerValues.getCurrentWatermarkInMs() * 1000 - self.span, side="left")
+        self.ticks.update((us[keep:].tolist(), ids[keep:].tolist(), prices[keep:].tolist()))
+
+        if not asked.any():
             return
-        oldest = np.searchsorted(seen["us"].to_numpy("int64"), asked["us"].to_numpy("int64") - self.span, side="left")
-        old = seen["price"].to_numpy()[oldest]
-        before, after = old.astype("float64"), asked["price"].to_numpy().astype("float64")
+        old = prices[np.searchsorted(us, us[asked] - self.span, side="left")]
+        new = prices[asked]
+        before, after = old.astype("float64"), new.astype("float64")
         pct = (after - before) / before * 100
         hit = np.abs(pct) > self.threshold
         if hit.any():
             yield pd.DataFrame(
                 {
                     "symbol": key[0],
-                    "us": asked["us"].to_numpy()[hit],
-                    "id": asked["id"].to_numpy()[hit],
+                    "us": us[asked][hit],
+                    "id": ids[asked][hit],
                     "old_price": old[hit],
-                    "new_price": asked["price"].to_numpy()[hit],
+                    "new_price": new[hit],
                     "price_change_pct": pct[hit],
                 }
             )
