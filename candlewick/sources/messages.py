@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from candlewick.operators.joins import broadcast_if_small
 from candlewick.schema import DEFAULT_EXCHANGE, PRICE, VOLUME
 
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -27,7 +28,9 @@ def parse_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     def number(text: Column, kind) -> Column:
         return text.try_cast(kind)
 
-    parsed = messages.withColumn("_body", F.from_json(F.col(value).cast("string"), "map<string,string>"))
+    # The one-element explode keeps the optimizer from copying the JSON parse into every filter on its fields.
+    once = F.explode(F.array(F.from_json(F.col(value).cast("string"), "map<string,string>")))
+    parsed = messages.withColumn("_body", once)
     parsed = parsed.select(
         *messages.columns,
         "_body",
@@ -91,7 +94,6 @@ def after_committed(messages: DataFrame, committed: DataFrame) -> DataFrame:
 
     A partition without a committed offset is read from its start.
     """
-    # One row per topic partition: a topic has a fixed, small number of them.
-    position = F.broadcast(committed.select("topic", "partition", F.col("next_offset").alias("_next")))
+    position = broadcast_if_small(committed.select("topic", "partition", F.col("next_offset").alias("_next")))
     joined = messages.join(position, ["topic", "partition"], "left")
     return joined.filter(F.col("offset") >= F.coalesce("_next", F.lit(0))).drop("_next")

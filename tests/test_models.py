@@ -4,6 +4,7 @@ from decimal import Decimal
 
 import pytest
 from helpers import at, rows, tick, ticks
+from pyspark.sql import functions as F
 
 from candlewick.plans import alerts, candles, latest, monitor, refresh, summary
 from candlewick.plans.quality import equality
@@ -166,6 +167,16 @@ def test_oldest_in_window_equals_a_range_frame(spark, window):
     expected = spark.sql(f"""SELECT id, min(struct(time, id, price)) OVER (PARTITION BY symbol ORDER BY time
         RANGE BETWEEN INTERVAL {window} PRECEDING AND CURRENT ROW).price AS old_price FROM frame_ticks""")
     assert rows(alerts.oldest_in_window(df, window), "id", "old_price") == rows(expected)
+    shared = alerts.oldest_in_window(df, window, hot_rows=5)  # most slices are hot now
+    assert rows(shared, "id", "old_price") == rows(expected)
+
+
+def test_hot_slices_are_few_and_shared(spark):
+    heads = spark.range(5000).select(F.lit("A").alias("symbol"), F.col("id").alias("slice"),
+                                     F.when(F.col("id") == 7, 100_000).otherwise(10).alias("rows"))
+    hot = rows(alerts._hot_slices(heads, 1, 1))
+    assert hot == [("A", 6, 667), ("A", 7, 667)]  # its ticks, and its questions in the slice before
+    assert alerts._hot_slices(heads, 1, 10**9) is None
 
 
 def test_gaps(spark):

@@ -6,7 +6,7 @@ from helpers import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from candlewick.operators import columns, dedupe, ordered, reshape, series
+from candlewick.operators import columns, dedupe, joins, ordered, reshape, series
 from candlewick.sources.tables import read_csv, tables_like, tables_with_prefix
 
 
@@ -185,3 +185,10 @@ def test_csv_source_with_declared_types(spark, tmp_path):
     (tmp_path / "seed.csv").write_text("col_1,col_2,col_3\n1,a,true\n2,,false\n")
     got = read_csv(spark, str(tmp_path / "seed.csv"), "col_1 int, col_2 string, col_3 boolean")
     assert rows(got) == [(1, "a", True), (2, None, False)]
+
+
+def test_broadcast_only_after_a_size_check(spark):
+    small, large = joins.broadcast_if_small(spark.range(10)), joins.broadcast_if_small(spark.range(10), max_rows=5)
+    assert small.count() == large.count() == 10
+    hint = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+    assert hint(small) and not hint(large)
