@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.schema import PRICE, VOLUME
+from candlewick.schema import DEFAULT_EXCHANGE, PRICE, VOLUME
 from candlewick.sources.messages import ISO_MICROS, encode_messages
 from candlewick.streaming.jobs import file_stream
 
@@ -58,7 +58,7 @@ def messages_of(events: DataFrame) -> DataFrame:
         F.col("volume").cast("long").alias("volume"),
         F.col("bid").cast("double").alias("bid"),
         F.col("ask").cast("double").alias("ask"),
-        F.coalesce("exchange", F.lit("coinbase")).alias("source"),
+        F.coalesce("exchange", F.lit(DEFAULT_EXCHANGE)).alias("source"),
         F.lit("USD").alias("currency"),
         F.date_format("time", ISO_MICROS).alias("timestamp"),
     )
@@ -83,6 +83,6 @@ def encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key and value the way the producer writes them."""
     source = ticks(spark, sf_dir).select(
         "time", "symbol", F.col("price").cast("double").alias("price"), F.lit("USD").alias("currency"),
-        F.lit("coinbase_spot").alias("source"), F.pmod(F.col("id"), F.lit(100)).alias("fetch_latency_ms"),
+        F.lit("spot").alias("source"), F.pmod(F.col("id"), F.lit(100)).alias("fetch_latency_ms"),
     )
     return encode_messages(source, ["symbol", "price", "currency", "timestamp", "source", "fetch_latency_ms"])

@@ -11,6 +11,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from candlewick.sources.scratch import materialise
+
 _SLICE, _CARRIED = "_slice", "_carried"
 
 
@@ -44,7 +46,8 @@ def with_slices(df: DataFrame, column: str, slices: int | None = None) -> DataFr
 def _neighbour(
     df: DataFrame, keys: list[str], order_by: list[str], columns: dict[str, str], following: bool, slices: int | None
 ) -> DataFrame:
-    sliced = with_slices(df, order_by[0], slices)
+    # Read three times below (cuts, edges, rows), so computed once.
+    sliced = with_slices(materialise(df, "ordered"), order_by[0], slices)
     far = F.struct(*[F.col(c).isNull().alias(f"n{i}") if j == 0 else F.col(c).alias(f"v{i}")
                      for i, c in enumerate(order_by) for j in (0, 1)])
     wanted = F.struct(*[F.col(c) for c in columns])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from candlewick.functions.times import arrival_order, micros
 from candlewick.sources.scratch import materialise
 
+# Window and limit in percent.
 WINDOW, THRESHOLD = "5 minutes", 10.0
 
 
@@ -87,6 +88,7 @@ def oldest_in_window(ticks: DataFrame, window: str = WINDOW, hot_rows: int = 5_0
 
 
 def alert_message(window: str = WINDOW) -> Column:
+    # Fixed value: the text of an alert.
     minutes = micros(window) // 60_000_000
     return F.format_string(
         f"ALERT: %s price changed by %.2f%% in last {minutes} minutes (%s -> %s)",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from candlewick.functions.times import as_of_column, bucket_start, micros, plus
 from candlewick.plans.candles import WIDTH, candles, candles_by
 from candlewick.plans.summary import price_summary
-from candlewick.sources.log import DAY, path_exists, upsert
+from candlewick.sources.log import DAY, day_folders, path_exists, upsert
 
 FLOOR = "2024-01-01 00:00:00"
 
@@ -21,8 +21,12 @@ def changed_since(ticks: DataFrame, high_water, lookback: str) -> DataFrame:
 
 
 def high_water(spark: SparkSession, path: str, column: str, floor: str = FLOOR):
-    """Newest window start of a table, or the floor while it is empty."""
-    newest = spark.read.parquet(path).agg(F.max(column)).first()[0]
+    """Newest window start of a table, or the floor while it is empty. Only the newest day is read."""
+    days = day_folders(spark, path)
+    if not days:
+        return floor
+    last_day = spark.read.parquet(path).filter(F.col(DAY) == F.lit(max(days)))
+    newest = last_day.agg(F.max(column)).first()[0]
     return newest if newest is not None else floor
 
 

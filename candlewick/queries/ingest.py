@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from candlewick.adapters import AS_OF, encoded, messages, table, ticks
@@ -90,7 +88,7 @@ def normalize_quotes(spark, sf_dir):
     sql(
         """SELECT key, '{"symbol":"' || symbol || '","price":' || CAST(CAST(price AS DOUBLE) AS VARCHAR)
                   || ',"currency":"USD","timestamp":"' || strftime(time, '%Y-%m-%dT%H:%M:%S.%f')
-                  || '","source":"coinbase_spot","fetch_latency_ms":' || (id % 100) || '}' AS value FROM messages""",
+                  || '","source":"spot","fetch_latency_ms":' || (id % 100) || '}' AS value FROM messages""",
         "messages",
     ),
 )
@@ -180,14 +178,14 @@ def retention(spark, sf_dir):
 def partition_inventory(spark, sf_dir):
     path = new_folder(spark, "log")
     log.append_log(log_rows(spark, sf_dir), path)
-    compacted_before = AS_OF.date() - dt.timedelta(days=3)
+    log.compact_log(spark, path, AS_OF)
     return log.day_inventory(spark, path).select(
         "dt",
         "range_start",
         "range_end",
         "row_count",
         ((F.col("file_count") > 0) & (F.col("total_bytes") > 0)).alias("has_files"),
-        (F.col("dt") < F.lit(compacted_before)).alias("is_compacted"),
+        "is_compacted",
     )
 
 

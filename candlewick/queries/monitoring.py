@@ -10,6 +10,7 @@ from candlewick.plans import monitor
 from candlewick.queries.base import NOW, query, sql
 from candlewick.queries.models import log_rows, stg_candles
 from candlewick.sources import messages as wire
+from candlewick.sources.scratch import materialise
 
 _SINCE = f"> {NOW} - INTERVAL 31 DAYS"
 _BYTES = """strlen(concat_ws('|', strftime(time, '%Y-%m-%d %H:%M:%S'), symbol, CAST(price AS VARCHAR),
@@ -333,7 +334,7 @@ def missing_periods(spark, sf_dir):
     ),
 )
 def validation_summary(spark, sf_dir):
-    return monitor.validation_summary(stg_candles(spark, sf_dir), SPAN, AS_OF)
+    return monitor.validation_summary(materialise(stg_candles(spark, sf_dir), "model"), SPAN, AS_OF)
 
 
 @query(

@@ -9,6 +9,7 @@ from candlewick.operators import reshape
 from candlewick.plans import quality
 from candlewick.queries.base import NOW, query, sql
 from candlewick.queries.models import log_rows, stg, stg_candles, stg_latest, stg_summary
+from candlewick.sources.scratch import materialise
 
 
 @query(
@@ -310,10 +311,8 @@ def _suite_sql() -> str:
 def dq_suite(spark, sf_dir):
     """The declared tests of the models, plus tests with a condition and with thresholds."""
     source = ticks(spark, sf_dir)
-    checks = quality.model_suite(
-        log_rows(spark, sf_dir), stg(spark, sf_dir), stg_latest(spark, sf_dir), stg_summary(spark, sf_dir),
-        stg_candles(spark, sf_dir),
-    )
+    models = [materialise(build(spark, sf_dir), "model") for build in (stg_latest, stg_summary, stg_candles)]
+    checks = quality.model_suite(log_rows(spark, sf_dir), stg(spark, sf_dir), *models)
     checks += [
         quality.Check("ticks_exchange_given", source, quality.not_null, {"column": "exchange"}, where="price > 1",
                       severity="warn"),

@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 PRICE = T.DecimalType(20, 8)
 VOLUME = T.DecimalType(30, 8)
+# Fixed value: the exchange of a tick that names none.
 DEFAULT_EXCHANGE = "coinbase"
 
 # One row per accepted tick; `id` is the ingest sequence, used only to order ticks of the same instant.

@@ -13,6 +13,7 @@ from candlewick.schema import DEFAULT_EXCHANGE, REQUIRED, TICK_LOG, check_same_c
 from candlewick.sources.scratch import new_folder
 
 DAY = "dt"
+MARKER = "_compacted"  # readers skip names that start with an underscore
 
 
 def to_log_rows(ticks: DataFrame, received_at=None) -> DataFrame:
@@ -77,11 +78,44 @@ def replace_days(rows: DataFrame, path: str) -> None:
     )
 
 
-def compact_log(spark: SparkSession, path: str, as_of: dt.datetime, older_than_days: int = 3) -> None:
-    """Rewrite the days past the age limit into few clustered files; rows stay the same."""
-    last = as_of.date() - dt.timedelta(days=older_than_days)
-    old = spark.read.parquet(path).filter(F.col(DAY) < F.lit(last))
-    replace_days(_clustered(old), path)
+def _file_system(spark: SparkSession, path: str):
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return root, root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def day_folders(spark: SparkSession, path: str) -> dict[dt.date, str]:
+    """Day -> folder, from the folder names alone."""
+    root, fs = _file_system(spark, path)
+    names = [status.getPath().getName() for status in fs.listStatus(root)]
+    return {dt.date.fromisoformat(n[len(DAY) + 1 :]): f"{path}/{n}" for n in names if n.startswith(f"{DAY}=")}
+
+
+def compacted_days(spark: SparkSession, path: str) -> list[dt.date]:
+    """Days that carry a marker and have got no file since."""
+    done = []
+    for day, folder in sorted(day_folders(spark, path).items()):
+        root, fs = _file_system(spark, folder)
+        age = {s.getPath().getName(): s.getModificationTime() for s in fs.listStatus(root)}
+        marked = age.pop(MARKER, None)
+        if marked is not None and all(t <= marked for t in age.values()):
+            done.append(day)
+    return done
+
+
+def compact_log(spark: SparkSession, path: str, as_of: dt.datetime, older_than_days: int = 3) -> list[dt.date]:
+    """Rewrite the days past the age limit into few clustered files; rows stay the same.
+
+    A finished day is marked and left alone until new files arrive, so a run costs no more than what has changed.
+    Returns the rewritten days.
+    """
+    limit, done = as_of.date() - dt.timedelta(days=older_than_days), set(compacted_days(spark, path))
+    days = [d for d in sorted(day_folders(spark, path)) if d < limit and d not in done]
+    if days:
+        replace_days(_clustered(spark.read.parquet(path).filter(F.col(DAY).isin(days))), path)
+    for day in days:
+        marker, fs = _file_system(spark, f"{path}/{DAY}={day}/{MARKER}")
+        fs.create(marker, True).close()
+    return days
 
 
 def live_rows(log: DataFrame, as_of: dt.datetime, keep_days: int = 90) -> DataFrame:
@@ -92,20 +126,15 @@ def live_rows(log: DataFrame, as_of: dt.datetime, keep_days: int = 90) -> DataFr
 def expire_days(spark: SparkSession, path: str, as_of: dt.datetime, keep_days: int = 90) -> list[str]:
     """Delete the day folders past retention; returns their names."""
     oldest = as_of.date() - dt.timedelta(days=keep_days)
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    expired = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if name.startswith(f"{DAY}=") and dt.date.fromisoformat(name[len(DAY) + 1 :]) < oldest:
-            fs.delete(status.getPath(), True)
-            expired.append(name)
-    return sorted(expired)
+    expired = {day: folder for day, folder in day_folders(spark, path).items() if day < oldest}
+    for folder in expired.values():
+        root, fs = _file_system(spark, folder)
+        fs.delete(root, True)
+    return [f"{DAY}={day}" for day in sorted(expired)]
 
 
 def day_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """Per day: time range, rows, files and bytes. Reads only `time` and the file metadata."""
+    """Per day: time range, rows, files, bytes and state. Reads only `time` and the file metadata."""
     files = (
         spark.read.parquet(path)
         .select(DAY, "time", "_metadata.file_path", "_metadata.file_size")
@@ -123,7 +152,7 @@ def day_inventory(spark: SparkSession, path: str) -> DataFrame:
         F.sum("n").alias("row_count"),
         F.count("*").alias("file_count"),
         F.sum("size").alias("total_bytes"),
-    )
+    ).withColumn("is_compacted", F.col(DAY).isin(compacted_days(spark, path)))
 
 
 def write_table(df: DataFrame, path: str, partition: str | None = None) -> None:
@@ -133,8 +162,8 @@ def write_table(df: DataFrame, path: str, partition: str | None = None) -> None:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    target, fs = _file_system(spark, path)
+    return fs.exists(target)
 
 
 def upsert(batch: DataFrame, path: str, keys: list[str], full_refresh: bool = False) -> None:

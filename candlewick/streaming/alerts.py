@@ -8,10 +8,12 @@ forgotten once the watermark has passed it.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -24,6 +26,10 @@ _OUTPUT = "symbol string, us long, id long, old_price string, new_price string,
 _STATE = "us array<long>, id array<long>, price array<string>"
 
 
+# Executors get the class itself, so they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 class WindowAlerts(StatefulProcessor):
     """Compares each new tick with the oldest tick of its window."""
 

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import time
 from decimal import Decimal
 
 import pytest
@@ -107,13 +108,25 @@ def test_compaction_keeps_the_rows(spark, folder):
     for i in range(4):
         log.append_log(ticks(spark, tick(i, "2024-01-01 10:00:00"), tick(i + 10, "2024-01-09 10:00:00")), folder)
     before = rows(log.read_log(spark, folder).select("id", "time", "price"))
-    log.compact_log(spark, folder, at("2024-01-10"), older_than_days=3)
+    assert log.compact_log(spark, folder, at("2024-01-10"), older_than_days=3) == [dt.date(2024, 1, 1)]
     after = log.read_log(spark, folder)
     assert rows(after.select("id", "time", "price")) == before
     files = after.select("dt", "_metadata.file_path").distinct().groupBy("dt").count()
     assert rows(files) == [(dt.date(2024, 1, 1), 1), (dt.date(2024, 1, 9), 4)]
 
 
+def test_compaction_repeats_only_days_with_new_files(spark, folder):
+    day_log(spark, folder)
+    days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+    assert log.compact_log(spark, folder, at("2024-02-01")) == days == log.compacted_days(spark, folder)
+    assert log.compact_log(spark, folder, at("2024-02-01")) == []
+    time.sleep(0.05)
+    log.append_log(ticks(spark, tick(50, "2024-01-02 23:00:00")), folder)
+    assert rows(log.day_inventory(spark, folder), "row_count", "is_compacted") == [(2, True), (2, True), (3, False)]
+    assert log.compact_log(spark, folder, at("2024-02-01")) == [dt.date(2024, 1, 2)]
+    assert log.read_log(spark, folder).count() == 7
+
+
 def test_retention_and_inventory(spark, folder):
     day_log(spark, folder)
     stock = log.day_inventory(spark, folder)
