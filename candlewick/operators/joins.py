@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,3 +17,9 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
     if len(rows) > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+def side_by_side(*one_row: DataFrame) -> DataFrame:
+    """Columns of several one-row results in one row, by union and aggregate instead of a cross join."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), one_row)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])

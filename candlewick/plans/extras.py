@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from candlewick.functions.numbers import change_pct, safe_divide
 from candlewick.functions.times import bucket_start
+from candlewick.operators.joins import side_by_side
 from candlewick.plans.candles import WIDTH, candles, rollup
 from candlewick.plans.monitor import data_gaps
 from candlewick.schema import TICK_LOG
@@ -84,7 +85,7 @@ def quality_kpis(ticks: DataFrame, max_gap_seconds: int = 60) -> DataFrame:
     def rate(column: str):
         return (safe_divide(F.col(column), "ticks") * 100).alias(f"{column}_pct")
 
-    return totals.join(gaps, F.lit(True)).select(
+    return side_by_side(totals, gaps).select(
         "ticks", rate("incomplete"), rate("repeated"), rate("impossible"), rate("gaps")
     )
 

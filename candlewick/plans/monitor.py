@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from candlewick.functions.numbers import safe_divide, to_mebibytes
 from candlewick.functions.times import as_of_column, bucket_start, micros, plus, seconds_between
+from candlewick.operators.joins import side_by_side
 
 # Histogram bounds in seconds and in rows.
 LATENCY_BUCKETS = (0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0)
@@ -73,10 +74,7 @@ def data_gaps(ticks: DataFrame, max_gap_seconds: int = 60, keys: tuple[str, ...]
 def threshold_flags(ticks: DataFrame, lag: DataFrame, lookback: str = "10 seconds", as_of=None) -> DataFrame:
     """Alarm flags on tick lag, message count and broker lag (`lag` from `consumer_lag`)."""
     broker = lag.agg(F.coalesce(F.sum("lag"), F.lit(0)).cast("long").alias("broker_lag"))
-    joined = ingest_lag(ticks, as_of).join(recent_activity(ticks, lookback, as_of), F.lit(True)).join(
-        broker, F.lit(True)
-    )
-    return joined.select(
+    return side_by_side(ingest_lag(ticks, as_of), recent_activity(ticks, lookback, as_of), broker).select(
         (F.col("tick_lag_seconds") > MAX_LAG_SECONDS).alias("high_lag"),
         (F.col("recent_messages") < MIN_RECENT_MESSAGES).alias("low_throughput"),
         (F.col("broker_lag") > MAX_BROKER_LAG).alias("high_broker_lag"),
@@ -250,8 +248,7 @@ def throughput_report(ticks: DataFrame, messages: DataFrame, rejects: DataFrame,
     )
     errors = rejects.agg(F.count("*").alias("errors"))
     behind = lag.agg(F.coalesce(F.sum("lag"), F.lit(0)).cast("long").alias("lag_messages"))
-    parts = reduce(lambda a, b: a.join(b, F.lit(True)), [log, broker, errors, behind])
-    return parts.select(
+    return side_by_side(log, broker, errors, behind).select(
         "messages", "message_bytes", "errors", "lag_messages", "records", "record_bytes",
         F.round(safe_divide("messages", "broker_seconds"), 6).alias("messages_per_second"),
         F.round(safe_divide(to_mebibytes(F.col("message_bytes")), "broker_seconds"), 9).alias("message_mb_per_second"),

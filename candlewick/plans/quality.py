@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from candlewick.functions.times import as_of_column
 from candlewick.operators.columns import columns_except
+from candlewick.operators.joins import side_by_side
 from candlewick.operators.ordered import with_next, with_previous
 
 FAILURES = "failures"
@@ -274,7 +275,7 @@ def _counts_side_by_side(df: DataFrame, other: DataFrame, group_by: list[str]) -
     a = df.groupBy(*[F.col(c).alias(f"{c}_a") for c in group_by]).agg(F.count("*").alias("count_a"))
     b = other.groupBy(*[F.col(c).alias(f"{c}_b") for c in group_by]).agg(F.count("*").alias("count_b"))
     if not group_by:
-        return a.join(b, F.lit(True))  # two one-row tables
+        return side_by_side(a, b)
     return a.join(b, reduce(lambda x, y: x & y, [F.col(f"{c}_a") == F.col(f"{c}_b") for c in group_by]), "full")
 
 

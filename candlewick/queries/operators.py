@@ -177,7 +177,7 @@ def op_date_spine(spark, sf_dir):
         F.min("l_shipdate").cast("timestamp").alias("start"), F.max("l_shipdate").cast("timestamp").alias("end")
     )
     length = bounds.select(series.intervals_between("day", F.col("start"), F.col("end")).alias("intervals"))
-    return series.date_spine(bounds, "day").join(length, F.lit(True))
+    return series.date_spine(bounds, "day").withColumn("intervals", F.lit(reshape.single_value(length)))
 
 
 @query(
