@@ -60,7 +60,7 @@ PARTS = {
     "log": "SELECT * REPLACE (coalesce(exchange, 'coinbase') AS exchange) FROM ticks",
     "messages": """
         SELECT symbol || '_' || strftime(time, '%Y-%m-%dT%H:%M:%S.%f') AS key, id % 50 = 0 AS broken,
-               CASE WHEN id % 2 = 0 THEN 'ticks' ELSE 'ticks_alt' END AS topic, id % 6 AS partition,
+               CASE WHEN id % 2 = 0 THEN 'ticks' ELSE 'ticks_alt' END AS topic, CAST(id % 6 AS INTEGER) AS partition,
                id // 6 AS "offset", time AS timestamp,
                '{"symbol":"' || symbol || '","price":' || CAST(CAST(price AS DOUBLE) AS VARCHAR)
                || ',"volume":' || CAST(CAST(volume AS BIGINT) AS VARCHAR)

@@ -49,7 +49,8 @@ def ingest_rejects(spark, sf_dir):
 @query(
     "ingest_topics",
     sql(
-        """SELECT topic, partition, count(*) AS messages, count_if(NOT broken) AS ticks, count_if(broken) AS rejects,
+        """SELECT topic, partition, count(*) AS messages, CAST(count_if(NOT broken) AS BIGINT) AS ticks,
+                  CAST(count_if(broken) AS BIGINT) AS rejects,
                   min("offset") AS first_offset, max("offset") AS last_offset FROM messages GROUP BY ALL""",
         "messages",
     ),

@@ -164,7 +164,7 @@ def throughput_delta(spark, sf_dir):
         """SELECT topic, interval_start, messages, bytes, messages / 3600.0 AS messages_per_second,
                   bytes / 3600.0 AS bytes_per_second, bytes / 1048576.0 / 3600 AS mb_per_second
            FROM (SELECT topic, date_trunc('hour', timestamp) AS interval_start, count(*) AS messages,
-                        sum(strlen(CASE WHEN broken THEN left(full_value, 20) ELSE full_value END)) AS bytes
+                        CAST(sum(strlen(CASE WHEN broken THEN left(full_value, 20) ELSE full_value END)) AS BIGINT) AS bytes
                  FROM messages GROUP BY ALL)""",
         "messages",
         "messages_per_second bytes_per_second mb_per_second",
@@ -259,7 +259,8 @@ def success_ratio(spark, sf_dir):
 @query(
     "throughput_report",
     sql(
-        f"""SELECT m.messages, m.message_bytes, m.errors, g.lag_messages, l.records, l.record_bytes,
+        f"""SELECT m.messages, CAST(m.message_bytes AS BIGINT) AS message_bytes, CAST(m.errors AS BIGINT) AS errors,
+                   CAST(g.lag_messages AS BIGINT) AS lag_messages, l.records, CAST(l.record_bytes AS BIGINT) AS record_bytes,
                    m.messages / m.s AS messages_per_second, m.message_bytes / 1048576.0 / m.s AS message_mb_per_second,
                    l.records / l.s AS records_per_second, l.record_bytes / 1048576.0 / l.s AS record_mb_per_second
             FROM (SELECT count(*) AS messages, sum(strlen(CASE WHEN broken THEN left(full_value, 20) ELSE full_value END)) AS message_bytes,
@@ -279,8 +280,9 @@ def throughput_report(spark, sf_dir):
 
 @query(
     "state_counts",
-    "SELECT count(*) AS total, count_if(o_orderstatus = 'F') AS F, count_if(o_orderstatus = 'O') AS O, "
-    "count_if(o_orderstatus = 'P') AS P FROM orders",
+    """SELECT count(*) AS total, CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS F,
+              CAST(count_if(o_orderstatus = 'O') AS BIGINT) AS O, CAST(count_if(o_orderstatus = 'P') AS BIGINT) AS P
+       FROM orders""",
 )
 def state_counts(spark, sf_dir):
     return monitor.state_counts(table(spark, sf_dir, "orders"), "o_orderstatus", ["F", "O", "P"])

@@ -56,8 +56,8 @@ def op_group_by_n(spark, sf_dir):
 
 @query(
     "op_pivot",
-    """SELECT l_returnflag, sum(CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END) AS status_F,
-              sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS status_O FROM lineitem GROUP BY 1""",
+    """SELECT l_returnflag, CAST(sum(CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS status_F,
+              CAST(sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS status_O FROM lineitem GROUP BY 1""",
 )
 def op_pivot(spark, sf_dir):
     source = table(spark, sf_dir, "lineitem")
@@ -170,7 +170,7 @@ def op_generate_series(spark, sf_dir):
     "op_date_spine",
     """SELECT CAST(unnest(range(min_d, max_d, INTERVAL 1 DAY)) AS DATE) AS date_day, intervals
        FROM (SELECT min(l_shipdate) AS min_d, max(l_shipdate) AS max_d,
-                    date_diff('day', min(l_shipdate), max(l_shipdate)) AS intervals FROM lineitem)""",
+                    CAST(date_diff('day', min(l_shipdate), max(l_shipdate)) AS INTEGER) AS intervals FROM lineitem)""",
 )
 def op_date_spine(spark, sf_dir):
     bounds = table(spark, sf_dir, "lineitem").agg(

@@ -12,17 +12,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_LOCAL_FOLDERS: dict[str, str] = {}  # local sessions without the setting, by application
 
 
 def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(_SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(f"{_SETTING} must name a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="candlewick-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="candlewick-")
+    return _LOCAL_FOLDERS[context.applicationId]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
