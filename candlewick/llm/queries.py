@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewick.llm import bpe, mixing, sharding, simhash
+from candlewick.llm import bpe, mixing, quality, records, sharding, simhash
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op4_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.round_trip(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -33,7 +37,13 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), 40)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash, op2_bpe, op6_mixing, op9_shards)}
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f for f in (op1_simhash, op2_bpe, op4_token_records, op6_mixing, op9_shards, op10_quality)
+}
 
 # Sources in the order of (3 x size / weight) reach their limit one after the other, so the targets have a closed form.
 MIXING = r"""
