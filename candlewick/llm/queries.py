@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewick.llm import bpe, mixing, quality, records, sharding, simhash
+from candlewick.llm import bpe, mixing, quality, records, sharding, simhash, warc
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op4_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.round_trip(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -42,7 +46,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_simhash, op2_bpe, op4_token_records, op6_mixing, op9_shards, op10_quality)
+    f.__name__: f
+    for f in (op1_simhash, op2_bpe, op4_token_records, op5_warc, op6_mixing, op9_shards, op10_quality)
 }
 
 # Sources in the order of (3 x size / weight) reach their limit one after the other, so the targets have a closed form.
