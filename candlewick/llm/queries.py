@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewick.llm import bpe, forest, mixing, quality, records, sharding, simhash, warc
+from candlewick.llm import bpe, forest, lm, mixing, quality, records, sharding, simhash, warc
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,10 @@ def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), 40)
 
@@ -51,7 +55,17 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_simhash, op2_bpe, op4_token_records, op5_warc, op6_mixing, op7_nearest, op9_shards, op10_quality)
+    for f in (
+        op1_simhash,
+        op2_bpe,
+        op4_token_records,
+        op5_warc,
+        op6_mixing,
+        op7_nearest,
+        op8_lm_scores,
+        op9_shards,
+        op10_quality,
+    )
 }
 
 # Sources in the order of (3 x size / weight) reach their limit one after the other, so the targets have a closed form.
