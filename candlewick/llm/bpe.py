@@ -176,3 +176,9 @@ def token_digests(docs: DataFrame, tokenizer: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+def round_trips(coded: DataFrame, tokenizer: str) -> DataFrame:
+    """`coded` (with text and ids) without the text, with `exact`: decoding the ids gives the text again."""
+    whole = F.coalesce(F.col("text"), F.lit("")) == F.col("decoded")
+    return decode(coded, tokenizer).withColumn("exact", whole).drop("text", "decoded")

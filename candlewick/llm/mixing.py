@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from candlewick.llm.frames import every
 from candlewick.sources.scratch import materialise
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -93,4 +94,4 @@ def mixed(docs: DataFrame) -> DataFrame:
     )
     taken = docs.join(plan, docs["source"].eqNullSafe(F.col("_mix_source")))
     copy = F.explode(F.array_repeat(F.lit(0), times.cast("int"))).alias("_mix_copy")
-    return taken.select(*(docs[c] for c in docs.columns), copy).drop("_mix_copy")
+    return taken.select(*every(docs), copy).drop("_mix_copy")

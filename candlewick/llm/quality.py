@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick.llm.arrow import blocks, sums, utf8
+from candlewick.llm.frames import column
 from candlewick.llm.pretokens import distinct
 
 BUCKETS = 1 << 15  # weights of each kind of n-gram
@@ -225,7 +226,7 @@ def _verdicts(docs: DataFrame, model: Model | None, threshold: float, keep: list
     """Columns `keep` of `docs` under numbered names; then the verdict columns, or only the rows that are kept."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # weights of a fixed number
     sources = [*keep, *(["text"] if "text" not in keep else [])]
-    picked = docs.select(*(docs[c].alias(f"_{i}") for i, c in enumerate(sources)))
+    picked = docs.select(*(column(docs, c).alias(f"_{i}") for i, c in enumerate(sources)))
     place, own = sources.index("text"), picked.columns[: len(keep)]
     names = [*own, *STATISTICS, "base_failed", "probability", "kept"]
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewick.llm import bpe, forest, lm, mixing, quality, records, sharding, simhash, warc
+from candlewick.llm import bpe, forest, lm, mixing, quality, records, sharding, simhash, token_counts, warc
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.maintained(table(spark, sf_dir, "documents"), TOKENIZER, "byte_bpe_50k")
+
+
 def op4_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.round_trip(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_simhash,
         op2_bpe,
+        op3_token_counts,
         op4_token_records,
         op5_warc,
         op6_mixing,

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.llm.arrow import texts
+from candlewick.llm.frames import column, every
 from candlewick.sources.scratch import materialise
 
 SHINGLE = 3
@@ -67,7 +68,7 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, ou
             columns = [*batch.columns[:-1], pa.array(found.view(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, names=[*others, out])
 
-    picked = docs.select(*others, text)
+    picked = docs.select(*(column(docs, c) for c in (*others, text)))
     return picked.mapInArrow(run, picked.drop(text).withColumn(out, F.lit(0).cast("long")).schema)
 
 
@@ -270,13 +271,13 @@ def first_of_each(docs: DataFrame) -> DataFrame:
     found = materialise(labelled(docs), "labelled")
     chosen = found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("n"))
     chosen = materialise(chosen, "chosen")
-    kept = docs.join(chosen.where("n = 1"), "doc_id", "left_semi").select(docs.columns)
+    kept = docs.join(chosen.where("n = 1"), "doc_id", "left_semi").select(*every(docs))
     repeated = chosen.where("n > 1")
     if not repeated.isEmpty():
-        kept = kept.unionByName(docs.join(repeated, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
+        kept = kept.union(docs.join(repeated, "doc_id", "left_semi").select(*every(docs)).dropDuplicates(["doc_id"]))
     nameless = found.where(F.col("component_id").isNull()).select(F.col("root").alias("_simhash_fp")).distinct()
     if not nameless.isEmpty():
         held = docs.where(F.col("doc_id").isNull()).withColumn("_simhash_text", F.col("text"))
         held = fingerprints(held, "_simhash_text", out="_simhash_fp").join(nameless, "_simhash_fp", "left_semi")
-        kept = kept.unionByName(held.dropDuplicates(["_simhash_fp"]).select(docs.columns))
+        kept = kept.union(held.dropDuplicates(["_simhash_fp"]).select(*(f"`{c}`" for c in docs.columns)))
     return kept
