@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candlewick.llm.arrow import texts
 from candlewick.llm.frames import column, every
@@ -61,15 +62,17 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, out: str = "fp") -> DataFrame:
     """All columns of `docs` but the text, with `out`, the fingerprint as a signed 64-bit integer."""
     others = [c for c in docs.columns if c != text]
+    own = [f"_{i}" for i in range(len(others))]  # plain names on the way through Arrow
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t, shingle) for t in texts(batch.column(len(others)))], np.uint64)
+            found = np.array([fingerprint(t, shingle) for t in texts(batch.column(len(own)))], np.uint64)
             columns = [*batch.columns[:-1], pa.array(found.view(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*others, out])
+            yield pa.RecordBatch.from_arrays(columns, names=[*own, "_fp"])
 
-    picked = docs.select(*(column(docs, c) for c in (*others, text)))
-    return picked.mapInArrow(run, picked.drop(text).withColumn(out, F.lit(0).cast("long")).schema)
+    picked = docs.select(*(column(docs, c).alias(o) for c, o in zip(others, own)), column(docs, text).alias("_text"))
+    made = picked.mapInArrow(run, T.StructType([*picked.schema.fields[:-1], T.StructField("_fp", T.LongType())]))
+    return made.select(*(F.col(o).alias(c) for c, o in zip(others, own)), F.col("_fp").alias(out))
 
 
 def bk_trees(values: np.ndarray, tree: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
