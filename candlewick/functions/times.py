@@ -47,6 +47,7 @@ def arrival_order(time: Column | str = "time", tiebreak: Column | str = "id") ->
 
     min_by/max_by on a struct ordering force a sort-based aggregate, because a struct cannot be updated in place in
     the hash map; a decimal(38,0) can, so the aggregate stays hash-based. The factor exceeds the span of a long.
+    Rows without a tiebreak still have their time: min_by and max_by would skip a NULL order.
     """
-    tie = F.col(tiebreak) if isinstance(tiebreak, str) else tiebreak
+    tie = F.coalesce(F.col(tiebreak) if isinstance(tiebreak, str) else tiebreak, F.lit(0))
     return F.unix_micros(time).cast("decimal(18,0)") * F.lit(Decimal(10**20)).cast("decimal(21,0)") + tie.cast("decimal(20,0)")

@@ -8,17 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Broadcast a side after counting it; a larger side is left to Spark's own join choice.
-
-    The rows that were read for the check are the ones that are broadcast, so they are computed once.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
 def side_by_side(*one_row: DataFrame) -> DataFrame:
     """Columns of several one-row results in one row, by union and aggregate instead of a cross join."""
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), one_row)

@@ -13,9 +13,6 @@ from pyspark.sql import types as T
 from candlewick.functions.text import slug_name
 from candlewick.operators.columns import columns_except
 
-# Values that come to the driver (pivot columns, scalars) must stay few; more is an error, never a silent cut.
-MAX_DRIVER_VALUES = 10_000
-
 _COMPARE = {
     "=": operator.eq,
     "!=": operator.ne,
@@ -31,22 +28,40 @@ _DISTINCT = {"sum": F.sum_distinct, "count": F.count_distinct}
 
 
 def value_counts(df: DataFrame, column: str, where: str | None = None) -> DataFrame:
-    """Distinct values of a column with their frequency."""
+    """Distinct values of a column with their frequency; stays a table, however many there are."""
     source = df.filter(where) if where else df
     return source.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("row_count"))
 
 
 def column_values(
-    df: DataFrame, column: str, where: str | None = None, max_records: int | None = None, default: list | None = None
+    df: DataFrame,
+    column: str,
+    where: str | None = None,
+    max_records: int | None = None,
+    default: list | None = None,
+    order_by: str = "row_count desc, value",
 ) -> list:
-    """Distinct values, most frequent first, as a Python list; `default` when there are none."""
-    ranked = value_counts(df, column, where).orderBy(F.desc("row_count"), "value")
-    rows = ranked.limit(max_records if max_records is not None else MAX_DRIVER_VALUES + 1).collect()
-    if max_records is None and len(rows) > MAX_DRIVER_VALUES:
-        raise ValueError(f"{column} has more than {MAX_DRIVER_VALUES} distinct values; pass max_records")
+    """Distinct values as a Python list, most frequent first, for callers that need them on the driver.
+
+    `max_records` takes that many of them, as a LIMIT does; without it all come. `order_by` may name `value`,
+    `row_count` and any SQL over them. `default` is returned when there are none.
+    """
+    ranked = _ordered(value_counts(df, column, where), order_by)
+    rows = (ranked if max_records is None else ranked.limit(max_records)).collect()
     return [r["value"] for r in rows] or (default if default is not None else [])
 
 
+def _ordered(df: DataFrame, order_by: str) -> DataFrame:
+    """ORDER BY as SQL text, with directions."""
+    keys = []
+    for part in order_by.split(","):
+        words = part.split()
+        down = words[-1].lower() == "desc"
+        key = F.expr(" ".join(words[:-1] if words[-1].lower() in ("asc", "desc") else words))
+        keys.append(key.desc() if down else key.asc())
+    return df.orderBy(*keys)
+
+
 def pivot_columns(
     column: str,
     values: list,
@@ -125,14 +140,15 @@ def single_value(df: DataFrame, default: Any = None) -> Any:
     return default if row is None else row[0]
 
 
-def results_as_columns(df: DataFrame, order_by: list[str], max_rows: int = MAX_DRIVER_VALUES) -> DataFrame:
+def results_as_columns(df: DataFrame, order_by: list[str], max_rows: int | None = None) -> DataFrame:
     """A small query result as one row holding one array per column, ordered by `order_by`.
 
-    Meant for lookups: more than `max_rows` rows raise an error inside the job.
+    Meant for lookups, as the whole result becomes one row; with `max_rows` more rows than that raise an error.
     """
     ordered = F.array_sort(F.collect_list(F.struct(*order_by, *[F.col(c).alias(f"v_{c}") for c in df.columns])))
-    checked = F.when(F.size("rows") <= max_rows, F.col("rows")).otherwise(
-        F.raise_error(F.concat(F.lit(f"more than {max_rows} rows: "), F.size("rows").cast("string")))
-    )
-    bounded = df.limit(max_rows + 1).agg(ordered.alias("rows")).select(checked.alias("rows"))
-    return bounded.select([F.col(f"rows.v_{c}").alias(c) for c in df.columns])
+    whole = df.agg(ordered.alias("rows"))
+    if max_rows is not None:
+        message = F.concat(F.lit(f"more than {max_rows} rows: "), F.size("rows").cast("string"))
+        checked = F.when(F.size("rows") <= max_rows, F.col("rows")).otherwise(F.raise_error(message))
+        whole = whole.select(checked.alias("rows"))
+    return whole.select([F.col(f"rows.v_{c}").alias(c) for c in df.columns])

@@ -18,14 +18,23 @@ def intervals_between(part: str, start: Column, end: Column) -> Column:
     return F.timestamp_diff(part.upper(), start.cast("timestamp"), end.cast("timestamp"))
 
 
+CHUNK = 10_000  # moments that one row of a spine unfolds into
+
+
 def date_spine(bounds: DataFrame, part: str, start: str = "start", end: str = "end") -> DataFrame:
-    """One row per `part` from start up to, not including, end; `bounds` has one row per wanted spine."""
+    """One row per `part` from start up to, not including, end; `bounds` has one row per wanted spine.
+
+    A spine is first cut into chunks, which are dealt out; each makes its own moments, so a long spine is no single
+    array in a single task.
+    """
     if part not in PARTS:
         raise ValueError(f"part must be one of {PARTS}")
+    name, unit = f"date_{part}", part.upper()
     steps = intervals_between(part, F.col(start), F.col(end))
-    last = F.timestamp_add(part.upper(), (steps - 1).cast("int"), F.col(start).cast("timestamp"))
-    interval = "INTERVAL 3 MONTHS" if part == "quarter" else f"INTERVAL 1 {part.upper()}"
-    moments = F.sequence(F.col(start).cast("timestamp"), last, F.expr(interval))
-    name = f"date_{part}"
-    spine = bounds.filter(steps > 0).select(F.explode(moments).alias(name))
+    spines = bounds.select(F.col(start).cast("timestamp").alias("begin"), steps.alias("n")).filter("n > 0")
+    chunks = spines.select("begin", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / CHUNK))).alias("c"))
+    chunks = chunks.repartition("begin", "c").withColumn("first", F.col("c") * CHUNK)
+    last = F.least(F.col("first") + CHUNK, F.col("n")) - 1
+    numbered = chunks.select("begin", F.explode(F.sequence(F.col("first"), last)).alias("i"))
+    spine = numbered.select(F.timestamp_add(unit, F.col("i").cast("int"), F.col("begin")).alias(name))
     return spine.withColumn(name, F.to_date(name)) if part in ("day", "week", "month", "quarter", "year") else spine

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions.numbers import change_pct, safe_divide
-from candlewick.functions.times import bucket_start
+from candlewick.functions.times import arrival_order, bucket_start
 from candlewick.operators.joins import side_by_side
-from candlewick.plans.candles import WIDTH, candles, rollup
+from candlewick.plans.candles import WIDTH, ohlc
 from candlewick.plans.monitor import data_gaps
 from candlewick.schema import TICK_LOG
-from candlewick.sources.log import DAY, expire_days, read_log, upsert
+from candlewick.sources.log import DAY, drop_files, read_log, upsert
 
 
 def vwap(ticks: DataFrame, width: str = WIDTH) -> DataFrame:
@@ -93,19 +93,45 @@ def quality_kpis(ticks: DataFrame, max_gap_seconds: int = 60) -> DataFrame:
 def downsample_then_expire(
     spark: SparkSession, log_path: str, summary_path: str, as_of: dt.datetime, keep_days: int, width: str = "1 hour"
 ) -> list[str]:
-    """Write candles of the days about to expire, compare their totals with the log, then drop those days."""
+    """Write candles of the days about to expire, compare their totals with the log, then drop the files they came from.
+
+    The summary holds a part of a candle for every log file: a repeated run replaces the parts of files that are still
+    there, ticks that came late add parts of their own, and a file that arrives meanwhile is left for the next run.
+    `downsampled` folds the parts. Returns the days that are gone from the log.
+    """
     oldest = F.lit(as_of.date() - dt.timedelta(days=keep_days))
-    expiring = read_log(spark, log_path).filter(F.col(DAY) < oldest).select(*TICK_LOG.names)
-    kept = rollup(candles(expiring), width).withColumn(DAY, F.to_date("period_start"))
-    upsert(kept, summary_path, [DAY, "period_start", "symbol"])
-    stored = spark.read.parquet(summary_path).groupBy(DAY).agg(
-        F.sum("trade_count").alias("stored_ticks"), F.sum("total_volume").alias("stored_volume")
+    expiring = read_log(spark, log_path).filter(F.col(DAY) < oldest)
+    expiring = expiring.select(DAY, F.col("_metadata.file_name").alias("part"), *TICK_LOG.names)
+    files = [(row[DAY], row["part"]) for row in expiring.select(DAY, "part").distinct().collect()]  # of the expired days
+    if not files:
+        return []
+    order = arrival_order()
+    parts = expiring.groupBy(DAY, "part", bucket_start("time", width).alias("period_start"), "symbol").agg(
+        *ohlc(),
+        F.sum("volume").alias("total_volume"),
+        F.count("*").alias("trade_count"),
+        F.min(order).alias("first_at"),
+        F.max(order).alias("last_at"),
     )
-    logged = expiring.groupBy(F.to_date("time").alias(DAY)).agg(
-        F.count("*").alias("ticks"), F.sum("volume").alias("volume")
+    upsert(parts, summary_path, [DAY, "part", "period_start", "symbol"])
+    stored = spark.read.parquet(summary_path).groupBy(DAY, "part").agg(
+        F.sum("trade_count").alias("stored_ticks"), F.sum("total_volume").alias("stored_volume")
     )
+    logged = expiring.groupBy(DAY, "part").agg(F.count("*").alias("ticks"), F.sum("volume").alias("volume"))
     equal = F.col("ticks").eqNullSafe(F.col("stored_ticks")) & F.col("volume").eqNullSafe(F.col("stored_volume"))
-    wrong = logged.join(stored, DAY, "left").filter(~equal).first()
+    wrong = logged.join(stored, [DAY, "part"], "left").filter(~F.coalesce(equal, F.lit(False))).first()
     if wrong is not None:
         raise RuntimeError(f"the summary of {wrong[DAY]} does not match the log; nothing was dropped")
-    return expire_days(spark, log_path, as_of, keep_days)
+    return drop_files(spark, log_path, files)
+
+
+def downsampled(spark: SparkSession, summary_path: str) -> DataFrame:
+    """The candles of a summary, each folded from its parts."""
+    return spark.read.parquet(summary_path).groupBy(DAY, "period_start", "symbol").agg(
+        F.min_by("open", "first_at").alias("open"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        F.max_by("close", "last_at").alias("close"),
+        F.sum("total_volume").alias("total_volume"),
+        F.sum("trade_count").alias("trade_count"),
+    )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from candlewick.functions.numbers import change, change_pct
 from candlewick.functions.times import as_of_column, micros, plus
+from candlewick.sources.log import on_days
 
 
 def _statistics() -> list[Column]:
@@ -21,7 +22,8 @@ def _statistics() -> list[Column]:
 
 def last_day(stg: DataFrame, as_of=None, lookback: str = "24 hours") -> DataFrame:
     now = as_of_column(as_of)
-    return stg.filter((F.col("time") >= plus(now, lookback, -1)) & (F.col("time") <= now))
+    first = plus(now, lookback, -1)
+    return on_days(stg.filter((F.col("time") >= first) & (F.col("time") <= now)), first, now)
 
 
 def stats_24h(stg: DataFrame, as_of=None) -> DataFrame:
@@ -31,7 +33,8 @@ def stats_24h(stg: DataFrame, as_of=None) -> DataFrame:
 def nearest_price(stg: DataFrame, as_of=None, back: str = "24 hours", tolerance: str = "1 hour") -> DataFrame:
     """Price closest in time to `as_of - back`, within the tolerance on either side; the earlier tick wins a tie."""
     target = plus(as_of_column(as_of), back, -1)
-    near = stg.filter(F.col("time").between(plus(target, tolerance, -1), plus(target, tolerance)))
+    first, last = plus(target, tolerance, -1), plus(target, tolerance)
+    near = on_days(stg.filter(F.col("time").between(first, last)), first, last)
     distance = F.abs(F.unix_micros("time") - F.unix_micros(target))
     best = F.min_by(F.struct("price", "time"), F.struct(distance, "time", "id"))
     return (
@@ -49,7 +52,8 @@ def latest_prices(stg: DataFrame, as_of=None) -> DataFrame:
     """
     now = as_of_column(as_of)
     day_ago = plus(now, "24 hours", -1)
-    scan = stg.filter((F.col("time") >= plus(day_ago, "1 hour", -1)) & (F.col("time") <= now))
+    first = plus(day_ago, "1 hour", -1)
+    scan = on_days(stg.filter((F.col("time") >= first) & (F.col("time") <= now)), first, now)
     in_day = F.col("time") >= day_ago
     row = F.struct("price", "volume", "bid", "ask", "spread", "spread_pct", "exchange", "time", "inserted_at")
     distance = F.abs(F.unix_micros("time") - F.unix_micros(day_ago))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from candlewick.functions.numbers import safe_divide, to_mebibytes
 from candlewick.functions.times import as_of_column, bucket_start, micros, plus, seconds_between
 from candlewick.operators.joins import side_by_side
+from candlewick.sources.log import on_days
 
 # Histogram bounds in seconds and in rows.
 LATENCY_BUCKETS = (0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0)
@@ -19,8 +20,11 @@ MAX_LAG_SECONDS, MIN_RECENT_MESSAGES, MAX_BROKER_LAG = 60, 10, 10_000
 
 
 def recent(df: DataFrame, column: str, lookback: str, as_of=None) -> DataFrame:
+    """Rows of the lookback; bounds on a tick's `time` also bound its day."""
     now = as_of_column(as_of)
-    return df.filter((F.col(column) > plus(now, lookback, -1)) & (F.col(column) <= now))
+    first = plus(now, lookback, -1)
+    found = df.filter((F.col(column) > first) & (F.col(column) <= now))
+    return on_days(found, first, now) if column == "time" else found
 
 
 # --- freshness -------------------------------------------------------------------------------------------------
@@ -287,8 +291,11 @@ def missing_periods(
     """Periods of the lookback without any candle; the period that starts at `as_of` counts as expected."""
     now = as_of_column(as_of)
     first, last = bucket_start(plus(now, lookback, -1), step), bucket_start(now, step)
-    every = F.expr(f"INTERVAL {micros(step)} MICROSECONDS")
-    spine = candles.sparkSession.range(1).select(F.explode(F.sequence(first, last, every)).alias("period_start"))
+    begin, end = candles.sparkSession.range(1).select(F.unix_micros(first), F.unix_micros(last)).first()
+    width = micros(step)
+    steps = candles.sparkSession.range((end - begin) // width + 1)  # made in parallel, whatever the lookback
+    spine = steps.select(F.timestamp_micros(F.lit(begin) + F.col("id") * width).alias("period_start"))
+    first, last = F.timestamp_micros(F.lit(begin)), F.timestamp_micros(F.lit(end))
     seen = candles.filter(F.col("period_start").between(first, last)).select("period_start").distinct()
     return spine.join(seen, "period_start", "left_anti")
 

@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.schema import DEFAULT_EXCHANGE, PRICE, VOLUME
+from candlewick.sources.log import DAY
 
 
 def staged_ticks(raw: DataFrame, quotes: str = "passthrough") -> DataFrame:
     """Typed, valid ticks. `quotes="null"` blanks bid and ask; the default keeps them, so spreads can be computed.
 
-    The spread share is relative to the ask.
+    The spread share is relative to the ask. Ticks read from the log keep their day, by which later time filters skip
+    folders.
     """
     if quotes not in ("passthrough", "null"):
         raise ValueError("quotes must be 'passthrough' or 'null'")
@@ -30,6 +32,7 @@ def staged_ticks(raw: DataFrame, quotes: str = "passthrough") -> DataFrame:
         quote("ask"),
         F.coalesce("exchange", F.lit(DEFAULT_EXCHANGE)).alias("exchange"),
         "inserted_at",
+        *([DAY] if DAY in raw.columns else []),
     )
     valid = typed.filter((F.col("price") > 0) & F.col("symbol").isNotNull() & F.col("time").isNotNull())
     quoted = (F.col("bid") > 0) & (F.col("ask") > 0)

@@ -16,7 +16,7 @@ NOW = "TIMESTAMP '2024-01-31 00:00:00'"
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Decimals and doubles as doubles of six digits, the form both engines agree on.
+    """Decimals and doubles as doubles of six digits, the form both engines agree on; infinity and NaN stay.
 
     The way over a decimal makes ties round alike, whatever the last bit of a double is.
     """
@@ -25,7 +25,13 @@ def comparable(df: DataFrame) -> DataFrame:
         column = F.col(f"`{field.name}`")
         if not isinstance(field.dataType, (T.DecimalType, T.FractionalType)):
             return column
-        return F.round(column.cast("decimal(38,12)"), 6).cast("double").alias(field.name)
+        rounded = F.round(column.cast("decimal(38,12)"), 6).cast("double")
+        if isinstance(field.dataType, T.FractionalType) and not isinstance(field.dataType, T.DecimalType):
+            infinite = F.abs(column) == float("inf")
+            rounded = F.when(infinite | F.isnan(column), column.cast("double")).otherwise(
+                F.round(F.when(~infinite & ~F.isnan(column), column).cast("decimal(38,12)"), 6).cast("double")
+            )
+        return rounded.alias(field.name)
 
     return df.select([shown(f) for f in df.schema])
 
@@ -68,6 +74,11 @@ PARTS = {
                || ',"currency":"USD","timestamp":"' || strftime(time, '%Y-%m-%dT%H:%M:%S.%f')
                || '","source":"' || exchange || '"}' AS full_value, *
         FROM log""",
+    # ticks as ingest makes them from whole messages: the id is the place in the message log
+    "ingested": """
+        SELECT "offset" * 1048576 + ('0x' || substr(md5(topic || '/' || partition), 1, 5))::BIGINT AS id, time, symbol, price,
+               volume, bid, ask, exchange, timestamp AS inserted_at
+        FROM messages WHERE NOT broken""",
     "stg": """
         SELECT id, time, symbol, price, volume, bid, ask, exchange, inserted_at,
                CASE WHEN bid > 0 AND ask > 0 THEN ask - bid END AS spread,
@@ -131,6 +142,7 @@ PARTS = {
 _NEEDS = {
     "log": ["ticks"],
     "messages": ["ticks", "log"],
+    "ingested": ["ticks", "log", "messages"],
     "stg": ["ticks", "log"],
     "candles": ["ticks", "log", "stg"],
     "candles_x": ["ticks", "log"],

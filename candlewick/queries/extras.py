@@ -140,7 +140,7 @@ def ext_downsample_expire(spark, sf_dir):
     log_path, summary_path = new_folder(spark, "log"), new_folder(spark, "hourly")
     log.append_log(log_rows(spark, sf_dir), log_path)
     extras.downsample_then_expire(spark, log_path, summary_path, AS_OF, keep_days=20)
-    stored = spark.read.parquet(summary_path).groupBy(F.lit("candles").alias("kept"), "symbol", "dt")
+    stored = extras.downsampled(spark, summary_path).groupBy(F.lit("candles").alias("kept"), "symbol", "dt")
     live = log.read_log(spark, log_path).groupBy(F.lit("log").alias("kept"), "symbol", "dt")
     return stored.agg(F.sum("trade_count").alias("ticks"), F.sum("total_volume").alias("volume")).unionByName(
         live.agg(F.count("*").alias("ticks"), F.sum("volume").alias("volume"))

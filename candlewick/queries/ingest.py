@@ -21,7 +21,9 @@ _LOG_SQL = sql("SELECT * FROM log", "log", LOG_NUMBERS)
 @query(
     "ingest_ticks",
     sql(
-        """SELECT key, topic, partition, "offset", timestamp, time, symbol, price, volume, bid, ask, exchange
+        """SELECT key, topic, partition, "offset", timestamp, time, symbol, price, volume, bid, ask, exchange,
+                  "offset" * 1048576 + ('0x' || substr(md5(topic || '/' || partition), 1, 5))::BIGINT AS id,
+                  timestamp AS inserted_at
            FROM messages WHERE NOT broken""",
         "messages",
         LOG_NUMBERS,

@@ -122,20 +122,17 @@ def cagg_realtime(spark, sf_dir):
     return refresh.realtime_candles(source, path)
 
 
-ALERTS_SQL = sql(
-    """SELECT symbol, time, id, old_price, price AS new_price,
-              (CAST(price AS DOUBLE) - CAST(old_price AS DOUBLE)) / CAST(old_price AS DOUBLE) * 100 AS price_change_pct,
-              printf('ALERT: %s price changed by %.2f%% in last 5 minutes (%s -> %s)', symbol,
-                (CAST(price AS DOUBLE) - CAST(old_price AS DOUBLE)) / CAST(old_price AS DOUBLE) * 100,
-                CAST(old_price AS VARCHAR), CAST(price AS VARCHAR)) AS message
-       FROM (SELECT *, first_value(price) OVER (PARTITION BY symbol ORDER BY time
-                         RANGE BETWEEN INTERVAL 5 MINUTES PRECEDING AND CURRENT ROW) AS old_price FROM stg)
-       WHERE abs((CAST(price AS DOUBLE) - CAST(old_price AS DOUBLE)) / CAST(old_price AS DOUBLE) * 100) > 10""",
-    "stg",
-    "old_price new_price price_change_pct",
-)
-
-
-@query("price_alerts", ALERTS_SQL)
+ALERTS = """SELECT symbol, time, id, old_price, price AS new_price,
+          (CAST(price AS DOUBLE) - CAST(old_price AS DOUBLE)) / CAST(old_price AS DOUBLE) * 100 AS price_change_pct,
+          printf('ALERT: %s price changed by %.2f%% in last 5 minutes (%s -> %s)', symbol,
+            (CAST(price AS DOUBLE) - CAST(old_price AS DOUBLE)) / CAST(old_price AS DOUBLE) * 100,
+            CAST(old_price AS VARCHAR), CAST(price AS VARCHAR)) AS message
+   FROM (SELECT *, first_value(price) OVER (PARTITION BY symbol ORDER BY time
+                     RANGE BETWEEN INTERVAL 5 MINUTES PRECEDING AND CURRENT ROW) AS old_price FROM stg)
+   WHERE abs((CAST(price AS DOUBLE) - CAST(old_price AS DOUBLE)) / CAST(old_price AS DOUBLE) * 100) > 10"""
+ALERT_NUMBERS = "old_price new_price price_change_pct"
+
+
+@query("price_alerts", sql(ALERTS, "stg", ALERT_NUMBERS))
 def price_alerts(spark, sf_dir):
     return alerts.price_alerts(stg(spark, sf_dir))

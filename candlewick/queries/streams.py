@@ -8,7 +8,7 @@ from candlewick.adapters import event_stream, messages_of, ticks_of
 from candlewick.plans.staging import staged_ticks
 from candlewick.queries.base import CANDLE_X_NUMBERS, query, sql
 from candlewick.queries.ingest import LOG_NUMBERS
-from candlewick.queries.models import ALERTS_SQL
+from candlewick.queries.models import ALERT_NUMBERS, ALERTS
 from candlewick.schema import DEFAULT_EXCHANGE
 from candlewick.sources.log import DAY
 from candlewick.sources.scratch import new_folder
@@ -19,19 +19,11 @@ from candlewick.streaming.alerts import alert_stream
 WHOLE_LOG = "60 days"
 
 
-@query(
-    "stream_append",
-    sql(
-        """SELECT key, topic, partition, "offset", timestamp, time, symbol, price, volume, bid, ask, exchange
-           FROM messages WHERE NOT broken""",
-        "messages",
-        LOG_NUMBERS,
-    ),
-)
+@query("stream_append", sql("SELECT * FROM ingested", "ingested", LOG_NUMBERS))
 def stream_append(spark, sf_dir):
     path = new_folder(spark, "appended")
     jobs.run_bounded(jobs.append_ticks(messages_of(event_stream(spark, sf_dir)), path))
-    return spark.read.parquet(path).drop("value", DAY)
+    return spark.read.parquet(path).drop(DAY)
 
 
 @query("stream_dedup", sql('SELECT key, topic, partition, "offset", timestamp FROM messages', "messages"))
@@ -54,7 +46,7 @@ def stream_ohlcv(spark, sf_dir):
     return spark.read.parquet(path).drop(DAY)
 
 
-@query("stream_price_alerts", ALERTS_SQL)
+@query("stream_price_alerts", sql(ALERTS, "stg", ALERT_NUMBERS))
 def stream_price_alerts(spark, sf_dir):
     path = new_folder(spark, "alerts")
     alerts = alert_stream(staged_ticks(ticks_of(event_stream(spark, sf_dir))), delay=WHOLE_LOG)

@@ -12,7 +12,7 @@ DEFAULT_EXCHANGE = "coinbase"
 # One row per accepted tick; `id` is the ingest sequence, used only to order ticks of the same instant.
 TICK_LOG = T.StructType(
     [
-        T.StructField("id", T.LongType()),
+        T.StructField("id", T.LongType(), False),
         T.StructField("time", T.TimestampType(), False),
         T.StructField("symbol", T.StringType(), False),
         T.StructField("price", PRICE, False),
@@ -36,7 +36,7 @@ MESSAGES = T.StructType(
     ]
 )
 
-REQUIRED = ("time", "symbol", "price")
+REQUIRED = ("id", "time", "symbol", "price")
 MAX_LENGTH = {"symbol": 20, "exchange": 50}
 
 

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick.functions.times import as_of_column
 from candlewick.schema import DEFAULT_EXCHANGE, REQUIRED, TICK_LOG, check_same_columns
-from candlewick.sources.scratch import new_folder
+from candlewick.sources.scratch import new_folder, remove_folder
 
 DAY = "dt"
 MARKER = "_compacted"  # readers skip names that start with an underscore
@@ -52,30 +52,42 @@ def between(log: DataFrame, start=None, end=None) -> DataFrame:
     """Time range of a log; the day predicate prunes folders, the time predicate reaches the row groups."""
     if start is not None:
         begin = F.lit(start).cast("timestamp")
-        log = log.filter((F.col("time") >= begin) & (F.col(DAY) >= F.to_date(begin)))
+        log = on_days(log.filter(F.col("time") >= begin), begin)
     if end is not None:
         stop = F.lit(end).cast("timestamp")
-        log = log.filter((F.col("time") <= stop) & (F.col(DAY) <= F.to_date(stop)))
+        log = on_days(log.filter(F.col("time") <= stop), None, stop)
     return log
 
 
+def on_days(ticks: DataFrame, first: Column | None = None, last: Column | None = None) -> DataFrame:
+    """The day bounds that go with a bound on `time`, for ticks that still carry their day; folders are pruned by them."""
+    if DAY in ticks.columns:
+        if first is not None:
+            ticks = ticks.filter(F.col(DAY) >= F.to_date(first))
+        if last is not None:
+            ticks = ticks.filter(F.col(DAY) <= F.to_date(last))
+    return ticks
+
+
 def replace_days(rows: DataFrame, path: str) -> None:
     """Swap exactly the day folders present in `rows`.
 
     The new content is staged in the shared folder first: the plan may read the folders it is about to replace, and
-    a failed swap can be repeated from the staged copy.
+    a failed swap can be repeated from the staged copy, which goes once the swap is committed.
     """
     spark = rows.sparkSession
     staged = new_folder(spark, "staged-days")
     rows.write.partitionBy(DAY).parquet(staged)
-    copy = spark.read.schema(rows.schema).parquet(staged)
-    (
-        copy.sortWithinPartitions(DAY)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY)
-        .parquet(path)
-    )
+    if day_folders(spark, staged):
+        copy = spark.read.schema(rows.schema).parquet(staged)
+        (
+            copy.sortWithinPartitions(DAY)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(DAY)
+            .parquet(path)
+        )
+    remove_folder(spark, staged)
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -133,6 +145,20 @@ def expire_days(spark: SparkSession, path: str, as_of: dt.datetime, keep_days: i
     return [f"{DAY}={day}" for day in sorted(expired)]
 
 
+def drop_files(spark: SparkSession, path: str, files: list[tuple[dt.date, str]]) -> list[str]:
+    """Delete the named files of (day, name) and the day folders that are left without data; returns those days."""
+    gone = []
+    for day, name in files:
+        target, fs = _file_system(spark, f"{path}/{DAY}={day}/{name}")
+        fs.delete(target, False)
+    for day in sorted({day for day, _ in files}):
+        folder, fs = _file_system(spark, f"{path}/{DAY}={day}")
+        if all(s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(folder)):
+            fs.delete(folder, True)
+            gone.append(f"{DAY}={day}")
+    return gone
+
+
 def day_inventory(spark: SparkSession, path: str) -> DataFrame:
     """Per day: time range, rows, files, bytes and state. Reads only `time` and the file metadata."""
     files = (
@@ -176,15 +202,16 @@ def upsert(batch: DataFrame, path: str, keys: list[str], full_refresh: bool = Fa
     if full_refresh or not path_exists(spark, path):
         batch.hint("rebalance", DAY).sortWithinPartitions(DAY).write.mode("overwrite").partitionBy(DAY).parquet(path)
         return
-    check_same_columns(batch.schema, spark.read.parquet(path).schema)
+    if day_folders(spark, path):  # a table without any day has no columns yet
+        check_same_columns(batch.schema, spark.read.parquet(path).schema)
     staged = new_folder(spark, "staged-batch")
     batch.write.parquet(staged)
     fresh = spark.read.schema(batch.schema).parquet(staged)
     # Distinct days of one incremental batch: bounded by the lookback, not by the number of rows.
     days = [row[0] for row in fresh.select(DAY).distinct().collect()]
-    if not days:
-        return
     target = spark.read.schema(batch.schema).parquet(path).filter(F.col(DAY).isin(days)).alias("old")
     same = [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in keys]
     kept = target.join(fresh.select(*keys).alias("new"), same, "left_anti")
-    replace_days(kept.select(*batch.columns).unionByName(fresh).hint("rebalance", DAY), path)
+    if days:
+        replace_days(kept.select(*batch.columns).unionByName(fresh).hint("rebalance", DAY), path)
+    remove_folder(spark, staged)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.operators.joins import broadcast_if_small
 from candlewick.schema import DEFAULT_EXCHANGE, PRICE, VOLUME
 
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -15,9 +14,12 @@ def parse_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     """Add the tick columns and `problem` (NULL for a usable tick) to a message DataFrame.
 
     The payload is read as a map in one pass: a map tells an absent field (takes the default) from an explicit null
-    (stays NULL), and numbers arrive as text, so decimals never go through a float.
+    (stays NULL), and numbers arrive as text, so decimals never go through a float. A number that is there but
+    unusable makes a reject. The place in the message log gives `id`, its time there `inserted_at`.
     """
     body = F.col("_body")
+    place = [message_id().alias("id")] if {"topic", "partition", "offset"} <= set(messages.columns) else []
+    arrival = [F.col("timestamp").alias("inserted_at")] if "timestamp" in messages.columns else []
 
     def field(name: str) -> Column:
         return F.element_at(body, F.lit(name))
@@ -34,6 +36,8 @@ def parse_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     parsed = parsed.select(
         *messages.columns,
         "_body",
+        *place,
+        *arrival,
         field("timestamp").try_cast("timestamp").alias("time"),
         field("symbol").alias("symbol"),
         number(field("price"), PRICE).alias("price"),
@@ -42,22 +46,38 @@ def parse_messages(messages: DataFrame, value: str = "value") -> DataFrame:
         number(field("ask"), PRICE).alias("ask"),
         field_or("source", DEFAULT_EXCHANGE).alias("exchange"),
     )
+
+    def unusable(name: str) -> Column:
+        return field(name).isNotNull() & F.col(name).isNull()
+
     problem = (
         F.when(body.isNull(), "malformed json")
         .when(F.col("time").isNull(), "no usable timestamp")
         .when(F.col("symbol").isNull(), "no symbol")
         .when(F.col("price").isNull(), "no usable price")
+        .when(unusable("volume"), "no usable volume")
+        .when(unusable("bid"), "no usable bid")
+        .when(unusable("ask"), "no usable ask")
     )
     return parsed.withColumn("problem", problem).drop("_body")
 
 
+def message_id() -> Column:
+    """Ingest sequence of a message: its offset, then 20 bits that tell topics and partitions apart.
+
+    Within a partition ids ascend with the offset; the same message has the same id in every run.
+    """
+    partition = F.md5(F.concat_ws("/", "topic", F.col("partition").cast("string")))
+    return F.col("offset") * F.lit(1 << 20) + F.conv(F.substring(partition, 1, 5), 16, 10).cast("long")
+
+
 def accepted(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("problem").isNull()).drop("problem")
 
 
 def rejected(parsed: DataFrame) -> DataFrame:
     """The dead letters: the untouched message and why it was refused."""
-    tick_columns = ["time", "symbol", "price", "volume", "bid", "ask", "exchange"]
+    tick_columns = ["id", "inserted_at", "time", "symbol", "price", "volume", "bid", "ask", "exchange"]
     return parsed.filter(F.col("problem").isNotNull()).drop(*tick_columns)
 
 
@@ -94,6 +114,6 @@ def after_committed(messages: DataFrame, committed: DataFrame) -> DataFrame:
 
     A partition without a committed offset is read from its start.
     """
-    position = broadcast_if_small(committed.select("topic", "partition", F.col("next_offset").alias("_next")))
+    position = committed.select("topic", "partition", F.col("next_offset").alias("_next"))
     joined = messages.join(position, ["topic", "partition"], "left")
     return joined.filter(F.col("offset") >= F.coalesce("_next", F.lit(0))).drop("_next")

@@ -32,6 +32,14 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that `new_folder` named, once nothing reads it any more."""
+    if not path.startswith(f"{shared_folder(spark)}/"):
+        raise ValueError(f"{path} is no working folder")
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write once, read back: cuts the lineage where a result is used several times."""
     path = new_folder(df.sparkSession, label)

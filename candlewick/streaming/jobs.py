@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from candlewick.functions.times import micros
 from candlewick.plans.candles import WIDTH, trade_statistics
 from candlewick.schema import MESSAGES
-from candlewick.sources.log import DAY, upsert
+from candlewick.sources.log import DAY, to_log_rows, upsert
 from candlewick.sources.messages import accepted, parse_messages
 from candlewick.sources.scratch import new_folder
 
@@ -60,8 +60,8 @@ def run_bounded(query: StreamingQuery, seconds: int | None = None) -> StreamingQ
 
 
 def append_ticks(messages: DataFrame, path: str, checkpoint: str | None = None, every: str | None = None):
-    """Messages -> tick files per day. The file sink commits a batch once, so a repeated batch adds nothing."""
-    rows = accepted(parse_messages(messages)).withColumn(DAY, F.to_date("time"))
+    """Messages -> rows of the tick log, per day. The file sink commits a batch once, so a repeated one adds nothing."""
+    rows = to_log_rows(accepted(parse_messages(messages))).withColumn(DAY, F.to_date("time"))
     writer = rows.writeStream.format("parquet").outputMode("append").partitionBy(DAY).option("path", path)
     return start(writer, messages.sparkSession, checkpoint, every)
 
@@ -100,15 +100,42 @@ def upsert_stream(
     return start(writer, rows.sparkSession, checkpoint, every)
 
 
-def throughput_of(query: StreamingQuery, spark: SparkSession) -> DataFrame:
-    """Rows and rates per finished batch, from the query's progress reports."""
-    rows = [
-        (p["batchId"], p["numInputRows"], float(p.get("inputRowsPerSecond") or 0), float(p["processedRowsPerSecond"]))
-        for p in query.recentProgress
-    ]
-    return spark.createDataFrame(
-        rows, "batch_id long, input_rows long, input_rows_per_second double, processed_rows_per_second double"
-    )
+class ProgressLog(StreamingQueryListener):
+    """Keeps the progress of every batch of the session's streams, from the moment it is added to the session.
+
+    A query's own `recentProgress` forgets all but the last batches.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.rows = spark, []
+        spark.streams.addListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        rates = (float(p.inputRowsPerSecond or 0), float(p.processedRowsPerSecond or 0))
+        self.rows.append((str(p.id), p.batchId, p.numInputRows, *(0.0 if r != r else r for r in rates)))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def throughput(self, query: StreamingQuery) -> DataFrame:
+        """Rows and rates of every finished batch of a query."""
+        own = [r[1:] for r in self.rows if r[0] == str(query.id)]
+        return self.spark.createDataFrame(
+            own, "batch_id long, input_rows long, input_rows_per_second double, processed_rows_per_second double"
+        )
+
+    def write(self, path: str) -> None:
+        """Append what was kept to a table of all queries and forget it."""
+        kept, self.rows = self.rows, []
+        schema = "query string, batch_id long, input_rows long, input_rows_per_second double, processed_rows_per_second double"
+        self.spark.createDataFrame(kept, schema).write.mode("append").parquet(path)
 
 
 def observed(messages: DataFrame, name: str = "throughput") -> DataFrame:

@@ -36,7 +36,33 @@ def test_second_expiry_keeps_earlier_summaries(spark, tmp_path):
 def test_nothing_is_dropped_when_totals_differ(spark, tmp_path, monkeypatch):
     path, kept = str(tmp_path / "log"), str(tmp_path / "kept")
     log.append_log(ticks(spark, tick(1, "2024-01-01 10:00:00")), path)
-    monkeypatch.setattr(extras, "rollup", lambda base, width: base.drop("period_key").withColumn("trade_count", F.lit(7).cast("long")))
+    write = extras.upsert
+    wrong = lambda parts, *rest: write(parts.withColumn("trade_count", F.lit(7).cast("long")), *rest)
+    monkeypatch.setattr(extras, "upsert", wrong)
     with pytest.raises(RuntimeError):
         extras.downsample_then_expire(spark, path, kept, at("2024-02-01"), 1)
     assert log.read_log(spark, path).count() == 1
+
+
+def test_late_ticks_join_the_stored_candle(spark, tmp_path):
+    path, kept = str(tmp_path / "log"), str(tmp_path / "kept")
+    minutes = [10, 11, 12, 13, 14, 15, 16, 17, 18, 19]
+    log.append_log(ticks(spark, *[tick(m, f"2024-01-01 10:{m}:00", price=str(m)) for m in minutes]), path)
+    assert extras.downsample_then_expire(spark, path, kept, at("2024-02-01"), 1) == ["dt=2024-01-01"]
+    log.append_log(ticks(spark, tick(90, "2024-01-01 10:05:00", price="50"), tick(91, "2024-01-01 10:50:00", price="1")), path)
+    assert extras.downsample_then_expire(spark, path, kept, at("2024-02-01"), 1) == ["dt=2024-01-01"]
+    assert extras.downsample_then_expire(spark, path, kept, at("2024-02-01"), 1) == []
+    candle = extras.downsampled(spark, kept).first()
+    assert (candle.trade_count, candle.total_volume) == (12, 12)
+    assert (candle.open, candle.high, candle.low, candle.close) == (50, 50, 1, 1)
+
+
+def test_a_run_that_stopped_before_dropping_may_be_repeated(spark, tmp_path, monkeypatch):
+    path, kept = str(tmp_path / "log"), str(tmp_path / "kept")
+    log.append_log(ticks(spark, tick(1, "2024-01-01 10:00:00"), tick(2, "2024-01-01 10:01:00")), path)
+    with monkeypatch.context() as stopped:
+        stopped.setattr(extras, "drop_files", lambda *_: [])
+        extras.downsample_then_expire(spark, path, kept, at("2024-02-01"), 1)
+    log.append_log(ticks(spark, tick(3, "2024-01-01 10:02:00")), path)
+    extras.downsample_then_expire(spark, path, kept, at("2024-02-01"), 1)
+    assert extras.downsampled(spark, kept).first().trade_count == 3 and not log.day_folders(spark, path)

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 import time
 from decimal import Decimal
 
@@ -7,9 +8,12 @@ import pytest
 from helpers import TICKS, at, rows, tick, ticks
 from pyspark.sql import functions as F
 
+from candlewick.plans import candles, latest, monitor, refresh
+from candlewick.plans.staging import staged_ticks
 from candlewick.schema import MESSAGES, TICK_LOG, SchemaDrift, check_same_columns
 from candlewick.sources import log
 from candlewick.sources import messages as wire
+from candlewick.sources import scratch
 
 
 def message(value, offset=0, key="k", topic="ticks", partition=0):
@@ -168,3 +172,83 @@ def test_schema_drift_is_refused(spark, folder):
 
 def test_tick_schema_matches_the_helpers(spark):
     assert spark.createDataFrame([], TICKS).columns == TICK_LOG.names
+
+
+def test_unusable_numbers_are_rejects(spark):
+    parsed = parse(spark, {**GOOD, "volume": "many"}, {**GOOD, "bid": "x"}, {**GOOD, "ask": {}}, {**GOOD, "ask": None})
+    assert rows(wire.rejected(parsed), "offset", "problem") == [
+        (0, "no usable volume"), (1, "no usable bid"), (2, "no usable ask")
+    ]
+
+
+def test_messages_become_complete_log_rows(spark, folder):
+    times = ["2024-01-01T00:00:01"] * 3 + ["2024-01-01T00:00:00"]
+    values = [{**GOOD, "price": p, "timestamp": t} for p, t in zip((5, 6, 7, 4), times)]
+    parsed = parse(spark, *values, "broken")
+    log.append_log(log.to_log_rows(wire.accepted(parsed)), folder)
+    stored = log.read_log(spark, folder)
+    assert stored.filter("id IS NULL OR inserted_at IS NULL").count() == 0
+    assert stored.orderBy("id").select("price").first().price == 5  # ids follow the offsets of a partition
+    candle = candles.candles(staged_ticks(stored)).first()
+    assert (candle.open, candle.close, candle.trade_count) == (4, 7, 4)
+
+
+def test_ids_differ_between_partitions_and_topics(spark):
+    data = [message(GOOD, o, topic=t, partition=p) for o in range(3) for t in ("a", "b") for p in range(4)]
+    ids = [r.id for r in wire.parse_messages(spark.createDataFrame(data, MESSAGES)).collect()]
+    assert len(set(ids)) == len(data)
+
+
+def test_rows_without_id_still_have_open_and_close(spark):
+    df = ticks(spark, tick(1, "2024-01-01 00:00:00", price="3")).withColumn("id", F.lit(None).cast("long"))
+    assert candles.candles(df).first().open == 3
+    assert rows(log.broken_rows(df), "missing") == [("id",)]
+
+
+def pruned(df):
+    """Whether a bound on the day is among the partition filters of the scan."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return all("dt" in part.split("]")[0] for part in plan.split("PartitionFilters: [")[1:]) and "PartitionFilters" in plan
+
+
+def test_time_filters_skip_day_folders(spark, folder):
+    log.append_log(log.to_log_rows(ticks(spark, *[tick(i, f"2024-01-0{i} 10:00:00") for i in range(1, 9)])), folder)
+    stored = log.read_log(spark, folder)
+    stg = staged_ticks(stored)
+    now = at("2024-01-08 12:00:00")
+    for found in (latest.last_day(stg, now), latest.latest_prices(stg, now), latest.nearest_price(stg, now),
+                  latest.last_day(stg), refresh.changed_since(stg, "2024-01-07 00:00:00", "2 hours"),
+                  monitor.recent(stored, "time", "1 hour", now), log.between(stored, at("2024-01-05"))):
+        assert pruned(found)
+    assert latest.last_day(stg, now).count() == 1
+
+
+def test_empty_first_run(spark, tmp_path):
+    data = staged_ticks(log.to_log_rows(ticks(spark, tick(1, "2023-05-01 00:00:00"), tick(2, "2024-01-01 00:20:00"))))
+    for name, run, key in (
+        ("candles", refresh.refresh_candles, "period_key"),
+        ("summary", refresh.refresh_summary, "window_id"),
+    ):
+        path = str(tmp_path / name)
+        run(data.limit(0), path)
+        run(data.limit(0), path)
+        run(data, path)
+        assert spark.read.parquet(path).select(key).distinct().count() == 2
+        run(data, path)
+        assert spark.read.parquet(path).count() == 2
+    path = str(tmp_path / "range")
+    refresh.refresh_range(data.limit(0), path, at("2024-01-01 01:00:00"))
+    assert refresh.realtime_candles(data, path).count() == 2
+    refresh.refresh_range(data, path, at("2024-01-01 01:00:00"))
+    assert refresh.realtime_candles(data, path).count() == 1  # buckets before the refreshed range are not stored
+
+
+def test_staging_goes_after_the_commit(spark, folder):
+    rows_ = log.to_log_rows(ticks(spark, *[tick(i, f"2024-01-0{1 + i % 3} 10:00:00") for i in range(9)]))
+    log.append_log(rows_, folder)
+    before = set(os.listdir(scratch.shared_folder(spark)))
+    log.compact_log(spark, folder, at("2024-02-01"))
+    log.upsert(rows_.withColumn(log.DAY, F.to_date("time")), folder, [log.DAY, "id"])
+    assert set(os.listdir(scratch.shared_folder(spark))) == before and log.read_log(spark, folder).count() == 9
+    with pytest.raises(ValueError):
+        scratch.remove_folder(spark, folder)

@@ -6,7 +6,7 @@ from helpers import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from candlewick.operators import columns, dedupe, joins, ordered, reshape, series
+from candlewick.operators import columns, dedupe, ordered, reshape, series
 from candlewick.sources.tables import read_csv, tables_like, tables_with_prefix
 
 
@@ -126,10 +126,20 @@ def test_column_values(spark):
     assert reshape.column_values(df, "field", where="false", default=["none"]) == ["none"]
 
 
-def test_too_many_values_for_the_driver_is_an_error(spark, monkeypatch):
-    monkeypatch.setattr(reshape, "MAX_DRIVER_VALUES", 5)
-    with pytest.raises(ValueError):
-        reshape.column_values(spark.range(6), "id")
+def test_column_values_have_no_hidden_limit_and_an_order(spark):
+    assert len(reshape.column_values(spark.range(10_001), "id")) == 10_001
+    df = spark.createDataFrame([(c,) for c in "bbac"], "field string")
+    assert reshape.column_values(df, "field", order_by="value desc") == ["c", "b", "a"]
+    assert reshape.column_values(df, "field", order_by="row_count, value", max_records=2) == ["a", "c"]
+    assert len(reshape.results_as_columns(spark.range(10_001), ["id"]).first().id) == 10_001
+
+
+def test_long_spines_are_dealt_out(spark):
+    bounds = spark.sql("SELECT TIMESTAMP '2024-01-01' AS start, TIMESTAMP '2024-01-02 00:00:01' AS end")
+    spine = series.date_spine(bounds, "second")
+    found = spine.agg(F.count("*").alias("n"), F.min("date_second").alias("a"), F.max("date_second").alias("b")).first()
+    assert (found.n, str(found.a), str(found.b)) == (86401, "2024-01-01 00:00:00", "2024-01-02 00:00:00")
+    assert "REPARTITION_BY_COL" in spine._jdf.queryExecution().toString()
 
 
 def test_single_value(spark):
@@ -185,10 +195,3 @@ def test_csv_source_with_declared_types(spark, tmp_path):
     (tmp_path / "seed.csv").write_text("col_1,col_2,col_3\n1,a,true\n2,,false\n")
     got = read_csv(spark, str(tmp_path / "seed.csv"), "col_1 int, col_2 string, col_3 boolean")
     assert rows(got) == [(1, "a", True), (2, None, False)]
-
-
-def test_broadcast_only_after_a_size_check(spark):
-    small, large = joins.broadcast_if_small(spark.range(10)), joins.broadcast_if_small(spark.range(10), max_rows=5)
-    assert small.count() == large.count() == 10
-    hint = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
-    assert hint(small) and not hint(large)
