@@ -74,7 +74,7 @@ class Pieces:
     `added` are special strings with their ids, which are cut out of a text before anything else.
     """
 
-    LIMIT = 600_000  # remembered pieces
+    LIMIT = 250_000  # remembered pieces
 
     def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], added: dict[str, int]):
         self.encode, self.added = encode, {k.encode(): v for k, v in added.items()}
