@@ -1,14 +1,13 @@
 """lag/lead over groups of any size.
 
-A window partitioned by the key alone sends a whole key to one task. Here the order column is cut into slices (equal
-shares of all rows), the window runs per (key, slice), and one carried row per slice stands in for its neighbour, so
-a key with a third of all rows is spread over about a third of the slices.
+A window partitioned by the key alone sends a whole key to one task. Here the order columns are cut into slices (about
+equal shares of all rows), the window runs per (key, slice), and one carried row per slice stands in for its neighbour,
+so a key with a third of all rows is spread over about a third of the slices.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.sources.scratch import materialise
@@ -16,38 +15,21 @@ from candlewick.sources.scratch import materialise
 _SLICE, _CARRIED = "_slice", "_carried"
 
 
-def _as_double(df: DataFrame, column: str) -> Column:
-    kind = df.schema[column].dataType.typeName()
-    if kind in ("timestamp", "timestamp_ntz"):
-        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
-    if kind == "date":
-        return F.unix_date(column).cast("double")
-    return F.col(column).cast("double")
+def with_slices(df: DataFrame, order_by: list[str], slices: int | None = None) -> DataFrame:
+    """The rows written once, with `_slice`: a number that never falls in the order of `order_by` (NULL last).
 
-
-def with_slices(df: DataFrame, column: str, slices: int | None = None) -> DataFrame:
-    """Add `_slice`: a number that never falls when `column` grows (NULL sorts last).
-
-    The cuts are approximate quantiles: one mergeable aggregate, a few hundred numbers on the driver.
+    Range partitioning does the cutting, so any type that can be ordered will do, and there are as many slices as
+    asked for as long as the rows differ in the order columns.
     """
     count = slices or max(16, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    position = _as_double(df, column)
-    shares = [i / count for i in range(1, count)]
-    cuts = df.agg(F.percentile_approx(position, shares, 1000).alias("cuts")).first()["cuts"] or []
-    inner = sorted({c for c in cuts if c == c})
-    splits = [-float("inf"), *inner, float("inf")]
-    if len(splits) < 3:
-        return df.withColumn(_SLICE, F.when(F.col(column).isNull(), F.lit(1.0)).otherwise(F.lit(0.0)))
-    cutter = Bucketizer(splits=splits, inputCol="_position", outputCol=_SLICE, handleInvalid="keep")
-    placed = df.withColumn("_position", F.coalesce(position, F.lit(float("nan"))))
-    return cutter.transform(placed).drop("_position")
+    dealt = df.repartitionByRange(count, *[F.col(c).asc_nulls_last() for c in order_by])
+    return materialise(dealt.withColumn(_SLICE, F.spark_partition_id()), "ordered")
 
 
 def _neighbour(
     df: DataFrame, keys: list[str], order_by: list[str], columns: dict[str, str], following: bool, slices: int | None
 ) -> DataFrame:
-    # Read three times below (cuts, edges, rows), so computed once.
-    sliced = with_slices(materialise(df, "ordered"), order_by[0], slices)
+    sliced = with_slices(df, order_by, slices)
     far = F.struct(*[F.col(c).isNull().alias(f"n{i}") if j == 0 else F.col(c).alias(f"v{i}")
                      for i, c in enumerate(order_by) for j in (0, 1)])
     wanted = F.struct(*[F.col(c) for c in columns])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from candlewick.functions.numbers import safe_divide, to_mebibytes
 from candlewick.functions.times import as_of_column, bucket_start, micros, plus, seconds_between
 from candlewick.operators.joins import side_by_side
+from candlewick.operators.ordered import with_previous
 from candlewick.sources.log import on_days
 
 # Histogram bounds in seconds and in rows.
@@ -60,15 +61,14 @@ def data_gaps(ticks: DataFrame, max_gap_seconds: int = 60, keys: tuple[str, ...]
     """Pauses longer than `max_gap_seconds` between neighbouring ticks of a key.
 
     Two ticks in one bucket of that length are never too far apart, so first and last tick of each bucket are enough;
-    the window runs over buckets, not over ticks.
+    buckets meet their neighbours slice by slice, so a busy key is no single task.
     """
     ends = ticks.groupBy(*keys, bucket_start("time", f"{max_gap_seconds} seconds").alias("bucket")).agg(
         F.min("time").alias("first"), F.max("time").alias("last")
     )
-    in_order = Window.partitionBy(*keys).orderBy("bucket")
     gap = seconds_between(F.col("first"), F.col("previous_time"))
     return (
-        ends.withColumn("previous_time", F.lag("last").over(in_order))
+        with_previous(ends, list(keys), ["bucket"], {"last": "previous_time"})
         .select(*keys, F.col("previous_time").alias("gap_start"), F.col("first").alias("gap_end"),
                 gap.alias("gap_seconds"))
         .filter(F.col("gap_seconds") > max_gap_seconds)
@@ -156,12 +156,12 @@ def table_stats(ticks: DataFrame, lookback: str = "5 minutes", as_of=None) -> Da
 def throughput_delta(ticks: DataFrame, sample: str = "10 minutes") -> DataFrame:
     """Change of the row count from one sample interval to the next, never below 0, as rows per second.
 
-    One row per interval remains before the window, whatever the size of the log.
+    One row per interval remains, and intervals meet their neighbours slice by slice.
     """
     counts = ticks.groupBy(bucket_start("inserted_at", sample).alias("sampled_at")).agg(F.count("*").alias("records"))
-    before = F.coalesce(F.lag("records").over(Window.orderBy("sampled_at")), F.lit(0))
-    delta = F.greatest(F.lit(0).cast("long"), F.col("records") - before)
-    return counts.withColumn("delta_records", delta).withColumn(
+    delta = F.greatest(F.lit(0).cast("long"), F.col("records") - F.coalesce("before", F.lit(0)))
+    beside = with_previous(counts, [], ["sampled_at"], {"records": "before"})
+    return beside.select("sampled_at", "records", delta.alias("delta_records")).withColumn(
         "records_per_second", F.round(F.col("delta_records") / (micros(sample) / 1_000_000), 6)
     )
 
@@ -333,7 +333,14 @@ def quality_report(candles: DataFrame, lookback: str = "24 hours", as_of=None) -
 
 
 def running_totals(counts: DataFrame, columns: list[str], time: str = "sampled_at") -> DataFrame:
-    """Counts per interval -> monotone counters, one row per (counter, sample)."""
-    so_far = Window.orderBy(time).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = counts.select(F.col(time), *[F.sum(c).over(so_far).alias(c) for c in columns])
-    return totals.unpivot([time], columns, "counter", "value")
+    """Counts per interval -> monotone counters, one row per (counter, sample).
+
+    Sums run within a day and start from the total of the days before: only days meet in one task.
+    """
+    rows = counts.withColumn("_day", F.to_date(time))
+    days = rows.groupBy("_day").agg(*[F.sum(c).alias(f"_{c}") for c in columns])
+    earlier = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    before = days.select("_day", *[F.coalesce(F.sum(f"_{c}").over(earlier), F.lit(0)).alias(f"_{c}") for c in columns])
+    within = Window.partitionBy("_day").orderBy(time).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = [(F.sum(c).over(within) + F.col(f"_{c}")).alias(c) for c in columns]
+    return rows.join(before, "_day").select(F.col(time), *sums).unpivot([time], columns, "counter", "value")

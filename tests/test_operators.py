@@ -187,7 +187,7 @@ def test_neighbours_across_slices_equal_a_plain_window(spark, slices, keys):
 
 def test_slices_spread_a_hot_key(spark):
     df = spark.range(10_000).select(F.lit("hot").alias("k"), F.col("id").alias("v"))
-    sizes = [r["count"] for r in ordered.with_slices(df, "v", 20).groupBy("_slice").count().collect()]
+    sizes = [r["count"] for r in ordered.with_slices(df, ["v"], 20).groupBy("_slice").count().collect()]
     assert len(sizes) == 20 and max(sizes) < 1000
 
 
@@ -195,3 +195,15 @@ def test_csv_source_with_declared_types(spark, tmp_path):
     (tmp_path / "seed.csv").write_text("col_1,col_2,col_3\n1,a,true\n2,,false\n")
     got = read_csv(spark, str(tmp_path / "seed.csv"), "col_1 int, col_2 string, col_3 boolean")
     assert rows(got) == [(1, "a", True), (2, None, False)]
+
+
+def test_neighbours_in_text_order(spark):
+    df = spark.createDataFrame([(c,) for c in "dbaec"] + [(None,)], "t string")
+    got = rows(ordered.with_previous(df, [], ["t"], {"t": "p"}, slices=4), "t", "p")
+    assert set(got) == {("a", None), ("b", "a"), ("c", "b"), ("d", "c"), ("e", "d"), (None, "e")}
+
+
+def test_slices_are_as_many_as_asked_for(spark):
+    sliced = ordered.with_slices(spark.range(20_000), ["id"], 200)
+    sizes = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
+    assert len(sizes) == 200 and max(sizes) < 5 * 20_000 / 200
