@@ -7,23 +7,23 @@ so a key with a third of all rows is spread over about a third of the slices.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.sources.scratch import materialise
 
-_SLICE, _CARRIED = "_slice", "_carried"
+SLICE, _CARRIED = "_slice", "_carried"
 
 
-def with_slices(df: DataFrame, order_by: list[str], slices: int | None = None) -> DataFrame:
+def with_slices(df: DataFrame, order_by: list[str | Column], slices: int | None = None) -> DataFrame:
     """The rows written once, with `_slice`: a number that never falls in the order of `order_by` (NULL last).
 
     Range partitioning does the cutting, so any type that can be ordered will do, and there are as many slices as
     asked for as long as the rows differ in the order columns.
     """
     count = slices or max(16, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = df.repartitionByRange(count, *[F.col(c).asc_nulls_last() for c in order_by])
-    return materialise(dealt.withColumn(_SLICE, F.spark_partition_id()), "ordered")
+    dealt = df.repartitionByRange(count, *[F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order_by])
+    return materialise(dealt.withColumn(SLICE, F.spark_partition_id()), "ordered")
 
 
 def _neighbour(
@@ -34,27 +34,27 @@ def _neighbour(
                      for i, c in enumerate(order_by) for j in (0, 1)])
     wanted = F.struct(*[F.col(c) for c in columns])
     edge = (F.min_by if following else F.max_by)(wanted, far)
-    edges = sliced.groupBy(*keys, _SLICE).agg(edge.alias("_edge"))
+    edges = sliced.groupBy(*keys, SLICE).agg(edge.alias("_edge"))
     # At most one row per key and slice.
-    across = Window.partitionBy(*keys).orderBy(_SLICE) if keys else Window.orderBy(_SLICE)
+    across = Window.partitionBy(*keys).orderBy(SLICE) if keys else Window.orderBy(SLICE)
     beside = (F.lead if following else F.lag)("_edge").over(across)
     carried = edges.withColumn("_edge", beside).filter(F.col("_edge").isNotNull())
 
     base = sliced.withColumn(_CARRIED, F.lit(False)).withColumn("_value", wanted)
     stand_in = carried.select(
-        *keys, _SLICE, F.lit(True).alias(_CARRIED), F.col("_edge").alias("_value")
+        *keys, SLICE, F.lit(True).alias(_CARRIED), F.col("_edge").alias("_value")
     )
     rows = base.unionByName(stand_in, allowMissingColumns=True)
     ascending = [o for c in order_by for o in (F.col(c).asc_nulls_last(),)]
     # The stand-in comes first for lag (it precedes the slice) and last for lead.
     first = F.col(_CARRIED).asc() if following else F.col(_CARRIED).desc()
-    inside = Window.partitionBy(*keys, _SLICE).orderBy(first, *ascending)
+    inside = Window.partitionBy(*keys, SLICE).orderBy(first, *ascending)
     step = (F.lead if following else F.lag)("_value").over(inside)
     named = rows.withColumn("_beside", step).filter(~F.col(_CARRIED))
     for source, target in columns.items():
         named = named.withColumn(target, F.col("_beside").getField(source))
     flag = "has_next" if following else "has_previous"
-    return named.withColumn(flag, F.col("_beside").isNotNull()).drop(_SLICE, _CARRIED, "_value", "_beside")
+    return named.withColumn(flag, F.col("_beside").isNotNull()).drop(SLICE, _CARRIED, "_value", "_beside")
 
 
 def with_previous(

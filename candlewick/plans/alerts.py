@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.functions.times import arrival_order, micros
-from candlewick.sources.scratch import materialise
+from candlewick.functions.times import micros
+from candlewick.operators.ordered import SLICE, with_slices
 
 # Window and limit in percent.
 WINDOW, THRESHOLD = "5 minutes", 10.0
@@ -16,75 +18,35 @@ def slice_start(us: Column, span: int) -> Column:
     return us - F.pmod(us, F.lit(span))
 
 
-def _hot_slices(heads: DataFrame, span: int, hot_rows: int) -> DataFrame | None:
-    """(symbol, slice, salts) of slices too large for one task; None when there are none.
-
-    A slice holds its own ticks and the questions of the next slice's ticks. The limit is at least a thousandth of
-    all rows, so there are at most two thousand hot slices: small enough to broadcast, however large the log is.
-    """
-    total = heads.agg(F.sum("rows")).first()[0] or 0
-    limit = max(hot_rows, total / 1000)
-    asked = heads.select("symbol", (F.col("slice") - span).alias("slice"), "rows")
-    load = heads.select("symbol", "slice", "rows").unionByName(asked).groupBy("symbol", "slice").agg(F.sum("rows").alias("rows"))
-    hot = load.filter(F.col("rows") > limit).select(
-        "symbol", "slice", F.ceil(F.col("rows") / limit).cast("int").alias("salts")
-    )
-    found = hot.collect()
-    return heads.sparkSession.createDataFrame(found, hot.schema) if found else None
-
-
-def _salted(rows: DataFrame, hot: DataFrame) -> DataFrame:
-    """Share the questions of hot slices among salts; their ticks, folded to one per instant, go to every salt."""
-    marked = rows.join(F.broadcast(hot), ["symbol", "slice"], "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
-    # A head handed back from the next slice has no id; it is the only tick of its instant here.
-    copied = (F.col("ask") == 0) & (F.col("salts") > 1)
-    folded = (
-        marked.filter(copied)
-        .groupBy("symbol", "slice", "at", "ask", "salts")
-        .agg(F.min_by("price", F.coalesce("id", F.lit(0).cast("long"))).alias("price"))
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    )
-    shared = marked.filter(~copied).withColumn("salt", F.pmod(F.hash("id"), F.col("salts")))
-    return shared.unionByName(folded, allowMissingColumns=True)
-
-
-def oldest_in_window(ticks: DataFrame, window: str = WINDOW, hot_rows: int = 5_000_000) -> DataFrame:
+def oldest_in_window(ticks: DataFrame, window: str = WINDOW, slices: int | None = None) -> DataFrame:
     """Each tick with `old_price`: the price of the first tick (time, id) not older than `window`.
 
     A RANGE frame would re-read its whole frame for every row. Instead each tick also asks a question at `time -
-    window`: scanning backwards, the last tick passed is the answer, which is one running value. The scan is cut
-    into slices of one window length; a question finds its answer in its own slice or as the first tick of the next.
-    A slice with more than `hot_rows` rows is shared by several tasks.
+    window`, and the next tick in order is the answer: scanning backwards, one running value. Ticks and questions are
+    cut into slices of about equal size by range partitioning, whatever symbol or moment they crowd at; a question
+    without a tick after it in its slice takes the first tick of its symbol in a later slice.
     """
-    span = micros(window)
     us = F.unix_micros("time")
     tick = F.struct(us.alias("at"), F.lit(0).alias("ask"))
-    question = F.struct((us - span).alias("at"), F.lit(1).alias("ask"))
+    question = F.struct((us - micros(window)).alias("at"), F.lit(1).alias("ask"))
     both = ticks.select("symbol", "id", "price", F.explode(F.array(tick, question)).alias("e"))
-    rows = both.select("symbol", "id", "price", "e.*").withColumn("slice", slice_start(F.col("at"), span))
-
-    # First tick and size per slice: one row per symbol and slice.
-    heads = materialise(
-        ticks.groupBy("symbol", slice_start(us, span).alias("slice")).agg(
-            F.min(us).alias("at"), F.min_by("price", arrival_order()).alias("price"), F.count("*").alias("rows")
-        ),
-        "slice-heads",
-    )
-    handed_back = heads.select("symbol", (F.col("slice") - span).alias("slice"), "at", F.lit(0).alias("ask"), "price")
-    rows = rows.unionByName(handed_back, allowMissingColumns=True)
-    hot = _hot_slices(heads, span, hot_rows)
-    keys = ["symbol", "slice"]
-    if hot is not None:
-        rows, keys = _salted(rows, hot), [*keys, "salt"]
+    rows = both.select("symbol", "id", "price", "e.*").filter("symbol IS NOT NULL")
+    rows = with_slices(rows, ["symbol", "at", F.desc("ask"), "id"], slices)
+
+    passed = F.when(F.col("ask") == 0, F.col("price"))
+    moment = F.col("at").cast("decimal(18,0)") * F.lit(Decimal(10**20)).cast("decimal(21,0)") + F.col("id").cast("decimal(20,0)")
+    heads = rows.groupBy("symbol", SLICE).agg(F.min_by(passed, F.when(F.col("ask") == 0, moment)).alias("head"))
+    later = Window.partitionBy("symbol").orderBy(SLICE).rowsBetween(1, Window.unboundedFollowing)  # a row per slice
+    next_heads = heads.select("symbol", SLICE, F.first("head", ignorenulls=True).over(later).alias("next_head"))
     backwards = (
-        Window.partitionBy(*keys)
+        Window.partitionBy("symbol", SLICE)
         .orderBy(F.desc("at"), F.asc("ask"), F.desc("id"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    passed = F.when(F.col("ask") == 0, F.col("price"))
     answered = rows.withColumn("old_price", F.last(passed, ignorenulls=True).over(backwards)).filter("ask = 1")
-    time = F.timestamp_micros(F.col("at") + span).alias("time")
-    return answered.select("symbol", time, "id", "old_price", F.col("price").alias("new_price"))
+    old = F.coalesce("old_price", "next_head").alias("old_price")
+    time = F.timestamp_micros(F.col("at") + micros(window)).alias("time")
+    return answered.join(next_heads, ["symbol", SLICE]).select("symbol", time, "id", old, F.col("price").alias("new_price"))
 
 
 def alert_message(window: str = WINDOW) -> Column:

@@ -6,6 +6,7 @@ import pytest
 from helpers import at, rows, tick, ticks
 from pyspark.sql import functions as F
 
+from candlewick.operators import ordered
 from candlewick.plans import alerts, candles, latest, monitor, refresh, summary
 from candlewick.plans.quality import equality
 from candlewick.plans.staging import staged_ticks
@@ -167,16 +168,17 @@ def test_oldest_in_window_equals_a_range_frame(spark, window):
     expected = spark.sql(f"""SELECT id, min(struct(time, id, price)) OVER (PARTITION BY symbol ORDER BY time
         RANGE BETWEEN INTERVAL {window} PRECEDING AND CURRENT ROW).price AS old_price FROM frame_ticks""")
     assert rows(alerts.oldest_in_window(df, window), "id", "old_price") == rows(expected)
-    shared = alerts.oldest_in_window(df, window, hot_rows=5)  # most slices are hot now
+    shared = alerts.oldest_in_window(df, window, slices=60)  # windows lie across several slices now
     assert rows(shared, "id", "old_price") == rows(expected)
 
 
-def test_hot_slices_are_few_and_shared(spark):
-    heads = spark.range(5000).select(F.lit("A").alias("symbol"), F.col("id").alias("slice"),
-                                     F.when(F.col("id") == 7, 100_000).otherwise(10).alias("rows"))
-    hot = rows(alerts._hot_slices(heads, 1, 1))
-    assert hot == [("A", 6, 667), ("A", 7, 667)]  # its ticks, and its questions in the slice before
-    assert alerts._hot_slices(heads, 1, 10**9) is None
+def test_one_crowded_window_spreads_over_many_slices(spark):
+    start = at("2024-01-01")
+    df = ticks(spark, *[tick(i, start + dt.timedelta(milliseconds=i // 4), price=str(1 + i % 9)) for i in range(2000)])
+    both = df.select("symbol", "id", F.explode(F.array(F.lit(0), F.lit(1))).alias("ask"), "time")
+    sizes = [r["count"] for r in ordered.with_slices(both, ["symbol", "time", F.desc("ask"), "id"], 40).groupBy("_slice").count().collect()]
+    assert len(sizes) == 40 and max(sizes) < 5 * 4000 / 40
+    assert alerts.oldest_in_window(df, "5 minutes", slices=40).filter("old_price <> 1").count() == 0
 
 
 def test_gaps(spark):
