@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions.numbers import change, change_pct
-from candlewick.functions.times import as_of_column, micros, plus
+from candlewick.functions.times import arrival_order, as_of_column, micros, plus
 from candlewick.sources.log import on_days
 
 
@@ -47,8 +47,9 @@ def nearest_price(stg: DataFrame, as_of=None, back: str = "24 hours", tolerance:
 def latest_prices(stg: DataFrame, as_of=None) -> DataFrame:
     """19 columns, one row per symbol seen in the last 24 hours.
 
-    Latest row, statistics and the day-old price come out of a single pass: the scan covers 25 hours, and each
-    aggregate looks at its own part of them.
+    Statistics, the newest time and the day-old price come out of one hash aggregate over 25 hours, each looking at its
+    own part of them: orders are packed into decimals, because a struct would force a sort of all rows. The rows of the
+    newest instants, a few for each symbol, are then fetched by symbol and time.
     """
     now = as_of_column(as_of)
     day_ago = plus(now, "24 hours", -1)
@@ -56,14 +57,15 @@ def latest_prices(stg: DataFrame, as_of=None) -> DataFrame:
     scan = on_days(stg.filter((F.col("time") >= first) & (F.col("time") <= now)), first, now)
     in_day = F.col("time") >= day_ago
     row = F.struct("price", "volume", "bid", "ask", "spread", "spread_pct", "exchange", "time", "inserted_at")
-    distance = F.abs(F.unix_micros("time") - F.unix_micros(day_ago))
-    near = F.when(distance <= micros("1 hour"), F.struct(distance, "time", "id"))
+    apart = F.unix_micros("time") - F.unix_micros(day_ago)
+    nearness = F.timestamp_micros(F.abs(apart) * 2 + (apart > 0).cast("long"))  # of two equally far the earlier is nearer
+    near = F.when(F.abs(apart) <= micros("1 hour"), arrival_order(nearness))
 
     def daily(column: str) -> Column:
         return F.when(in_day, F.col(column))
 
     grouped = scan.groupBy("symbol").agg(
-        F.max_by(row, F.when(in_day, F.struct("time", "inserted_at", "id"))).alias("last"),
+        F.max(daily("time")).alias("last_time"),
         F.min_by("price", near).alias("price_24h_ago"),
         F.min(daily("price")).alias("min_price_24h"),
         F.max(daily("price")).alias("max_price_24h"),
@@ -71,8 +73,13 @@ def latest_prices(stg: DataFrame, as_of=None) -> DataFrame:
         F.sum(daily("volume")).alias("volume_24h"),
         F.count_if(in_day).alias("updates_24h"),
     )
+    seen = grouped.filter("updates_24h > 0")
+    newest = on_days(stg.filter((F.col("time") >= day_ago) & (F.col("time") <= now)), day_ago, now)
+    instants = seen.select(F.col("symbol").alias("_symbol"), F.col("last_time").alias("_time"))
+    at_last = newest.join(instants, F.col("symbol").eqNullSafe(F.col("_symbol")) & (F.col("time") == F.col("_time")))
+    lasts = at_last.groupBy("_symbol").agg(F.max_by(row, F.struct("inserted_at", "id")).alias("last"))
     price, base = F.col("last.price"), F.col("price_24h_ago")
-    return grouped.filter("updates_24h > 0").select(
+    return seen.join(lasts, F.col("symbol").eqNullSafe(F.col("_symbol"))).select(
         "symbol",
         price.alias("latest_price"),
         F.col("last.volume").alias("latest_volume"),

@@ -233,3 +233,14 @@ def test_write_throughput_table_function(spark):
     monitor.register_write_throughput(spark, "t_log")
     got = spark.sql("SELECT time_window, records_written FROM get_write_throughput(2, timestamp '2024-01-01 00:04:00')")
     assert [r[1] for r in rows(got)] == [1, 1]
+
+
+def test_summary_and_latest_use_hash_aggregates(spark):
+    df = staged_ticks(ticks(spark, *[tick(i, f"2024-01-01 00:00:{i:02d}", price=str(i + 1)) for i in range(40)]))
+    plan = summary.price_summary(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hash") == 1 and "SortAggregate" not in plan
+    seen = summary.price_summary(df.union(df)).first()
+    assert (seen.update_count, seen.unique_seconds_with_updates) == (80, 40)
+    found = latest.latest_prices(df, at("2024-01-01 01:00:00"))
+    assert found._jdf.queryExecution().executedPlan().toString().count("SortAggregate") <= 2  # rows of the newest instants only
+    assert (found.first().latest_price, found.first().updates_24h) == (40, 40)
