@@ -17,7 +17,7 @@ from candlewick.queries.base import (
     query,
     sql,
 )
-from candlewick.sources.log import DAY, to_log_rows
+from candlewick.sources.log import DAY, to_log_rows, write_table
 from candlewick.sources.scratch import new_folder
 
 HALFWAY = "2024-01-15 00:00:00"
@@ -49,6 +49,15 @@ query("latest_prices", sql("SELECT * FROM latest", "latest", LATEST_NUMBERS))(st
 query("price_summary", sql("SELECT * FROM summary", "summary", SUMMARY_NUMBERS))(stg_summary)
 
 
+@query("latest_prices_table", sql("SELECT * FROM latest", "latest", LATEST_NUMBERS))
+def latest_prices_table(spark, sf_dir):
+    """Built in full twice, as a table is on every run; the second build replaces the first."""
+    path = new_folder(spark, "latest")
+    for _ in range(2):
+        write_table(stg_latest(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
 @query("ohlcv_windowed", sql("SELECT * FROM candles", "candles", CANDLE_NUMBERS))
 def ohlcv_windowed(spark, sf_dir):
     return candles.candles_windowed(stg(spark, sf_dir))

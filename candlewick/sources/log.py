@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick.functions.times import as_of_column
-from candlewick.schema import DEFAULT_EXCHANGE, REQUIRED, TICK_LOG, check_same_columns
+from candlewick.schema import DEFAULT_EXCHANGE, MAX_LENGTH, REQUIRED, TICK_LOG, check_same_columns
 from candlewick.sources.scratch import new_folder, remove_folder
 
 DAY = "dt"
@@ -24,13 +25,21 @@ def to_log_rows(ticks: DataFrame, received_at=None) -> DataFrame:
     filled = filled.withColumn("inserted_at", F.coalesce("inserted_at", as_of_column(received_at)))
     filled = filled.withColumn("exchange", F.coalesce("exchange", F.lit(DEFAULT_EXCHANGE)))
     typed = filled.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TICK_LOG])
-    return typed.na.drop(subset=list(REQUIRED))
+    return typed.na.drop(subset=list(REQUIRED)).filter(~reduce(Column.__or__, _too_long().values()))
+
+
+def _too_long() -> dict[str, Column]:
+    return {c: F.coalesce(F.length(c) > most, F.lit(False)) for c, most in MAX_LENGTH.items()}
 
 
 def broken_rows(ticks: DataFrame) -> DataFrame:
-    """Rows the log refuses, with the names of the empty required columns."""
-    missing = F.filter(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in REQUIRED]), lambda c: c.isNotNull())
-    return ticks.withColumn("missing", F.concat_ws(",", missing)).filter(F.col("missing") != "")
+    """Rows the log refuses, with the names of the required columns that are empty and of those that are too long."""
+
+    def names(wrong: dict[str, Column]) -> Column:
+        return F.concat_ws(",", *[F.when(condition, F.lit(c)) for c, condition in wrong.items()])
+
+    marked = ticks.withColumns({"missing": names({c: F.col(c).isNull() for c in REQUIRED}), "too_long": names(_too_long())})
+    return marked.filter((F.col("missing") != "") | (F.col("too_long") != ""))
 
 
 def _clustered(rows: DataFrame) -> DataFrame:

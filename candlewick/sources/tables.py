@@ -30,6 +30,23 @@ def tables_like(spark: SparkSession, pattern: str, exclude: str = "") -> list[st
     return [n for n in names if wanted.fullmatch(n) and not (unwanted and unwanted.fullmatch(n))]
 
 
+def relations_like(spark: SparkSession, schema_pattern: str, pattern: str, exclude: str = "") -> list[tuple[str, str, str]]:
+    """(schema, name, table type) of relations in all schemas that match, by LIKE patterns; the type is lower case.
+
+    Temporary views have no schema and are listed by `tables_like`.
+    """
+    schemas, wanted, unwanted = _like(schema_pattern), _like(pattern), _like(exclude) if exclude else None
+    found = []
+    for schema in spark.catalog.listDatabases():
+        if not schemas.fullmatch(schema.name):
+            continue
+        for table in spark.catalog.listTables(schema.name):
+            if table.isTemporary or not wanted.fullmatch(table.name) or (unwanted and unwanted.fullmatch(table.name)):
+                continue
+            found.append((schema.name, table.name, "view" if table.tableType == "VIEW" else "table"))
+    return sorted(found)
+
+
 def tables_with_prefix(spark: SparkSession, prefix: str, exclude: str = "") -> list[str]:
     escaped = prefix.lower()
     return [n for n in tables_like(spark, "%", exclude) if n.lower().startswith(escaped)]

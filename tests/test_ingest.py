@@ -252,3 +252,23 @@ def test_staging_goes_after_the_commit(spark, folder):
     assert set(os.listdir(scratch.shared_folder(spark))) == before and log.read_log(spark, folder).count() == 9
     with pytest.raises(ValueError):
         scratch.remove_folder(spark, folder)
+
+
+def test_values_that_are_too_long_are_refused(spark):
+    df = ticks(spark, tick(1, "2024-01-01"), tick(2, "2024-01-01", symbol="S" * 21), tick(3, "2024-01-01", exchange="e" * 51),
+               tick(4, "2024-01-01", symbol="S" * 20, exchange="e" * 50), tick(5, "2024-01-01", exchange=None))
+    assert rows(log.to_log_rows(df), "id") == [(1,), (4,), (5,)]
+    assert rows(log.broken_rows(df), "id", "missing", "too_long") == [(2, "", "symbol"), (3, "", "exchange")]
+
+
+def test_inventory_counts_real_files_and_bytes(spark, folder):
+    for part in range(3):
+        log.append_log(log.to_log_rows(ticks(spark, *[tick(10 * part + d, f"2024-01-0{d} 10:00:00") for d in (1, 2)])), folder)
+    log.append_log(log.to_log_rows(ticks(spark, tick(99, "2024-01-02 11:00:00"))), folder)
+    want = []
+    for day, n in ((1, 3), (2, 4)):
+        place = f"{folder}/dt=2024-01-0{day}"
+        files = [f for f in os.listdir(place) if f.endswith(".parquet")]
+        want.append((dt.date(2024, 1, day), n, len(files), sum(os.path.getsize(f"{place}/{f}") for f in files)))
+    assert rows(log.day_inventory(spark, folder), "dt", "row_count", "file_count", "total_bytes") == want
+    assert [w[2] for w in want] == [3, 4]

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from candlewick.operators import columns, dedupe, ordered, reshape, series
-from candlewick.sources.tables import read_csv, tables_like, tables_with_prefix
+from candlewick.sources.tables import read_csv, relations_like, tables_like, tables_with_prefix
 
 
 def test_star_and_filtered_columns(spark):
@@ -207,3 +207,19 @@ def test_slices_are_as_many_as_asked_for(spark):
     sliced = ordered.with_slices(spark.range(20_000), ["id"], 200)
     sizes = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
     assert len(sizes) == 200 and max(sizes) < 5 * 20_000 / 200
+
+
+def test_relations_by_schema_and_type(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE cw_one LOCATION '{tmp_path}/one'")
+    spark.sql(f"CREATE DATABASE cw_two LOCATION '{tmp_path}/two'")
+    try:
+        for schema in ("cw_one", "cw_two"):
+            spark.range(1).write.saveAsTable(f"{schema}.events_a")
+        spark.sql("CREATE VIEW cw_two.events_b AS SELECT 1 AS id")
+        assert relations_like(spark, "CW_%", "events%") == [
+            ("cw_one", "events_a", "table"), ("cw_two", "events_a", "table"), ("cw_two", "events_b", "view")
+        ]
+        assert relations_like(spark, "cw_two", "%", exclude="%_b") == [("cw_two", "events_a", "table")]
+    finally:
+        spark.sql("DROP DATABASE cw_one CASCADE")
+        spark.sql("DROP DATABASE cw_two CASCADE")
