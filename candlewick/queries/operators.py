@@ -256,13 +256,10 @@ def op_haversine(spark, sf_dir):
 
 @query(
     "op_url_parts",
-    """SELECT page_id, split_part(split_part(replace(replace(replace(url, 'android-app://', ''), 'http://', ''),
-                'https://', ''), '/', 1), '?', 1) AS host,
-              split_part(right(bare, CAST(length(bare) - coalesce(nullif(instr(bare, '/'), 0), instr(bare, '?') - 1)
-                AS BIGINT)), '?', 1) AS path,
-              nullif(split_part(split_part(url, 'page=', 2), '&', 1), '') AS page,
-              nullif(split_part(split_part(url, 'utm_source=', 2), '&', 1), '') AS utm_source
-       FROM (SELECT *, replace(replace(url, 'http://', ''), 'https://', '') AS bare FROM pages)""",
+    r"""SELECT page_id, regexp_extract(url, '^(?:(?:https?|android-app)://)?([^/?]*)', 1) AS host,
+               regexp_extract(url, '^(?:https?://)?[^/?]*/?([^?]*)', 1) AS path,
+               nullif(regexp_extract(url, 'page=([^&]*)', 1), '') AS page,
+               nullif(regexp_extract(url, 'utm_source=([^&]*)', 1), '') AS utm_source FROM pages""",
 )
 def op_url_parts(spark, sf_dir):
     return table(spark, sf_dir, "pages").select(
