@@ -11,8 +11,8 @@ through it; the best of all blocks are merged by the score's rank. A search look
 `LEAST` vectors of it at least (all, if it has fewer); the README has the recall measured against brute force.
 
 Vectors that are null, zero or hold null or non-finite components take no part, as candidate or as query; rows of null
-vec_id neither. Rows that repeat a vec_id are candidates of their own, but never of their own query. Vectors of
-another length than the most common one raise ValueError. Fewer candidates than asked for are all returned; an empty
+vec_id neither. Rows that repeat a vec_id are candidates of their own, but never of their own query, which is asked once
+with the smallest of their vectors. Vectors of another length than the most common one raise ValueError. Fewer candidates than asked for are all returned; an empty
 table gives an empty result.
 """
 
@@ -167,7 +167,8 @@ def nearest(embeddings: DataFrame, every: int = EVERY, best: int = BEST, block_r
     n_blocks = max(1, -(-rows.count() // block_rows))
     key = F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).cast("int")
     held = rows.select(key.alias("block"), F.lit(False).alias("asks"), "vec_id", "vector")
-    queries = rows.where(F.col("vec_id") % every == 0).select(
+    asked = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    queries = asked.select(
         F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"), F.lit(True).alias("asks"), "vec_id", "vector"
     )
     found = (

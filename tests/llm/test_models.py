@@ -87,6 +87,8 @@ def test_nearest_small_table_is_exact(spark):
         found[r.query_id].append((r.vec_id, r.score))
         assert r.rank == len(found[r.query_id])
     assert found == brute(rows, 20, 20)
+    twice = forest.nearest(vectors(spark, rows[:5] + rows[:2])).collect()
+    assert sorted((r.rank, r.vec_id) for r in twice) == [(i + 1, v) for i, v in enumerate([v for v, _ in brute(rows[:5] + rows[1:2], 20, 20)[0]])]
     few = vectors(spark, rows[:5])
     assert [(r.query_id, r.vec_id) for r in forest.nearest(few).collect()] and forest.nearest(few).count() == 4
     assert forest.nearest(few.limit(0)).count() == 0
