@@ -1,8 +1,8 @@
 """WARC records in ZIP archives: written with an index, read back by byte ranges without extraction.
 
 Writer: equal payloads are found by their SHA-1; of those the record with the smallest page_id is a response, the
-others are revisits that name it. A task puts its records into `.warc` members, each stored uncompressed in a ZIP
-archive of its own beside a `.cdx` member with offset and length of every record. Archives have names that no other
+others are revisits that name it. A task puts its records, each a gzip member of its own as usual in `.warc.gz`, into a
+member that is stored in a ZIP archive beside a `.cdx` member with offset and length of every record. Archives have names that no other
 attempt uses; Spark commits their list as Parquet, so a lost or repeated task leaves no wrong archive.
 
 Reader: for each archive it reads the end of the file, the central directory (ZIP64 where a 32-bit field is full or
@@ -18,6 +18,7 @@ table gives no archive and an empty result. Other columns are not read.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import io
 import re
@@ -76,7 +77,9 @@ def record(page_id: int | None, url: str | None, payload: bytes, own_digest: str
 
 
 def parse(data: bytes) -> dict:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to of a record; the digest of a payload is checked."""
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of a record, plain or gzip; the digest of a payload
+    is checked."""
+    data = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
     head, _, rest = data.partition(b"\r\n\r\n")
     first, *lines = head.decode().split("\r\n")
     if not first.startswith("WARC/"):
@@ -121,10 +124,10 @@ def write(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) ->
                 at += len(part)
             with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as archive:
                 # 64-bit sizes in the local header, as for members of any size
-                with archive.open("archive/data.warc", "w", force_zip64=True) as member:
+                with archive.open("archive/data.warc.gz", "w", force_zip64=True) as member:
                     for _, part in parts:
                         member.write(part)
-                archive.writestr("indexes/index.cdx", " CDX page offset length archive/data.warc\n" + "".join(lines))
+                archive.writestr("indexes/index.cdx", " CDX page offset length archive/data.warc.gz\n" + "".join(lines))
             with system.open_output_stream(f"{base}/{name}") as file:
                 file.write(out.getbuffer())
             return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(parts)], pa.int64())], names=["archive", "records"])
@@ -132,7 +135,7 @@ def write(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) ->
         for batch in batches:
             for page, url, refers, text in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 payload = text.encode()
-                made = record(page, url, payload, digest(payload), refers)
+                made = gzip.compress(record(page, url, payload, digest(payload), refers), mtime=0)
                 if parts and size + len(made) > archive_bytes:
                     yield close()
                     parts, size = [], 0
