@@ -6,6 +6,7 @@ The library's own cut leaves a piece whole, so the ids of a text are the ids of
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 
 import numpy as np
@@ -13,7 +14,12 @@ import numpy as np
 from candlewick.llm.pretokens import Pieces, added_tokens, read_spec
 
 
+GROUP = 500  # pieces in a sequence
+
+
 class LibraryEncoder(Pieces):
+    LIMIT = 600_000  # remembered pieces: the library takes longer for a new one than a merge table
+
     def __init__(self, content: bytes):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one core belongs to a task
         import tokenizers
@@ -25,10 +31,13 @@ class LibraryEncoder(Pieces):
         super().__init__(self.encode_pieces, added_tokens(read_spec(content)))
 
     def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        found = self.library.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
-        ids = [e.ids for e in found]
-        count = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter((i for own in ids for i in own), np.uint32, int(count.sum())), count
+        """Pieces go as words of longer sequences, which costs the library less than a sequence for each."""
+        words = [p.decode() for p in pieces]
+        groups = [words[i : i + GROUP] for i in range(0, len(words), GROUP)]
+        found = self.library.encode_batch(groups, is_pretokenized=True, add_special_tokens=False)
+        ids = np.fromiter(itertools.chain.from_iterable(e.ids for e in found), np.uint32)
+        count = [np.bincount(e.word_ids, minlength=len(g)) for e, g in zip(found, groups)]
+        return ids, np.concatenate([*count, np.zeros(0, np.int64)])
 
 
 @functools.lru_cache(maxsize=4)
