@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from candlewick.llm.arrow import binaries, blocks, ranges, utf8
 from candlewick.llm.pretokens import Pieces, added_tokens, byte_letters, read_spec
 
-BLOCK = 2 << 20  # bytes of text in one numpy batch
+BLOCK = 1 << 20  # bytes of text in one numpy batch
 _BITS = 20  # a pair key is (left << 20) | right
 
 
@@ -122,63 +122,69 @@ def tokenizer_file(spark: SparkSession, path: str) -> Broadcast:
     return spark.sparkContext.broadcast(Path(path).read_bytes())
 
 
-def _with(batch: pa.RecordBatch, extra: list[pa.Array], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([*batch.columns, *extra], schema=schema)
+Batches = Iterator[pa.RecordBatch]
+
+
+def _with(rows: pa.RecordBatch, extra: dict[str, pa.Array]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*rows.columns, *extra.values()], names=[*rows.schema.names, *extra])
+
+
+def _encoded(batches: Batches, content: bytes, text: str, ids: str, n_tokens: str) -> Batches:
+    encoder = _encoder(content)
+    for batch in batches:
+        data, offsets = utf8(batch.column(batch.schema.get_field_index(text)))
+        for first, last in blocks(offsets, BLOCK):
+            found, at = encoder(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
+            extra = {ids: binaries(found.view(np.uint8), at * 4), n_tokens: pa.array(np.diff(at))}
+            yield _with(batch.slice(first, last - first), extra)
+
+
+def _decoded(batches: Batches, content: bytes, ids: str, decoded: str) -> Batches:
+    table = _table(content)
+    for batch in batches:
+        column = batch.column(batch.schema.get_field_index(ids)).fill_null(b"")
+        offsets = np.concatenate([[0], np.cumsum([len(s) for s in column.to_pylist()])]).astype(np.int64)
+        for first, last in blocks(offsets, BLOCK):
+            own = np.frombuffer(b"".join(column.slice(first, last - first).to_pylist()), np.uint32)
+            data, at = table.decode(own, (offsets[first : last + 1] - offsets[first]) // 4)
+            whole = data.tobytes()
+            out = [whole[a:b].decode("utf-8", "replace") for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+            yield _with(batch.slice(first, last - first), {decoded: pa.array(out, pa.string())})
+
+
+def _plus(df: DataFrame, **kinds: T.DataType) -> T.StructType:
+    return T.StructType([*df.schema, *(T.StructField(name, kind) for name, kind in kinds.items())])
 
 
 def encode(df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids", n_tokens: str = "n_tokens") -> DataFrame:
     """`df` with the ids of `text` (little-endian unsigned 32-bit integers) and their number."""
     content = tokenizer_file(df.sparkSession, tokenizer)
-    place = df.columns.index(text)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(content.value)
-        for batch in batches:
-            data, offsets = utf8(batch.column(place))
-            for first, last in blocks(offsets, BLOCK):
-                own = data[offsets[first] : offsets[last]]
-                found, at = encoder(own, offsets[first : last + 1] - offsets[first])
-                rows = batch.slice(first, last - first)
-                extra = [binaries(found.view(np.uint8), at * 4), pa.array(np.diff(at))]
-                yield _with(rows, extra, pa.schema([*rows.schema, (ids, pa.binary()), (n_tokens, pa.int64())]))
-
-    return df.mapInArrow(run, T.StructType([*df.schema, T.StructField(ids, T.BinaryType()), T.StructField(n_tokens, T.LongType())]))
+    run = lambda batches: _encoded(batches, content.value, text, ids, n_tokens)
+    return df.mapInArrow(run, _plus(df, **{ids: T.BinaryType(), n_tokens: T.LongType()}))
 
 
 def decode(df: DataFrame, tokenizer: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """`df` with the text of `ids`, special strings included; bytes that are no UTF-8 become U+FFFD."""
     content = tokenizer_file(df.sparkSession, tokenizer)
-    place = df.columns.index(ids)
+    run = lambda batches: _decoded(batches, content.value, ids, decoded)
+    return df.mapInArrow(run, _plus(df, **{decoded: T.StringType()}))
+
+
+def round_trip(df: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
+    """`df` with ids, n_tokens and decoded: both ways in one pass, with one Python worker for a task."""
+    content = tokenizer_file(df.sparkSession, tokenizer)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _table(content.value)
-        for batch in batches:
-            column = batch.column(place).fill_null(b"")
-            size = np.array([len(s) for s in column.to_pylist()], np.int64) if len(column) else np.zeros(0, np.int64)
-            offsets = np.concatenate([[0], np.cumsum(size)])
-            for first, last in blocks(offsets, BLOCK):
-                rows = batch.slice(first, last - first)
-                own = b"".join(column.slice(first, last - first).to_pylist())
-                data, at = table.decode(np.frombuffer(own, np.uint32), (offsets[first : last + 1] - offsets[first]) // 4)
-                whole = data.tobytes()
-                out = [whole[a:b].decode("utf-8", "replace") for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
-                yield _with(rows, [pa.array(out, pa.string())], pa.schema([*rows.schema, (decoded, pa.string())]))
+    def run(batches: Batches) -> Batches:
+        return _decoded(_encoded(batches, content.value, text, "ids", "n_tokens"), content.value, "ids", "decoded")
 
-    return df.mapInArrow(run, T.StructType([*df.schema, T.StructField(decoded, T.StringType())]))
+    return df.mapInArrow(run, _plus(df, ids=T.BinaryType(), n_tokens=T.LongType(), decoded=T.StringType()))
 
 
 def token_digests(docs: DataFrame, tokenizer: str) -> DataFrame:
     """doc_id, n_tokens, SHA-256 of the ids and of the decoded text."""
-    coded = encode(docs.select("doc_id", "text"), tokenizer).select("doc_id", "n_tokens", "ids")
-    return decode(coded, tokenizer).select(
+    return round_trip(docs.select("doc_id", "text"), tokenizer).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
-
-
-def round_trips(coded: DataFrame, tokenizer: str) -> DataFrame:
-    """`coded` (with text and ids) without the text, with `exact`: decoding the ids gives the text again."""
-    whole = F.coalesce(F.col("text"), F.lit("")) == F.col("decoded")
-    return decode(coded, tokenizer).withColumn("exact", whole).drop("text", "decoded")

@@ -18,7 +18,6 @@ rows each get their result; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +32,7 @@ from candlewick.llm.pretokens import distinct
 
 BUCKETS = 1 << 15  # weights of each kind of n-gram
 KINDS = 5
-SAMPLE = 3000  # labelled rows to fit on, at most
+SAMPLE = 1200  # labelled rows to fit on, at most
 THRESHOLD = 0.5  # probability of good quality from which a row is kept
 MIN_WORDS, MOST_REPEATED = 50, 50  # words; percent of words in repeated windows
 BLOCK = 2 << 20  # bytes of text in one numpy batch
@@ -165,8 +164,8 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], steps: int = 120, rate:
         return None
     at = np.concatenate([[0], np.cumsum([len(i) for i, _, _ in rows])])
     index = np.concatenate([i for i, _, _ in rows])
-    value = np.concatenate([v for _, v, _ in rows]).astype(float)
-    owner = np.repeat(np.arange(len(rows)), np.diff(at))
+    value = np.concatenate([v for _, v, _ in rows])
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), np.diff(at))
     held = np.arange(len(rows)) % 5 == 4
     if len(set(label[held])) < 2 or len(set(label[~held])) < 2:
         held = np.zeros(len(rows), bool)
