@@ -7,6 +7,7 @@ returns as Parquet in the shared folder and reads it again as the next stage's d
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from candlewick.llm import bpe, mixing, quality, simhash
 from candlewick.llm.queries import TOKENIZER, table
@@ -30,8 +31,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, ids (little-endian unsigned 32-bit), n_tokens, and whether decoding gives the text again."""
-    coded = bpe.encode(docs.select("doc_id", "source", "text"), TOKENIZER)
-    return bpe.round_trips(coded, TOKENIZER)
+    coded = bpe.round_trip(docs.select("doc_id", "source", "text"), TOKENIZER)
+    exact = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return coded.select("doc_id", "source", "ids", "n_tokens", exact.alias("exact"))
 
 
 STAGES = [
