@@ -274,7 +274,8 @@ def first_of_each(docs: DataFrame) -> DataFrame:
     found = materialise(labelled(docs), "labelled")
     chosen = found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("n"))
     chosen = materialise(chosen, "chosen")
-    kept = docs.join(chosen.where("n = 1"), "doc_id", "left_semi").select(*every(docs))
+    # the chosen ids grow with the corpus, so they are never broadcast: one plan for every size
+    kept = docs.join(chosen.where("n = 1").hint("merge"), "doc_id", "left_semi").select(*every(docs))
     repeated = chosen.where("n > 1")
     if not repeated.isEmpty():
         kept = kept.union(docs.join(repeated, "doc_id", "left_semi").select(*every(docs)).dropDuplicates(["doc_id"]))
