@@ -144,39 +144,37 @@ def unpack(payload: bytes) -> tuple[int | None, np.ndarray]:
     return None if missing else doc_id, np.frombuffer(payload, f"<u{width}", n, PAYLOAD.size).astype("<u4")
 
 
-def _sliced(docs: DataFrame, slice_bytes: int) -> DataFrame:
-    """(slice, doc_id, text): slice numbers ascend with doc_id; the cuts come from a scan of the ids and lengths only."""
+def _cuts(docs: DataFrame, slice_bytes: int) -> np.ndarray:
+    """Ascending ids that end a slice (with them, all but the last); from a scan of the ids and lengths only."""
     volume = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b"), F.count("*").alias("n")).first()
     n = max(1, min(volume.n, -(-volume.b // slice_bytes)))
     shares = [i / n for i in range(1, n)]
     cuts = docs.agg(F.percentile_approx("doc_id", shares, 100 * n).alias("c")).first().c if shares else []
-    cuts = sorted(set(cuts or []))
-    number = F.lit(0)
-    step = 1 << max(0, len(cuts).bit_length() - 1)
-    if cuts:  # binary search in the list of cuts: how many lie below the id
-        listed = F.array(*map(F.lit, cuts))
-        while step:
-            ahead = number + step
-            number = F.when((ahead <= len(cuts)) & (F.get(listed, ahead - 1) < F.col("doc_id")), ahead).otherwise(number)
-            step //= 2
-    return docs.select(number.cast("int").alias("slice"), "doc_id", "text")
+    return np.array(sorted(set(cuts or [])), np.int64)
+
+
+def slice_numbers(cuts: np.ndarray, doc_ids: pa.Array) -> pa.Array:
+    """How many cuts lie below each id; none for a null. Searched here, so that the plan has the same size for any cuts."""
+    number = np.searchsorted(cuts, doc_ids.fill_null(0).to_numpy(zero_copy_only=False), side="left")
+    return pa.array(np.where(doc_ids.is_null().to_numpy(zero_copy_only=False), 0, number).astype(np.int32))
 
 
 def write(docs: DataFrame, tokenizer: str, folder: str, end: int = END, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """Encode whole texts with the tokenizer library, write records below `folder`; returns the committed index."""
     spark = docs.sparkSession
     content = tokenizer_file(spark, tokenizer)
+    cuts = _cuts(docs, slice_bytes)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = pieces.library_encoder(content.value)
         for batch in batches:
-            data, offsets = utf8(batch.column(2))
+            data, offsets = utf8(batch.column(1))
             for first, last in blocks(offsets, BLOCK):
                 ids, at = encoder(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
-                rows = batch.slice(first, last - first)
+                doc_ids = batch.column(0).slice(first, last - first)
                 width = 2 if encoder.largest < 1 << 16 and end < 1 << 16 else 4
                 packed = binaries(ids.astype(f"<u{width}").view(np.uint8), at * width)
-                columns = [rows.column(0), rows.column(1), pa.array([width] * len(packed), pa.int32()), packed]
+                columns = [slice_numbers(cuts, doc_ids), doc_ids, pa.array([width] * len(packed), pa.int32()), packed]
                 yield pa.RecordBatch.from_arrays(columns, names=["slice", "doc_id", "width", "ids"])
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,7 +205,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end: int = END, slice_by
 
     fs_, base_ = fs.FileSystem.from_uri(folder)
     fs_.create_dir(base_, recursive=True)
-    coded = _sliced(docs, slice_bytes).mapInArrow(encode, "slice int, doc_id long, width int, ids binary")
+    coded = docs.select("doc_id", "text").mapInArrow(encode, "slice int, doc_id long, width int, ids binary")
     index = (
         coded.repartition("slice")
         .sortWithinPartitions("slice", F.col("doc_id").asc_nulls_first(), "ids")

@@ -127,6 +127,15 @@ def test_records_round_trip(spark):
     assert records.round_trip(df.limit(0), PATH).count() == 0
 
 
+def test_records_in_hundreds_of_slices(spark):
+    ids = [None, *range(-300, 300, 2)]
+    df = spark.createDataFrame([(i, f"text {i}", "s", "en") for i in ids], DOCS)
+    index = records.write(df, PATH, records.new_folder(spark, "test-slices"), slice_bytes=1).collect()
+    assert len({r.slice for r in index}) > 250
+    of = {r.doc_id: r.slice for r in index}
+    assert len(index) == len(of) == len(ids) and list(of[i] for i in ids) == sorted(of.values())
+
+
 def test_rollup_by_deltas(spark):
     rows = [(1, "a b", "s", "en"), (2, "c", "s", None), (3, " ", None, "en"), (4, None, "s", "en"), (5, "a b", "s", "en"), (5, "a b", "s", "en")]
     docs = spark.createDataFrame(rows, DOCS).selectExpr("*", "'x' as tokenizer", "9 as n_tokens")
