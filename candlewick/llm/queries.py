@@ -29,7 +29,7 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.maintained(table(spark, sf_dir, "documents"), TOKENIZER, "byte_bpe_50k")
+    return token_counts.maintained(table(spark, sf_dir, "documents"), TOKENIZER, "byte_bpe_50k", restored=True)
 
 
 def op4_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:

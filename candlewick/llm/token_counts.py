@@ -113,21 +113,27 @@ class Rollup:
         return bool(live) and self.commit(number, self.deltas(), live)
 
 
-def maintained(docs: DataFrame, tokenizer: str, version: str) -> DataFrame:
-    """Totals of a store that took three batches, each one sent twice, and was compacted in between.
+def maintained(docs: DataFrame, tokenizer: str, version: str, restored: bool = False) -> DataFrame:
+    """Totals of a store that took three batches or four, each one sent twice, and was compacted in between.
 
     1: all documents are inserted, counted in words (version `words`) and in bytes (version `bytes`). 2: documents
-    without a word are deleted. 3: the counts in words are revised to tokens of `tokenizer`.
+    without a word are deleted. 3, if `restored`: they come back, so that the totals cover every document. Last: the
+    counts in words of the documents held are revised to tokens of `tokenizer`.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", "source", "lang", n_words("text").alias("words"), F.octet_length("text").alias("bytes"))
     rows = materialise(rows, "plain-counts")
     by = lambda df, c: df.select("doc_id", "source", "lang", F.lit(c).alias("tokenizer"), F.col(c).cast("long").alias("n_tokens"))
     both = lambda df: by(df, "words").unionByName(by(df, "bytes"))
-    held = rows.where("words > 0")
-    counted = token_counts(docs.where(n_words("text") > 0), tokenizer, version)
+    wordless = both(rows.where("words = 0"))
+    batches = [signed(None, both(rows)), signed(wordless, None)]
+    if restored:
+        batches.append(signed(None, wordless))
+        held, texts = rows, docs
+    else:
+        held, texts = rows.where("words > 0"), docs.where(n_words("text") > 0)
+    batches.append(signed(by(held, "words"), token_counts(texts, tokenizer, version)))
     store = Rollup(spark, new_folder(spark, "rollup"))
-    batches = [signed(None, both(rows)), signed(both(rows.where("words = 0")), None), signed(by(held, "words"), counted)]
     for number, changes in enumerate(batches, 1):
         store.commit(number, changes)
         store.commit(number, changes)

@@ -11,7 +11,7 @@ import tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from candlewick.llm import bpe, pieces, records, token_counts
+from candlewick.llm import bpe, pieces, queries, records, token_counts
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = tokenizers.Tokenizer.from_file(PATH)
@@ -146,6 +146,18 @@ def test_rollup_by_deltas(spark):
     assert token_counts.maintained(docs.limit(0), PATH, "bpe").count() == 0
 
 
+def test_registered_counts_cover_every_document(spark, folder):
+    rows = [(1, "a b", "s", "en"), (2, None, "s", "en"), (3, "", "s", None), (4, " \n\t ", None, "en"), (None, " ", "s", "en"), (4, "c", "s", "en")]
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{folder}/documents.parquet")
+    found = {tuple(r) for r in queries.op3_token_counts(spark, folder).collect()}
+    want = set()
+    for source, lang in {r[2:] for r in rows}:
+        texts = [t for _, t, *of in rows if tuple(of) == (source, lang)]
+        want.add((source, lang, "byte_bpe_50k", len(texts), sum(len(expected(t)) for t in texts)))
+        want.add((source, lang, "bytes", len(texts), sum(len((t or "").encode()) for t in texts)))
+    assert found == want
+
+
 def test_rollup_commits_once_and_survives_compaction(spark):
     kind = "doc_id long, source string, lang string, tokenizer string, n_tokens long"
     counts = lambda *rows: spark.createDataFrame(list(rows), kind)
