@@ -268,17 +268,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def first_of_each(docs: DataFrame) -> DataFrame:
     """Rows of `docs` with all their columns, one of each component: the one with the smallest doc_id.
 
-    Of several rows with that doc_id one stays. A component without any doc_id keeps one row that has its smallest
-    fingerprint.
+    Of several rows with that doc_id the one with the smallest fingerprint in the component stays. A component without
+    any doc_id keeps one row that has its smallest fingerprint.
     """
     found = materialise(labelled(docs), "labelled")
-    chosen = found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("n"))
+    first = F.col("doc_id") == F.col("component_id")
+    chosen = found.where(F.col("doc_id").isNotNull()).groupBy("doc_id")
+    chosen = chosen.agg(F.count("*").alias("n"), F.max(first).alias("first")).where("first").drop("first")
     chosen = materialise(chosen, "chosen")
     # the chosen ids grow with the corpus, so they are never broadcast: one plan for every size
     kept = docs.join(chosen.where("n = 1").hint("merge"), "doc_id", "left_semi").select(*every(docs))
-    repeated = chosen.where("n > 1")
-    if not repeated.isEmpty():
-        kept = kept.union(docs.join(repeated, "doc_id", "left_semi").select(*every(docs)).dropDuplicates(["doc_id"]))
+    repeated = chosen.where("n > 1").select("doc_id")
+    if not repeated.isEmpty():  # the id alone does not say which text was chosen
+        pairs = found.where(first).join(repeated, "doc_id", "left_semi").groupBy("root")
+        pairs = pairs.agg(F.min("fp").alias("_simhash_fp"), F.min("doc_id").alias("_simhash_id"))
+        held = docs.join(repeated, "doc_id", "left_semi").select(*every(docs), F.col("text").alias("_simhash_text"))
+        held = fingerprints(held, "_simhash_text", out="_simhash_fp")
+        same = (held["_simhash_fp"] == pairs["_simhash_fp"]) & (held["doc_id"] == pairs["_simhash_id"])
+        held = held.join(pairs, same, "left_semi").dropDuplicates(["doc_id", "_simhash_fp"])
+        kept = kept.union(held.select(*(f"`{c}`" for c in docs.columns)))
     nameless = found.where(F.col("component_id").isNull()).select(F.col("root").alias("_simhash_fp")).distinct()
     if not nameless.isEmpty():
         held = docs.where(F.col("doc_id").isNull()).withColumn("_simhash_text", F.col("text"))

@@ -80,6 +80,17 @@ def test_first_of_each(spark):
     assert simhash.first_of_each(made.limit(0)).count() == 0 and simhash.near_duplicates(made.limit(0)).count() == 0
 
 
+def test_first_of_each_where_ids_repeat_with_other_texts(spark):
+    a, b, c = "alone here now", "quite another text of words", "some third thing to read"
+    rows = [(5, a, "s"), (5, b, "s"), (7, a, "s"), (7, c, "s"), (7, c, "s"), (9, b, "s"), (9, a, "s")]
+    assert len(set(groups([fingerprint(t) for t in (a, b, c)]))) == 3
+    kept = simhash.first_of_each(docs(spark, *rows))
+    assert kept.columns == docs(spark, *rows).columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(5, a), (5, b), (7, c)]
+    kept = simhash.first_of_each(docs(spark, (5, a, "s"), (7, a, "s"), (7, b, "s")))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(5, a), (7, b)]
+
+
 def test_trees_find_what_all_pairs_find():
     rng = np.random.default_rng(2)
     values = np.unique(rng.integers(0, 1 << 10, 300).astype(np.uint64) << np.uint64(27))
