@@ -8,7 +8,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewick.llm import bpe, forest, lm, mixing, quality, records, sharding, simhash, token_counts, warc
+from candlewick.llm import bpe, forest, lm, minhash, mixing, periodic, quality, records, sharding, simhash, token_counts, warc, whitening
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(periodic.detect(table(spark, sf_dir, "documents"), periodic.planted))
+
+
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -73,6 +85,9 @@ QUERIES: dict[str, Query] = {
         op8_lm_scores,
         op9_shards,
         op10_quality,
+        op11_periodic_runs,
+        op12_minhash,
+        op13_whitening,
     )
 }
 
