@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.functions.numbers import change_pct, safe_divide
-from candlewick.functions.times import arrival_order, bucket_start
+from candlewick.functions.times import arrival_order, bucket_start, micros
 from candlewick.operators.joins import side_by_side
+from candlewick.operators.ordered import in_steps, over_last_rows
 from candlewick.plans.candles import WIDTH, ohlc
 from candlewick.plans.monitor import data_gaps
 from candlewick.schema import TICK_LOG
@@ -25,15 +26,18 @@ def vwap(ticks: DataFrame, width: str = WIDTH) -> DataFrame:
     return grouped.select("symbol", "window_start", safe_divide("turnover", "total_volume").alias("vwap"), "total_volume")
 
 
-def _in_order() -> Window:
-    """Over candles, of which a symbol has a fixed number per day."""
-    return Window.partitionBy("symbol").orderBy("period_start")
+def _over_candles(base: DataFrame, rows: int, columns: dict, width: str) -> DataFrame:
+    """Columns over the last candles of a symbol; a slice holds a fixed number of periods, so no symbol is one task."""
+    by = in_steps("period_start", micros(width))
+    return over_last_rows(base, ["symbol"], ["period_start"], rows, columns, by=by)
 
 
-def momentum(base: DataFrame, periods: int = 4) -> DataFrame:
-    """Change of the close against `periods` candles before."""
-    earlier = F.lag("close", periods).over(_in_order())
-    return base.select(
+def momentum(base: DataFrame, periods: int = 4, width: str = WIDTH) -> DataFrame:
+    """Change of the close against `periods` candles before; `width` is that of the candles."""
+    closes = base.select("symbol", "period_start", "close")
+    held = _over_candles(closes, periods, {"earlier": lambda w: F.lag("close", periods).over(w)}, width)
+    earlier = F.col("earlier")
+    return held.select(
         "symbol",
         "period_start",
         "close",
@@ -42,22 +46,19 @@ def momentum(base: DataFrame, periods: int = 4) -> DataFrame:
     )
 
 
-def rsi(base: DataFrame, periods: int = 14) -> DataFrame:
+def rsi(base: DataFrame, periods: int = 14, width: str = WIDTH) -> DataFrame:
     """Relative strength index from simple averages of gains and losses; NULL until `periods` changes are known."""
-    step = F.col("close") - F.lag("close").over(_in_order())
-    last = _in_order().rowsBetween(1 - periods, 0)
-    moved = base.select("symbol", "period_start", step.cast("double").alias("step"))
-    gain, loss = F.greatest(F.col("step"), F.lit(0.0)), F.greatest(-F.col("step"), F.lit(0.0))
-    # greatest() skips NULL, so the first candle of a symbol counts as no change and is left out by the counter.
-    summed = moved.select(
-        "symbol",
-        "period_start",
-        F.sum(gain).over(last).alias("gain"),
-        F.sum(loss).over(last).alias("loss"),
-        F.count("step").over(last).alias("known"),
+    closes = base.select("symbol", "period_start", F.col("close").alias("close"))
+    held = _over_candles(closes, periods, {"closes": lambda w: F.collect_list("close").over(w.rowsBetween(-periods, 0))}, width)
+    steps = F.transform(
+        F.sequence(F.lit(2), F.size("closes")), lambda i: (F.element_at("closes", i) - F.element_at("closes", i - 1)).cast("double")
     )
+    known = F.size("closes") - 1
+    stepped = held.select("symbol", "period_start", F.when(known == periods, steps).alias("steps"))
+    total = lambda sign: F.aggregate("steps", F.lit(0.0), lambda a, x: a + F.greatest(x * sign, F.lit(0.0)))
+    summed = stepped.select("symbol", "period_start", total(1.0).alias("gain"), total(-1.0).alias("loss"))
     strength = F.col("gain") / F.nullif(F.col("gain") + F.col("loss"), F.lit(0.0)) * 100
-    return summed.select("symbol", "period_start", F.when(F.col("known") == periods, strength).alias("rsi"))
+    return summed.select("symbol", "period_start", strength.alias("rsi"))
 
 
 def clean_ticks(ticks: DataFrame) -> DataFrame:

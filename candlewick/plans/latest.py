@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from candlewick.functions.numbers import change, change_pct
 from candlewick.functions.times import arrival_order, as_of_column, micros, plus
+from candlewick.operators.asof import as_of
 from candlewick.sources.log import on_days
 
 
@@ -44,6 +45,20 @@ def nearest_price(stg: DataFrame, as_of=None, back: str = "24 hours", tolerance:
     )
 
 
+def earlier_prices(stg: DataFrame, back: str = "24 hours", tolerance: str = "1 hour", slices: int | None = None) -> DataFrame:
+    """Every tick with the price closest in time to `back` before it, found as `nearest_price` finds it for one moment.
+
+    Columns: id, time, symbol, price, earlier_price, earlier_time, change and change_pct.
+    """
+    moment = F.unix_micros("time")
+    asked = stg.select("id", "time", "symbol", "price", (moment - micros(back)).alias("_asked_at"))
+    facts = stg.select("symbol", "id", "price", "time", moment.alias("_told_at"))
+    columns = {"price": "earlier_price", "time": "earlier_time"}
+    found = as_of(asked, facts, ["symbol"], "_asked_at", "_told_at", columns, "nearest", micros(tolerance), "id", slices)
+    price, base = F.col("price"), F.col("earlier_price")
+    return found.drop("_asked_at").withColumns({"change": change(price, base), "change_pct": change_pct(price, base)})
+
+
 def latest_prices(stg: DataFrame, as_of=None) -> DataFrame:
     """19 columns, one row per symbol seen in the last 24 hours.
 

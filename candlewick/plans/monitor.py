@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.functions.numbers import safe_divide, to_mebibytes
 from candlewick.functions.times import as_of_column, bucket_start, micros, plus, seconds_between
+from candlewick.operators import ordered
+from candlewick.operators.asof import as_of
 from candlewick.operators.joins import side_by_side
-from candlewick.operators.ordered import with_previous
+from candlewick.operators.ordered import in_steps, with_previous
 from candlewick.sources.log import on_days
 
 # Histogram bounds in seconds and in rows.
@@ -61,14 +63,14 @@ def data_gaps(ticks: DataFrame, max_gap_seconds: int = 60, keys: tuple[str, ...]
     """Pauses longer than `max_gap_seconds` between neighbouring ticks of a key.
 
     Two ticks in one bucket of that length are never too far apart, so first and last tick of each bucket are enough;
-    buckets meet their neighbours slice by slice, so a busy key is no single task.
+    buckets meet their neighbours slice by slice, a fixed number of buckets in each, so a busy key is no single task.
     """
     ends = ticks.groupBy(*keys, bucket_start("time", f"{max_gap_seconds} seconds").alias("bucket")).agg(
         F.min("time").alias("first"), F.max("time").alias("last")
     )
     gap = seconds_between(F.col("first"), F.col("previous_time"))
     return (
-        with_previous(ends, list(keys), ["bucket"], {"last": "previous_time"})
+        with_previous(ends, list(keys), ["bucket"], {"last": "previous_time"}, by=in_steps("bucket", max_gap_seconds * 1_000_000))
         .select(*keys, F.col("previous_time").alias("gap_start"), F.col("first").alias("gap_end"),
                 gap.alias("gap_seconds"))
         .filter(F.col("gap_seconds") > max_gap_seconds)
@@ -160,7 +162,7 @@ def throughput_delta(ticks: DataFrame, sample: str = "10 minutes") -> DataFrame:
     """
     counts = ticks.groupBy(bucket_start("inserted_at", sample).alias("sampled_at")).agg(F.count("*").alias("records"))
     delta = F.greatest(F.lit(0).cast("long"), F.col("records") - F.coalesce("before", F.lit(0)))
-    beside = with_previous(counts, [], ["sampled_at"], {"records": "before"})
+    beside = with_previous(counts, [], ["sampled_at"], {"records": "before"}, by=in_steps("sampled_at", micros(sample)))
     return beside.select("sampled_at", "records", delta.alias("delta_records")).withColumn(
         "records_per_second", F.round(F.col("delta_records") / (micros(sample) / 1_000_000), 6)
     )
@@ -205,28 +207,34 @@ def latency_histogram(ticks: DataFrame, bounds: tuple = LATENCY_BUCKETS) -> Data
     return histogram(ticks, seconds_between(F.col("inserted_at"), F.col("time")), bounds)
 
 
-def batch_size_histogram(ticks: DataFrame, per: str = "5 seconds", bounds: tuple = BATCH_SIZE_BUCKETS) -> DataFrame:
-    """Sizes of the batches a flush every `per` would write."""
-    batches = ticks.groupBy(bucket_start("inserted_at", per).alias("flushed_at")).agg(F.count("*").alias("n"))
-    return histogram(batches, F.col("n"), bounds)
+def batch_size_histogram(progress: DataFrame, bounds: tuple = BATCH_SIZE_BUCKETS) -> DataFrame:
+    """Sizes of the batches that streams have written, from the rows that `ProgressLog` keeps of them."""
+    return histogram(progress.filter("input_rows > 0"), F.col("input_rows"), bounds)
 
 
-def counter_rate(samples: DataFrame, keys: tuple[str, ...] = ("counter",), window: str = "5 minutes") -> DataFrame:
+def counter_rate(
+    samples: DataFrame, keys: tuple[str, ...] = ("counter",), window: str = "5 minutes", every: str = "15 seconds"
+) -> DataFrame:
     """Per-second rate of counters over the window before each sample (`sampled_at`, `value` per key).
 
-    A value below its predecessor is a restart: the counter then grew by its whole new value. Samples come at the
-    scrape interval, so a key holds a bounded number of rows per day of history.
+    A value below its predecessor is a restart: the counter then grew by its whole new value. The growth is added up
+    along the key, slice by slice, and the rate is the difference between the total at the sample and the total where
+    its window begins, which an as-of look-up finds; `every` is the scrape interval that slices are made of. So a
+    counter of any length and any window needs no task of its own.
     """
-    in_order = Window.partitionBy(*keys).orderBy("sampled_at")
-    previous = F.lag("value").over(in_order)
-    growth = F.when(previous.isNull(), 0).when(F.col("value") < previous, F.col("value")).otherwise(
-        F.col("value") - previous
-    )
-    span = micros(window)
-    trailing = Window.partitionBy(*keys).orderBy("at_us").rangeBetween(-span + 1, 0)
-    grown = samples.withColumn("growth", growth.cast("double")).withColumn("at_us", F.unix_micros("sampled_at"))
-    rate = F.sum("growth").over(trailing) / (span / 1_000_000)
-    return grown.withColumn("per_second", F.round(rate, 6)).drop("growth", "at_us")
+    keys, span = list(keys), micros(window)
+    by = in_steps("sampled_at", micros(every))
+    previous = with_previous(samples, keys, ["sampled_at"], {"value": "_previous"}, by=by)
+    fallen = F.col("value") < F.col("_previous")
+    growth = F.when(~F.col("has_previous"), 0).when(fallen, F.col("value")).otherwise(F.col("value") - F.col("_previous"))
+    grown = previous.withColumn("_growth", growth.cast("decimal(28,6)")).drop("_previous", "has_previous")
+    totals = ordered.running_totals(grown, keys, ["sampled_at"], {"_growth": "_total"}, by=by)
+    at = F.unix_micros("sampled_at")
+    asked = totals.drop("_growth").withColumn("_begin", at - span)
+    told = totals.select(*keys, at.alias("_told_at"), F.col("_total").alias("_total_then"))
+    met = as_of(asked, told, keys, "_begin", "_told_at", {"_total_then": "_before"})
+    rate = (F.col("_total") - F.coalesce("_before", F.lit(0))).cast("double") / (span / 1_000_000)
+    return met.withColumn("per_second", F.round(rate, 6)).drop("_total", "_before", "_begin")
 
 
 def success_ratio(rates: DataFrame, good: str, total: str, key: str = "counter") -> DataFrame:
@@ -337,10 +345,6 @@ def running_totals(counts: DataFrame, columns: list[str], time: str = "sampled_a
 
     Sums run within a day and start from the total of the days before: only days meet in one task.
     """
-    rows = counts.withColumn("_day", F.to_date(time))
-    days = rows.groupBy("_day").agg(*[F.sum(c).alias(f"_{c}") for c in columns])
-    earlier = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    before = days.select("_day", *[F.coalesce(F.sum(f"_{c}").over(earlier), F.lit(0)).alias(f"_{c}") for c in columns])
-    within = Window.partitionBy("_day").orderBy(time).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sums = [(F.sum(c).over(within) + F.col(f"_{c}")).alias(c) for c in columns]
-    return rows.join(before, "_day").select(F.col(time), *sums).unpivot([time], columns, "counter", "value")
+    named = {c: f"_{c}" for c in columns}
+    totals = ordered.running_totals(counts.select(time, *columns), [], [time], named, by=F.to_date(time))
+    return totals.select(time, *[F.col(t).alias(c) for c, t in named.items()]).unpivot([time], columns, "counter", "value")

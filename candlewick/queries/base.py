@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from candlewick.session import setting
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -15,23 +17,25 @@ ORACLES: dict[str, str] = {}
 NOW = "TIMESTAMP '2024-01-31 00:00:00'"
 
 
+EXACT, ROUNDED = 8, 6  # digits of decimals, and of ratios and deviations
+
+
 def comparable(df: DataFrame) -> DataFrame:
-    """Decimals and doubles as doubles of six digits, the form both engines agree on; infinity and NaN stay.
+    """Numbers as doubles, the form both engines agree on: decimals with all eight digits that prices and volumes have
+    (averages of them too), ratios and deviations with six; infinity and NaN stay.
 
     The way over a decimal makes ties round alike, whatever the last bit of a double is.
     """
 
     def shown(field: T.StructField):
         column = F.col(f"`{field.name}`")
-        if not isinstance(field.dataType, (T.DecimalType, T.FractionalType)):
-            return column
-        rounded = F.round(column.cast("decimal(38,12)"), 6).cast("double")
-        if isinstance(field.dataType, T.FractionalType) and not isinstance(field.dataType, T.DecimalType):
-            infinite = F.abs(column) == float("inf")
-            rounded = F.when(infinite | F.isnan(column), column.cast("double")).otherwise(
-                F.round(F.when(~infinite & ~F.isnan(column), column).cast("decimal(38,12)"), 6).cast("double")
-            )
-        return rounded.alias(field.name)
+        if isinstance(field.dataType, T.DecimalType):
+            return F.round(column.cast("decimal(38,12)"), EXACT).cast("double").alias(field.name)
+        if isinstance(field.dataType, T.FractionalType):
+            odd = (F.abs(column) == float("inf")) | F.isnan(column)
+            rounded = F.round(F.when(~odd, column).cast("decimal(38,12)"), ROUNDED).cast("double")
+            return F.when(odd, column.cast("double")).otherwise(rounded).alias(field.name)
+        return column
 
     return df.select([shown(f) for f in df.schema])
 
@@ -39,8 +43,8 @@ def comparable(df: DataFrame) -> DataFrame:
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return comparable(build(spark, sf_dir))
+            with setting(spark, spark__sql__session__timeZone="UTC"):
+                return comparable(build(spark, sf_dir))
 
         run.build = build  # without the rounding for comparison
         QUERIES[name] = run
@@ -97,23 +101,21 @@ PARTS = {
                CAST(avg(price) AS DECIMAL(38,12)) AS avg_price, stddev_samp(CAST(price AS DOUBLE)) AS price_stddev
         FROM log GROUP BY ALL""",
     "latest": f"""
-        SELECT l.symbol, l.price AS latest_price, l.volume AS latest_volume, l.bid AS latest_bid, l.ask AS latest_ask,
-               l.spread, l.spread_pct AS spread_percentage, h.price AS price_24h_ago,
-               CASE WHEN h.price > 0 THEN l.price - h.price END AS price_change_24h,
-               {_PCT.format(a="l.price", b="h.price")} AS price_change_pct_24h,
-               s.min_price_24h, s.max_price_24h, s.avg_price_24h, s.volume_24h, s.updates_24h,
-               l.exchange, l.time AS last_updated, l.inserted_at AS last_inserted_at, {NOW} AS refreshed_at
-        FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY time DESC, inserted_at DESC, id DESC) AS rn
-              FROM stg WHERE time >= {NOW} - INTERVAL 24 HOURS AND time <= {NOW}) l
-        LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY
-                     abs(epoch_us(time) - epoch_us({NOW} - INTERVAL 24 HOURS)), time, id) AS rn
-                   FROM stg WHERE time BETWEEN {NOW} - INTERVAL 25 HOURS AND {NOW} - INTERVAL 23 HOURS) h
-               ON l.symbol = h.symbol AND h.rn = 1
-        LEFT JOIN (SELECT symbol, min(price) AS min_price_24h, max(price) AS max_price_24h,
-                          CAST(avg(price) AS DECIMAL(38,12)) AS avg_price_24h, sum(volume) AS volume_24h, count(*) AS updates_24h
-                   FROM stg WHERE time >= {NOW} - INTERVAL 24 HOURS AND time <= {NOW} GROUP BY symbol) s
-               ON l.symbol = s.symbol
-        WHERE l.rn = 1""",
+        SELECT symbol, last.price AS latest_price, last.volume AS latest_volume, last.bid AS latest_bid,
+               last.ask AS latest_ask, last.spread AS spread, last.spread_pct AS spread_percentage, price_24h_ago,
+               CASE WHEN price_24h_ago > 0 THEN last.price - price_24h_ago END AS price_change_24h,
+               {_PCT.format(a="last.price", b="price_24h_ago")} AS price_change_pct_24h,
+               min_price_24h, max_price_24h, avg_price_24h, volume_24h, updates_24h, last.exchange AS exchange,
+               last.time AS last_updated, last.inserted_at AS last_inserted_at, {NOW} AS refreshed_at
+        FROM (SELECT symbol, arg_max(d, [epoch_us(d.time), epoch_us(d.inserted_at), d.id]) FILTER (recent) AS last,
+                     arg_min(d.price, [abs(away), away, d.id]) FILTER (abs(away) <= 3600000000) AS price_24h_ago,
+                     min(d.price) FILTER (recent) AS min_price_24h, max(d.price) FILTER (recent) AS max_price_24h,
+                     CAST(avg(d.price) FILTER (recent) AS DECIMAL(38,12)) AS avg_price_24h,
+                     sum(d.volume) FILTER (recent) AS volume_24h, count(*) FILTER (recent) AS updates_24h
+              FROM (SELECT symbol, stg AS d, time >= {NOW} - INTERVAL 24 HOURS AND time <= {NOW} AS recent,
+                           epoch_us(time) - epoch_us({NOW} - INTERVAL 24 HOURS) AS away FROM stg)
+              GROUP BY symbol)
+        WHERE updates_24h > 0""",
     "summary": f"""
         SELECT md5(strftime(window_start, '%Y-%m-%d %H:%M:%S') || '|' || symbol) AS window_id, window_start,
                window_start + INTERVAL 15 MINUTES AS window_end, symbol, min_price, max_price, avg_price, price_stddev,
@@ -151,11 +153,20 @@ _NEEDS = {
 }
 
 
-def sql(body: str, parts: str = "", numbers: str = "") -> str:
-    """`body` over the named parts; `numbers` lists the columns to round as `comparable` does."""
+# Columns that are ratios or deviations, doubles in both engines.
+RATIOS = set(
+    """price_stddev spread_pct spread_percentage price_change_pct_24h avg_spread_pct update_distribution_pct
+    price_range_percentage coefficient_of_variation period_return_percentage price_change_pct momentum_pct rsi vwap
+    largest_move_pct level per_second ratio incomplete_pct repeated_pct impossible_pct gaps_pct change_pct""".split()
+)
+
+
+def sql(body: str, parts: str = "", numbers: str = "", ratios: str = "") -> str:
+    """`body` over the named parts; `numbers` and `ratios` list the columns to round as `comparable` does."""
     wanted = {p for part in parts.split() for p in [part, *_NEEDS.get(part, [])]}
     ctes = ", ".join(f"{name} AS ({PARTS[name]})" for name in PARTS if name in wanted)
-    rounded = ", ".join(f"CAST(round(CAST({n} AS DECIMAL(38,12)), 6) AS DOUBLE) AS {n}" for n in numbers.split())
+    digits = {n: ROUNDED if n in RATIOS else EXACT for n in numbers.split()} | {n: ROUNDED for n in ratios.split()}
+    rounded = ", ".join(f"CAST(round(CAST({n} AS DECIMAL(38,12)), {d}) AS DOUBLE) AS {n}" for n, d in digits.items())
     outer = f"SELECT * REPLACE ({rounded}) FROM ({body}) AS result" if rounded else body
     return f"WITH {ctes} {outer}" if ctes else outer
 

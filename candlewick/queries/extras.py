@@ -19,7 +19,7 @@ from candlewick.sources.scratch import new_folder
                   sum(CAST(price AS DOUBLE) * CAST(volume AS DOUBLE)) / nullif(sum(CAST(volume AS DOUBLE)), 0) AS vwap,
                   sum(CAST(volume AS DOUBLE)) AS total_volume FROM stg GROUP BY ALL""",
         "stg",
-        "vwap total_volume",
+        ratios="vwap total_volume",
     ),
 )
 def ext_vwap(spark, sf_dir):

@@ -72,7 +72,7 @@ def ingest_topics(spark, sf_dir):
     "normalize_quotes",
     sql(
         "SELECT event_id, event_type AS symbol, ts AS time, CAST(value AS DOUBLE) AS price, 'USD' AS currency FROM events",
-        numbers="price",
+        ratios="price",
     ),
 )
 def normalize_quotes(spark, sf_dir):

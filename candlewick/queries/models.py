@@ -95,6 +95,25 @@ def nearest_price(spark, sf_dir):
     return latest.nearest_price(stg(spark, sf_dir), AS_OF)
 
 
+@query(
+    "asof_price",
+    sql(
+        """SELECT t.id, t.time, t.symbol, t.price, e.price AS earlier_price, e.time AS earlier_time,
+                  CASE WHEN e.price > 0 THEN t.price - e.price END AS change,
+                  CASE WHEN e.price > 0 THEN CAST(t.price - e.price AS DOUBLE) / CAST(e.price AS DOUBLE) * 100 END AS change_pct
+           FROM stg t LEFT JOIN stg e ON t.symbol = e.symbol
+             AND e.time BETWEEN t.time - INTERVAL 25 HOURS AND t.time - INTERVAL 23 HOURS
+           QUALIFY row_number() OVER (PARTITION BY t.id ORDER BY
+             abs(epoch_us(e.time) - epoch_us(t.time - INTERVAL 24 HOURS)) NULLS LAST, e.time, e.id) = 1""",
+        "stg",
+        "price earlier_price change change_pct",
+    ),
+)
+def asof_price(spark, sf_dir):
+    """The price a day ago of every tick."""
+    return latest.earlier_prices(stg(spark, sf_dir))
+
+
 @query("incremental_ohlcv", sql("SELECT * FROM candles", "candles", CANDLE_NUMBERS))
 def incremental_ohlcv(spark, sf_dir):
     """First half as a full load, the rest as an increment with its lookback."""

@@ -191,19 +191,6 @@ def latency_histogram(spark, sf_dir):
     return monitor.latency_histogram(ticks(spark, sf_dir), bounds)
 
 
-@query(
-    "batch_size_histogram",
-    sql(
-        """SELECT le, (SELECT count(*) FROM (SELECT count(*) AS n FROM ticks
-                       GROUP BY time_bucket(INTERVAL 1 HOURS, inserted_at)) WHERE n <= le) AS cumulative_count
-           FROM (SELECT unnest([1, 10, 25, 50, 100, 250, 500, 1000, 'inf'::DOUBLE]::DOUBLE[]) AS le)""",
-        "ticks",
-    ),
-)
-def batch_size_histogram(spark, sf_dir):
-    return monitor.batch_size_histogram(ticks(spark, sf_dir), "1 hour")
-
-
 @query(
     "counter_rate",
     sql(
@@ -224,7 +211,7 @@ def counter_rate(spark, sf_dir):
         .groupBy(F.col("symbol").alias("counter"), bucket_start("time", "1 hour").alias("sampled_at"))
         .agg(F.count("*").alias("value"))
     )
-    return monitor.counter_rate(samples, window="6 hours")
+    return monitor.counter_rate(samples, window="6 hours", every="1 hour")
 
 
 @query(

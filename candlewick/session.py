@@ -1,15 +1,39 @@
 """Session settings for tests, the bench and stand-alone runs.
 
-On a cluster the session comes from the platform; nothing in the library needs more than a UTC time zone.
+On a cluster the session comes from the platform. The library needs a UTC time zone, and the RocksDB state store for the
+alert stream; it changes neither for the rest of the session: `setting` holds a value for as long as a block runs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+@contextmanager
+def setting(spark: SparkSession, **conf: str) -> Iterator[None]:
+    """Session settings (`__` for a dot) inside the block; afterwards they are what they were.
+
+    A plan that is analysed, a write that is run and a stream that is started inside keep what held there.
+    """
+    names = {key.replace("__", "."): value for key, value in conf.items()}
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def local_session(app: str = "candlewick", cores: str | int = "*", partitions: int = 8, **conf: str) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")

@@ -32,12 +32,17 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on any file system that Spark knows; nothing happens if there is none."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder that `new_folder` named, once nothing reads it any more."""
     if not path.startswith(f"{shared_folder(spark)}/"):
         raise ValueError(f"{path} is no working folder")
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    delete(spark, path)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -1,113 +1,139 @@
 """Sliding-window price alerts on a stream.
 
-State is kept per (symbol, time slice), not per symbol: a catch-up batch of one hot symbol is spread over many keys.
-A tick is checked in its own slice; if it lies within one window of the slice's end, the next slice remembers it
-too. Ticks older than the watermark by more than a window are dropped from the state, and a slice as a whole is
-forgotten once the watermark has passed it.
+State is kept per symbol and slice, and a slice is as long as the window (five minutes): an hour of one symbol is twelve
+keys, which go to different tasks, and a symbol in a live feed has two keys at work. A tick of slice k goes two ways: to
+its own slice, which remembers it, and as a question to slice k - 1, where its window begins. There the first tick not
+older than the window is looked up; if slice k - 1 has none, the answer is the oldest tick of slice k, which its questions
+have handed over. Within a slice ticks lie in parts of a tenth of the window, each a value of a map state: a batch reads
+and writes only the parts that its ticks and questions fall into, whatever the slice holds. A timer drops a slice once
+the watermark has passed the one after it.
+
+`transformWithState` needs the RocksDB state store: start the stream inside `rocksdb_state`, or set it for the session.
 """
 
 from __future__ import annotations
 
 import sys
+from bisect import bisect_left
 from collections.abc import Iterator
+from contextlib import AbstractContextManager
 
-import numpy as np
-import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from candlewick.functions.times import micros
 from candlewick.plans.alerts import THRESHOLD, WINDOW, alert_message, slice_start
-from candlewick.session import ROCKSDB
+from candlewick.session import ROCKSDB, setting
 
 _OUTPUT = "symbol string, us long, id long, old_price string, new_price string, price_change_pct double"
-_STATE = "us array<long>, id array<long>, price array<string>"
+_TICKS = "us array<long>, id array<long>, price array<string>"
+PARTS = 10  # of a slice
 
 
 # Executors get the class itself, so they need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+Tick = tuple[int, int, str]
+
 
 class WindowAlerts(StatefulProcessor):
-    """Compares each new tick with the oldest tick of its window."""
+    """Compares each new tick with the oldest tick of its window; a key is (symbol, start of a slice)."""
 
-    def __init__(self, span: int, slice_span: int, threshold: float):
-        self.span, self.slice_span, self.threshold = span, slice_span, threshold
+    def __init__(self, span: int, threshold: float, parts: int = PARTS):
+        self.span, self.threshold, self.part = span, threshold, -(-span // parts)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.ticks = handle.getValueState("ticks", _STATE)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        parts = [(f["us"].to_numpy("int64"), f["id"].to_numpy("int64"), f["price"].to_numpy(object),
-                  f["own"].to_numpy(bool)) for f in rows]
-        known = self.ticks.get()
-        if known is None:
-            self.handle.registerTimer((int(key[1]) + self.slice_span) // 1000)
-        else:
-            us, ids, prices = (np.array(column, kind) for column, kind in zip(known, ("int64", "int64", object)))
-            parts.append((us, ids, prices, np.zeros(len(us), bool)))
-        us, ids, prices, asked = (np.concatenate(columns) for columns in zip(*parts))
-        order = np.lexsort((ids, us))
-        us, ids, prices, asked = us[order], ids[order], prices[order], asked[order]
-
-        keep = np.searchsorted(us, timerValues.getCurrentWatermarkInMs() * 1000 - self.span, side="left")
-        self.ticks.update((us[keep:].tolist(), ids[keep:].tolist(), prices[keep:].tolist()))
-
-        if not asked.any():
+        self.ticks = handle.getMapState("ticks", "part long", _TICKS)
+        self.following = handle.getValueState("following", "us long, id long, price string")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        symbol, start = key
+        told: dict[int, list[Tick]] = {}
+        asked: list[Tick] = []
+        for r in rows:
+            tick = (r.us, r.id, r.price)
+            if r.own:
+                told.setdefault((r.us - start) // self.part, []).append(tick)
+            else:
+                asked.append(tick)
+        known = self.following.get()
+        fresh = known is None
+        if fresh:
+            self.handle.registerTimer((start + 2 * self.span) // 1000)
+        loaded: dict[int, list[Tick]] = {}
+
+        def load(part: int) -> list[Tick]:
+            if part not in loaded:
+                value = None if fresh else self.ticks.getValue((part,))
+                loaded[part] = list(zip(*value)) if value else []
+            return loaded[part]
+
+        for part, new in told.items():
+            loaded[part] = sorted([*load(part), *new])
+            self.ticks.updateValue((part,), tuple(map(list, zip(*loaded[part]))))
+        asked.sort()
+        head = None if fresh or known[0] is None else tuple(known)
+        if asked and (head is None or asked[0] < head):
+            head = asked[0]
+        if fresh or head is not None and head != tuple(known):
+            self.following.update(head or (None, None, None))
+        if not asked:
             return
-        old = prices[np.searchsorted(us, us[asked] - self.span, side="left")]
-        new = prices[asked]
-        before, after = old.astype("float64"), new.astype("float64")
-        pct = (after - before) / before * 100
-        hit = np.abs(pct) > self.threshold
-        if hit.any():
-            yield pd.DataFrame(
-                {
-                    "symbol": key[0],
-                    "us": us[asked][hit],
-                    "id": ids[asked][hit],
-                    "old_price": old[hit],
-                    "new_price": new[hit],
-                    "price_change_pct": pct[hit],
-                }
-            )
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        parts = sorted(set(loaded) if fresh else {p for (p,) in self.ticks.keys()})
+        for us, id_, price in asked:
+            old = self._first(load, parts, us - self.span, (us - self.span - start) // self.part) or head
+            before, after = float(old[2]), float(price)
+            pct = (after - before) / before * 100 if before else 0.0
+            if abs(pct) > self.threshold:
+                yield Row(symbol=symbol, us=us, id=id_, old_price=old[2], new_price=price, price_change_pct=pct)
+
+    @staticmethod
+    def _first(load, parts: list[int], moment: int, part: int) -> Tick | None:
+        """The first tick of the slice from `moment` on."""
+        for p in parts[bisect_left(parts, part) :]:
+            ticks = load(p)
+            at = bisect_left(ticks, (moment,)) if p == part else 0
+            if at < len(ticks):
+                return ticks[at]
+        return None
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.ticks.clear()
+        self.following.clear()
         return iter(())
 
     def close(self) -> None:
         pass
 
 
+def rocksdb_state(spark: SparkSession) -> AbstractContextManager:
+    """The state store that the alert stream needs, for streams that are started inside."""
+    return setting(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB)
+
+
 def alert_stream(
-    ticks: DataFrame,
-    window: str = WINDOW,
-    threshold: float = THRESHOLD,
-    delay: str = "1 minute",
-    slice_width: str = "1 hour",
+    ticks: DataFrame, window: str = WINDOW, threshold: float = THRESHOLD, delay: str = "1 minute", parts: int = PARTS
 ) -> DataFrame:
     """Alerts in event time. A tick is compared with the ticks that arrived before or with it; one later than
     `delay` is left out."""
-    ticks.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    span, slice_span = micros(window), micros(slice_width)
-    if slice_span < span:
-        raise ValueError("a slice must not be shorter than the window")
+    span = micros(window)
     us = F.col("us")
-    own = slice_start(us, slice_span)
-    following = F.when(us + span >= own + slice_span, F.struct((own + slice_span).alias("slice"), F.lit(False).alias("own")))
-    targets = F.array_compact(F.array(F.struct(own.alias("slice"), F.lit(True).alias("own")), following))
+    own = slice_start(us, span)
+    targets = F.array(
+        F.struct(own.alias("slice"), F.lit(True).alias("own")), F.struct((own - span).alias("slice"), F.lit(False).alias("own"))
+    )
     placed = (
         ticks.withWatermark("time", delay)
+        .filter(F.col("symbol").isNotNull() & F.col("price").isNotNull())
         .select("time", "symbol", "id", F.unix_micros("time").alias("us"), F.col("price").cast("string").alias("price"))
         .withColumn("t", F.explode(targets))
         .select("time", "symbol", "id", "us", "price", "t.slice", "t.own")
     )
-    alerts = placed.groupBy("symbol", "slice").transformWithStateInPandas(
-        statefulProcessor=WindowAlerts(span, slice_span, threshold),
+    alerts = placed.groupBy("symbol", "slice").transformWithState(
+        statefulProcessor=WindowAlerts(span, threshold, parts),
         outputStructType=_OUTPUT,
         outputMode="Append",
         timeMode="EventTime",
