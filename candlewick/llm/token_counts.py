@@ -8,8 +8,9 @@ version; nothing is looked up, so a batch costs what its changes cost, whatever
 A batch is committed under its number: its summed deltas go to a folder that nobody else uses, and the commit is one
 row in a journal that names the number and the folder. A number that the journal has is not written again, so a batch
 may be replayed; of folders that raced for one number the smallest name counts. Totals are the sum of the committed
-deltas. `compact` folds the batches so far into one under a new name and lists what it replaces; late or repeated
-numbers stay known.
+deltas. `compact` folds the batches so far into one, under a negative number, and its row lists the numbers it holds: a
+number that a compaction holds never counts by itself again, also if a slow writer of that number commits later.
+`vacuum` deletes the folders that count no more.
 
 Null source, language or tokenizer are groups of their own; a null count is 0; null text has no tokens; repeated rows
 count each; an empty batch commits no rows; totals of groups that fell to zero documents are left out.
@@ -30,10 +31,10 @@ from candlewick.llm.arrow import blocks, utf8
 from candlewick.llm.bpe import BLOCK, tokenizer_file
 from candlewick.llm.mixing import n_words
 from candlewick.llm.pieces import library_encoder
-from candlewick.sources.scratch import materialise, new_folder
+from candlewick.sources.scratch import delete, materialise, new_folder
 
 KEYS = ("source", "lang", "tokenizer")
-JOURNAL = "batch long, name string, replaces array<string>"
+JOURNAL = "batch long, name string, holds array<long>"
 DELTAS = "source string, lang string, tokenizer string, docs long, tokens long"
 
 
@@ -73,44 +74,73 @@ class Rollup:
         spark.createDataFrame([], JOURNAL).write.mode("ignore").parquet(f"{folder}/journal")
 
     def _journal(self) -> list:
-        """Committed batches, the smallest name for each number. One row for each batch, none of it grows with documents."""
-        rows = self.spark.read.schema(JOURNAL).parquet(f"{self.folder}/journal").collect()
+        """Every commit. One row for each batch, none of it grows with documents."""
+        return self.spark.read.schema(JOURNAL).parquet(f"{self.folder}/journal").collect()
+
+    @staticmethod
+    def live(journal: list) -> list:
+        """The commits that count: the smallest name of each number, unless a compaction that counts holds the number.
+
+        Compactions hold the numbers of those before them as well, so the newest ones settle the others.
+        """
         won: dict = {}
-        for r in sorted(rows, key=lambda r: r.name):
+        for r in sorted(journal, key=lambda r: r.name):
             won.setdefault(r.batch, r)
-        return list(won.values())
+        held: set = set()
+        for r in sorted(won.values(), key=lambda r: r.batch):  # the last compaction has the smallest number
+            if r.batch not in held:
+                held |= set(r.holds)
+        return [r for r in won.values() if r.batch not in held]
 
-    def commit(self, batch: int, changes: DataFrame, replaces: list[str] | None = None) -> bool:
+    def commit(self, batch: int, changes: DataFrame, holds: list[int] | None = None) -> bool:
         """Sum and commit the signed rows of a batch; False, and nothing changes, if the number is committed."""
         if any(r.batch == batch for r in self._journal()):
             return False
+        name = self.store(batch, changes)
+        self.publish(batch, name, holds)
+        return True
+
+    def store(self, batch: int, changes: DataFrame) -> str:
+        """Write the sums of a batch, which count once `publish` has put them into the journal."""
         name = os.path.basename(new_folder(self.spark, f"batch-{batch}"))
         sums = changes.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
         sums.where("docs <> 0 or tokens <> 0").write.parquet(f"{self.folder}/deltas/{name}")
-        row = self.spark.createDataFrame([(batch, name, replaces or [])], JOURNAL)
+        return name
+
+    def publish(self, batch: int, name: str, holds: list[int] | None = None) -> None:
+        row = self.spark.createDataFrame([(batch, name, holds or [])], JOURNAL)
         row.coalesce(1).write.mode("append").parquet(f"{self.folder}/journal")
-        return True
 
-    def deltas(self) -> DataFrame:
-        journal = self._journal()
-        replaced = {name for r in journal for name in r.replaces}
-        paths = [f"{self.folder}/deltas/{r.name}" for r in journal if r.name not in replaced]
+    def _tables(self, commits: list) -> DataFrame:
+        paths = [f"{self.folder}/deltas/{r.name}" for r in commits]
         if not paths:
             return self.spark.createDataFrame([], DELTAS)
         return self.spark.read.schema(DELTAS).parquet(*paths)
 
+    def deltas(self) -> DataFrame:
+        return self._tables(self.live(self._journal()))
+
     def totals(self) -> DataFrame:
         """source, lang, tokenizer, n_docs, n_tokens."""
         summed = self.deltas().groupBy(*KEYS).agg(F.sum("docs").alias("n_docs"), F.sum("tokens").alias("n_tokens"))
         return summed.where("n_docs <> 0 or n_tokens <> 0")
 
     def compact(self) -> bool:
-        """Fold all committed deltas into one table, under a negative number of its own."""
+        """Fold what counts into one table, under a negative number of its own."""
         journal = self._journal()
+        live = self.live(journal)
         number = min([0, *(r.batch for r in journal)]) - 1
-        replaced = {name for r in journal for name in r.replaces}
-        live = [r.name for r in journal if r.name not in replaced]
-        return bool(live) and self.commit(number, self.deltas(), live)
+        holds = {r.batch for r in live} | {b for r in live for b in r.holds}
+        return bool(live) and self.commit(number, self._tables(live), sorted(holds))
+
+    def vacuum(self) -> int:
+        """Delete the folders of commits that count no more; run it when nobody reads them. Returns their number."""
+        journal = self._journal()
+        live = {r.name for r in self.live(journal)}
+        gone = [r.name for r in journal if r.name not in live]
+        for name in gone:
+            delete(self.spark, f"{self.folder}/deltas/{name}")
+        return len(gone)
 
 
 def maintained(docs: DataFrame, tokenizer: str, version: str, restored: bool = False) -> DataFrame:
