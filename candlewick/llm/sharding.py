@@ -8,7 +8,7 @@ the new shard's rows and the overflow only.
 
 Only the row count of each place reaches the driver (32,768 numbers, whatever the table), where the overflow is
 walked; the answer is a table of ranges of positions within places, joined back by place. Equal rows are folded into
-one with a count before anything is ordered, so no key makes a task large.
+one with a count before anything is ordered, and unfolded in pieces at the end, so no key makes a task large.
 
 Null doc_id and null text are values like any other (a null text has no bytes); repeated rows get a slot each; an
 empty table gives an empty result; other columns are not read.
@@ -25,6 +25,7 @@ from candlewick.sources.scratch import materialise
 
 PLACES = 1 << 15
 NODES = 64  # virtual nodes of a shard
+REPEATS = 10_000  # of one row that a task writes
 OVERHEAD = 16  # bytes a row takes besides its text
 
 
@@ -88,8 +89,21 @@ def shard(docs: DataFrame, shards: int = 40) -> DataFrame:
     ordered = Window.partitionBy("place").orderBy("hash", F.col("doc_id").asc_nulls_first(), "text_crc32", "size")
     before = F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
     placed = folded.withColumn("first", F.coalesce(before, F.lit(0)))
+    own = ["doc_id", "size", "text_crc32", F.col("place").cast("int").alias("place")]
+    # a row that repeats more than REPEATS times is first cut into pieces, which are dealt to all tasks
+    pieces = F.explode(F.sequence(F.lit(0).cast("long"), (F.col("n") - 1).cast("long"), F.lit(REPEATS).cast("long"))).alias("piece")
+    many = placed.where(F.col("n") > REPEATS).select(*own, "first", "n", pieces)
+    many = many.repartition("place", "doc_id", "piece").select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        "place",
+        (F.col("first") + F.col("piece")).alias("first"),
+        F.least(F.lit(REPEATS), F.col("n") - F.col("piece")).cast("long").alias("n"),
+    )
+    pieced = placed.where(F.col("n") <= REPEATS).select(*own, "first", "n").unionByName(many)
     position = F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("position")
-    each = placed.select("doc_id", "size", "text_crc32", F.col("place").cast("int").alias("place"), position)
+    each = pieced.select("doc_id", "size", "text_crc32", "place", position)
     # at most one row for each place and shard: bounded by the ring, not by the table
     return (
         each.join(F.broadcast(plan), "place")
