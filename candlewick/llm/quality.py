@@ -215,9 +215,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     known = judged.join(docs.select("doc_id"), "doc_id", "left_semi").withColumn("key", F.md5(F.col("doc_id").cast("string")))
     parts = [known.where(F.col("label") == y).orderBy("key").limit(sample // 2) for y in (0, 1)]
     chosen = parts[0].unionByName(parts[1])
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("key", "label", "text")
+    # rows of one doc_id are one labelled text, the smallest, so that repeats push nobody out
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("key", "label").agg(F.min("text").alias("text"))
     made = texts.mapInArrow(_features, "key string, label int, features binary, shares binary")
-    rows = made.orderBy("key", "features").limit(sample).collect()  # a repeated doc_id adds no rows beyond the bound
+    rows = made.orderBy("key").collect()  # `sample` rows at most
     return fit([(np.frombuffer(r.features, np.int32), np.frombuffer(r.shares, np.float32), r.label) for r in rows])
 
 
