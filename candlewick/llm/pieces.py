@@ -11,6 +11,7 @@ import os
 
 import numpy as np
 
+from candlewick.llm.arrow import ranges
 from candlewick.llm.pretokens import Pieces, added_tokens, read_spec
 
 
@@ -18,7 +19,9 @@ GROUP = 500  # pieces in a sequence
 
 
 class LibraryEncoder(Pieces):
-    LIMIT = 600_000  # remembered pieces: the library takes longer for a new one than a merge table
+    """Remembers pieces that come again: when the memory is full, only those that two blocks have asked for stay."""
+
+    LIMIT = 1_000_000  # remembered pieces: the library takes longer for a new one than a merge table
 
     def __init__(self, content: bytes):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one core belongs to a task
@@ -30,6 +33,31 @@ class LibraryEncoder(Pieces):
         self.largest = self.library.get_vocab_size(with_added_tokens=True) - 1
         super().__init__(self.encode_pieces, added_tokens(read_spec(content)))
 
+    def clear(self) -> None:
+        super().clear()
+        self.asked = np.zeros(0, np.int32)  # blocks that asked for a piece
+
+    def learn(self, pieces: list[bytes], ids: np.ndarray, count: np.ndarray) -> None:
+        super().learn(pieces, ids, count)
+        self.asked = np.concatenate([self.asked, np.zeros(len(pieces), np.int32)])
+
+    def look_up(self, pieces: list[bytes]) -> np.ndarray:
+        if len(self.index) > self.LIMIT:
+            self.forget()
+        number = super().look_up(pieces)
+        self.asked[number] += 1  # a block asks once for each piece
+        return number
+
+    def forget(self) -> None:
+        again = self.asked > 1
+        kept = np.flatnonzero(again)
+        if 2 * len(kept) > self.LIMIT:
+            return self.clear()
+        names, count = list(itertools.compress(self.index, again.tolist())), self.count[kept]
+        ids = self.ids[ranges(self.at[kept], count)]
+        self.clear()
+        self.learn(names, ids, count)
+
     def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Pieces go as words of longer sequences, which costs the library less than a sequence for each."""
         words = [p.decode() for p in pieces]
