@@ -5,11 +5,13 @@ whole corpus. The model's outputs are the most frequent words, the end, and `CLA
 the hash of their last two bytes); a word of a class has its share of the class by counts plus one, with one unknown
 word for each class, so the probabilities over all known words and one unknown word of each class add up to one.
 
-The score of output w after the tokens u, v is (A[v] + B[u]) . Q[w] + b[w]. Training in numpy: every task starts from
-the same parameters, learns from all training texts it reads (noise drawn from the unigram distribution, shared within
-a batch), and the tasks' parameters are averaged with their token counts as weights; nothing but these sums reaches
-the driver, a fixed number of rows. Then batched matrix products over all pairs of context tokens give the normaliser
-of every context, so each token's log-probability is normalised exactly.
+The score of output w after the tokens u, v is (A[v] + B[u]) . Q[w] + b[w]. Training in numpy: a hash deals all training
+texts to learners, one for `SHARD_TOKENS` tokens, and to `ROUNDS` rounds; so what a learner reads, and in what order,
+does not depend on files or partitions. In a round every learner starts from the same parameters, learns from its texts
+(noise drawn from the unigram distribution, shared within a batch), and the learners' parameters are averaged with their
+token counts as weights; nothing but these sums reaches the driver, a fixed number of rows. Then batched matrix products
+over all pairs of context tokens give the normaliser of every context, so each token's log-probability is normalised
+exactly.
 
 Words that make up 1 / `RARE` of all training tokens are at most `RARE` in number and, up to `LONGEST` bytes, go to the
 executors with their counts; all others meet their counts in a join. No word is left out of any sum.
@@ -20,6 +22,7 @@ empty result; with nothing to learn from every count is zero and the model is ev
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -31,7 +34,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm.arrow import texts
+from candlewick.llm.arrow import binaries, texts
 from candlewick.sources.scratch import materialise
 
 FOLDS, HELD_OUT = 7, 2
@@ -41,6 +44,8 @@ DIMS = 24
 RARE, LONGEST = 200_000, 64
 NOISE, SHARED = 16.0, 64  # noise samples for each token, and words drawn for each batch
 BATCH = 4096
+SHARD_TOKENS, SHARDS = 8_000_000, 4096  # training tokens of a learner, and learners at most (they then read more)
+ROUNDS = 2
 RATE = 0.15
 END_ID = CLASSES
 _BLOCK = 1 << 18  # tokens handled at a time
@@ -218,37 +223,87 @@ def learn(p: Parameters, squares: Parameters, near, far, target, unigram: np.nda
         _add_rows(p.far, squares.far, u, dq)
 
 
-def train(docs: DataFrame, known: Broadcast, start: Broadcast) -> Parameters:
-    """The average of what the tasks learn from all texts of `docs`."""
+def shards(tokens: int) -> int:
+    """How many learners share the training tokens: a number that follows the corpus, not how its files are cut."""
+    return max(1, min(SHARDS, -(-tokens // SHARD_TOKENS)))
+
+
+def _encoded(docs: DataFrame, known: Broadcast, count: int) -> DataFrame:
+    """shard, place in the shard, and the outputs of each text's tokens as unsigned 16-bit integers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read, p = Reader(known.value), Parameters.of(start.value.rows())
-        squares = Parameters.of(np.full_like(start.value.rows(), 1e-6))
-        seen, rng = 0, np.random.default_rng(88)
-        for _, own in _batched(batches, 0):
+        read = Reader(known.value)
+        for batch, own in _batched(batches, 1):
             _, output, size, _ = read(own)
-            near, far = Reader.contexts(output, size)
-            learn(p, squares, near, far, output, known.value.unigram, rng)
-            seen += len(output)
-        if seen:
-            rows = p.rows().astype(float) * seen
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.arange(len(rows), dtype=np.int32)),
-                    pa.array(np.full(len(rows), float(seen))),
-                    *(pa.array(np.ascontiguousarray(c)) for c in rows.T),
-                ],
-                names=names,
-            )
+            outputs = binaries(output.astype("<u2").view(np.uint8), np.concatenate([[0], np.cumsum(size)]) * 2)
+            yield pa.RecordBatch.from_arrays([batch.column(0), outputs], names=["place", "outputs"])
+
+    texts_ = docs.select("place", "text").mapInArrow(run, "place long, outputs binary")
+    shard = F.pmod(F.shiftrightunsigned("place", 8), F.lit(count)).cast("int").alias("shard")
+    return texts_.select(shard, "place", "outputs")
+
 
+def train(docs: DataFrame, known: Broadcast, start: Broadcast, rounds: int = ROUNDS) -> Parameters:
+    """Parameters learned from all texts of `docs`, each of them read in one of the rounds.
+
+    A hash of doc_id and text says in which round and by which learner a text is read and in what order. After a round
+    the learners' parameters, and the squares that set their step lengths, are averaged with token counts as weights, and
+    the next round starts from there.
+    """
+    spark, count = docs.sparkSession, shards(known.value.tokens)
+    placed = docs.select(F.xxhash64("doc_id", "text").alias("place"), "text")
     dims = [f"d{i}" for i in range(DIMS)]
     names = ["row", "seen", *dims]
-    learned = docs.select("text").mapInArrow(run, "row int, seen double, " + ", ".join(f"{d} double" for d in dims))
-    summed = learned.groupBy("row").agg(F.sum("seen").alias("seen"), *(F.sum(d).alias(d) for d in dims)).collect()
     rows = start.value.rows().astype(float)
-    for r in summed:  # a fixed number of parameter rows
-        rows[r.row] = [r[d] / r.seen for d in dims]
-    return Parameters.of(rows.astype(np.float32))
+    state = np.concatenate([rows, np.full_like(rows, 1e-6)])
+
+    for turn in range(rounds):
+        begin = spark.sparkContext.broadcast(state.astype(np.float32))
+
+        def run(batches: Iterator[pa.RecordBatch], begin=begin, turn=turn) -> Iterator[pa.RecordBatch]:
+            def learner(shard: int, blocks_: Iterator[list[np.ndarray]]) -> pa.RecordBatch:
+                half = len(begin.value) // 2
+                p, squares = Parameters.of(begin.value[:half]), Parameters.of(begin.value[half:])
+                seen, rng = 0, np.random.default_rng((88, turn, shard))
+                for own in blocks_:
+                    output, size = np.concatenate(own), np.array([len(o) for o in own], np.int64)
+                    near, far = Reader.contexts(output, size)
+                    learn(p, squares, near, far, output, known.value.unigram, rng)
+                    seen += len(output)
+                found = np.concatenate([p.rows(), squares.rows()]).astype(float) * seen
+                columns = [pa.array(np.arange(len(found), dtype=np.int32)), pa.array(np.full(len(found), float(seen)))]
+                return pa.RecordBatch.from_arrays([*columns, *(pa.array(np.ascontiguousarray(c)) for c in found.T)], names=names)
+
+            texts_ = (
+                (shard, np.frombuffer(outputs, "<u2").astype(np.int64))
+                for batch in batches
+                for shard, outputs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            )
+            for shard, own in itertools.groupby(texts_, key=lambda t: t[0]):
+                yield learner(shard, _gathered(o for _, o in own))
+
+        encoded = _encoded(placed.where(F.pmod("place", F.lit(rounds)) == turn), known, count)
+        dealt = encoded.repartition(count, "shard").sortWithinPartitions("shard", "place").select("shard", "outputs")
+        learned = dealt.mapInArrow(run, "row int, seen double, " + ", ".join(f"{d} double" for d in dims))
+        summed = learned.groupBy("row").agg(F.sum("seen").alias("seen"), *(F.sum(d).alias(d) for d in dims)).collect()
+        for r in summed:  # a fixed number of parameter rows
+            state[r.row] = [r[d] / r.seen for d in dims]
+        begin.unpersist()
+    return Parameters.of(state[: len(rows)].astype(np.float32))
+
+
+def _gathered(outputs: Iterator[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """Texts of about _BLOCK tokens together; a longer text is cut, each part a text of its own."""
+    own, size = [], 0
+    for text in outputs:
+        for at in range(0, len(text), _BLOCK):
+            own.append(text[at : at + _BLOCK])
+            size += len(own[-1])
+            if size >= _BLOCK:
+                yield own
+                own, size = [], 0
+    if own:
+        yield own
 
 
 def normalisers(spark: SparkSession, p: Broadcast) -> np.ndarray:
