@@ -1,7 +1,9 @@
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 
+from candlewick.sources import scratch
 from candlewick.sources.scratch import materialise, new_folder, shared_folder
 
 
@@ -27,3 +29,19 @@ def test_materialise_keeps_rows_and_schema(spark):
     copy = materialise(df, "copy")
     assert copy.dtypes == df.dtypes and copy.count() == 5
     assert "FileScan" in copy._jdf.queryExecution().executedPlan().toString()
+
+
+def test_passing_tables_go_and_kept_ones_stay(spark):
+    folder = lambda df: Path(scratch.folder_of(df))
+    with scratch.passing(spark) as keep:
+        first = scratch.materialise(spark.range(3), "first")
+        with scratch.passing(spark) as inner:
+            second = scratch.materialise(first.selectExpr("id + 1 AS id"), "second")
+            third = inner(scratch.materialise(second, "third"))
+        assert not folder(second).exists() and folder(third).exists()
+        last = keep(scratch.materialise(third.selectExpr("id + 1 AS id"), "last"))
+    assert not folder(first).exists() and not folder(third).exists()
+    assert sorted(r.id for r in last.collect()) == [2, 3, 4]
+    scratch.discard(last)
+    assert not folder(last).exists()
+    scratch.discard(spark.range(3))  # written by nobody
