@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from candlewick.llm.arrow import binaries, texts
 from candlewick.llm.frames import column
 from candlewick.llm.simhash import components, smallest_linked
-from candlewick.sources.scratch import materialise
+from candlewick.sources.scratch import materialise, passing
 
 SHINGLE = 3
 PERCENT = 85  # links: 100 * intersection >= PERCENT * union
@@ -157,10 +157,10 @@ def neighbourhoods(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _cells(members: DataFrame, size: str, cell: int) -> DataFrame:
     """(cell, node, block): groups of `size` sets are dealt to a cell for every two of their blocks.
 
-    `members` has group, node and the size of the group. A pair of blocks is named by the smaller one first; a set goes
+    `members` has group, node and the size of the group (null: one block holds it). A pair of blocks is named by the smaller one first; a set goes
     to the pairs that its block is in, once for each block of the group.
     """
-    blocks = F.ceil(F.col(size) / F.lit(cell)).cast("long")
+    blocks = F.ceil(F.coalesce(F.col(size), F.lit(1)) / F.lit(cell)).cast("long")
     block = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks"))
     each = members.withColumn("blocks", blocks).withColumn("block", block)
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
@@ -172,13 +172,13 @@ def _cells(members: DataFrame, size: str, cell: int) -> DataFrame:
 def cells(shared: DataFrame, roots: DataFrame, cell: int = CELL) -> DataFrame:
     """(cell, node, block): every two sets of a band meet in a cell."""
     roots = materialise(roots, "neighbourhoods")
-    sizes = roots.groupBy("root").agg(F.count("*").alias("whole"))
-    large = sizes.where(F.col("whole") > cell)
+    # only the large ones, which are few, are told their size
+    large = roots.groupBy("root").agg(F.count("*").alias("whole")).where(F.col("whole") > cell)
     # comparisons within the buckets of a large neighbourhood; each bucket gives its size once for every member
     spread = shared.join(roots, "node").join(large, "root")
     cost = spread.groupBy("root", "whole").agg(F.sum("size").alias("pairs"))
     apart = materialise(cost.where(F.col("pairs") < F.col("whole") * F.col("whole")).select("root"), "spread-neighbourhoods")
-    whole = roots.join(sizes, "root").join(apart, "root", "left_anti")
+    whole = roots.join(apart, "root", "left_anti").join(large, "root", "left")
     whole = whole.select(F.concat(F.lit("n"), F.col("root").cast("string")).alias("group"), "node", "whole")
     dealt = _cells(whole, "whole", cell)
     if apart.isEmpty():
@@ -266,8 +266,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     folded = found.where("digest IS NOT NULL").groupBy("digest").agg(first, F.first("bands").alias("bands"))
     folded = folded.select("digest", "first.id", "first.row", "first.check", "bands")
     sets = materialise(folded.withColumn("node", F.monotonically_increasing_id()), "distinct-sets")
-    edges = links(docs, sets, shingle, percent, cell)
-    roots = components(edges)
+    with passing(docs.sparkSession) as keep:
+        roots = keep(components(links(docs, sets, shingle, percent, cell)))
     member = sets.select("node", "id", "digest").join(roots, "node", "left")
     member = member.select("digest", "id", F.coalesce("root", "node").alias("root"))
     least = member.groupBy("root").agg(F.min("id").alias("component_id"))

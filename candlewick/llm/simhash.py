@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from candlewick.llm.arrow import texts
 from candlewick.llm.frames import column, every
-from candlewick.sources.scratch import materialise
+from candlewick.sources.scratch import discard, folder_of, materialise, passing, written_at
 
 SHINGLE = 3
 RADIUS = 2
@@ -241,10 +241,13 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).unionByName(
             least.select("a", F.col("low").alias("b"))
         )
-        edges = materialise(small.where("a <> b").distinct(), "small-star")
+        newer = materialise(small.where("a <> b").distinct(), "small-star")
+        discard(large)
+        discard(edges)
+        edges = newer
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if tuple(now) == state:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            return written_at(edges.select(F.col("a").alias("node"), F.col("b").alias("root")), folder_of(edges))
         state = tuple(now)
 
 
@@ -252,7 +255,8 @@ def labelled(docs: DataFrame) -> DataFrame:
     """doc_id, fp, root (smallest fingerprint of the component), component_id."""
     found = materialise(fingerprints(docs.select("doc_id", "text")), "fingerprints")
     distinct = materialise(found.groupBy("fp").agg(F.min("doc_id").alias("id")), "distinct-fingerprints")
-    roots = components(links(distinct.select("fp")))
+    with passing(docs.sparkSession) as keep:
+        roots = keep(components(links(distinct.select("fp"))))
     member = distinct.join(roots, distinct["fp"] == roots["node"], "left")
     member = member.select("fp", "id", F.coalesce("root", "fp").alias("root"))
     least = member.groupBy("root").agg(F.min("id").alias("component_id"))

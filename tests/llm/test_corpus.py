@@ -7,6 +7,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from candlewick.llm import mixing, quality, sharding, simhash
 
@@ -193,6 +194,82 @@ def statistics(text):
     return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(marked), failed
 
 
+@pytest.mark.parametrize("repeats", [3, 10_000])
+def test_shards_equal_a_walk_row_by_row(spark, monkeypatch, repeats):
+    monkeypatch.setattr(sharding, "REPEATS", repeats)
+    rng = random.Random(12)
+    rows = [(rng.choice([None, *range(60)]), rng.choice([None, "", "a", "bb", "é"]), "s") for _ in range(150)] + [(7, "often", "s")] * 40
+    made = docs(spark, *rows)
+    text = F.coalesce(F.col("text"), F.lit(""))
+    hashed = made.select("doc_id", "text", F.xxhash64(text).alias("h"), F.crc32(text.cast("binary")).alias("crc"))
+    place = F.pmod(F.xxhash64(F.lit("row"), F.col("doc_id"), F.col("h")), F.lit(sharding.PLACES))
+    placed = [(r.place, r.h, r.doc_id is not None, r.doc_id or 0, r.crc, r) for r in hashed.withColumn("place", place).collect()]
+    nodes = spark.range(5 * sharding.NODES).select(F.pmod(F.xxhash64(F.lit("node"), F.col("id")), F.lit(sharding.PLACES)).alias("p"), "id")
+    at = {}
+    for r in nodes.collect():
+        at[r.p] = min(at.get(r.p, 5), r.id // sharding.NODES)
+
+    def owner(place):
+        while place % sharding.PLACES not in at:
+            place += 1
+        return at[place % sharding.PLACES]
+
+    room = [len(rows) // 5 + (s < len(rows) % 5) for s in range(5)]
+    slots, want, refused = [0] * 5, [], []
+
+    def put(row, shard):
+        want.append((row.doc_id, len((row.text or "").encode()) + 16, row.crc, shard, slots[shard]))
+        slots[shard] += 1
+
+    for entry in sorted(placed, key=lambda e: e[:5]):
+        if slots[owner(entry[0])] < room[owner(entry[0])]:
+            put(entry[5], owner(entry[0]))
+        else:
+            refused.append(entry)
+    for entry in refused:
+        step = entry[0]
+        while slots[owner(step)] >= room[owner(step)]:
+            step += 1
+        put(entry[5], owner(step))
+    found = [(r.doc_id, r.size, r.text_crc32, r.shard, r.slot) for r in sharding.shard(made, 5).collect()]
+    assert sorted(found, key=str) == sorted(want, key=str) and refused
+
+
+def plain_score(model, text):
+    """The model's score gram by gram."""
+    word = lambda w: sum(ord(c) * pow(int(quality._ODD[0]), i + 1, 1 << 32) for i, c in enumerate(w)) % (1 << 32)
+    words = [word(w) for w in WORD.findall(text)]
+    codes = [ord(c) for c in text]
+    score = model.bias
+    for kind, (values, n) in enumerate([(words, 1), (words, 2), (codes, 2), (codes, 3), (codes, 4)]):
+        weights = []
+        for i in range(len(values) - n + 1):
+            h = sum((values[i + k] + 1) * int(quality._ODD[k]) for k in range(n)) % (1 << 32)
+            bucket = ((h ^ h >> 15) * int(quality._ODD[-1]) % (1 << 32)) >> (33 - quality.BUCKETS.bit_length())
+            weights.append(float(model.weights[kind][bucket]))
+        score += sum(weights) / max(1, len(weights))
+    return score
+
+
+def test_verdicts_equal_a_plain_scorer(spark):
+    made, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    made = made.unionByName(spark.createDataFrame([(-1, "é 日本 " * 60, None, None, 0), (-2, None, None, None, 0)], made.schema))
+    model = quality.train(made, labels)
+    texts = {r.doc_id: r.text or "" for r in made.collect()}
+    for r in quality.rate(made, labels).collect():
+        chance = 1 / (1 + np.exp(-np.clip(model.slope * plain_score(model, texts[r.doc_id]) + model.shift, -60, 60)))
+        assert r.probability == pytest.approx(chance, rel=1e-6, abs=1e-12)
+        assert r.kept == (not r.base_failed and chance >= quality.THRESHOLD)
+
+
+def test_repeated_labelled_rows_push_nobody_out(spark):
+    made, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    one = made.join(labels.where("quality = 1"), "doc_id", "left_semi").limit(1)
+    many = made.unionByName(one.crossJoin(spark.range(50)).drop("id"))
+    plain, crowded = quality.train(made, labels, 20), quality.train(many, labels, 20)
+    assert crowded is not None and np.array_equal(plain.weights, crowded.weights) and plain.slope == crowded.slope
+
+
 def test_quality_statistics(spark):
     random.seed(6)
     texts = [t for _, t, _ in ODD] + ["a b c a b c", "x\n\nx\n \nx y", "é|<>日本 " * 60, "supercalifragilistic" * 40 + " a" * 70]

@@ -1,7 +1,9 @@
 """BPE, token records and token counts against the tokenizer library."""
 
 import hashlib
+import os
 import random
+import shutil
 import zlib
 
 import numpy as np
@@ -64,6 +66,18 @@ def test_clearing_the_memory_changes_nothing():
         del encoder.LIMIT
 
 
+def test_forgetting_rare_pieces_changes_nothing():
+    encoder = pieces.LibraryEncoder(CONTENT)
+    encoder.LIMIT = 40
+    rng = random.Random(2)
+    common = [f" word{i}" for i in range(10)]
+    for _ in range(30):
+        texts = ["".join(rng.choices(common, k=8)) + f" rare{rng.random()}" for _ in range(3)]
+        ids, at = encoder(*flat(texts))
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [expected(t) for t in texts]
+    assert len(encoder.index) < 100 and b" word" in encoder.index
+
+
 def test_digests(spark):
     rows = [(i, t, "s", "en") for i, t in enumerate(HARD)] + [(1, "again", "s", "en"), (1, "again", "s", "en"), (None, "x", None, None)]
     df = spark.createDataFrame(rows, DOCS).selectExpr("*", "'clash' as ids", "0 as n_tokens")
@@ -171,3 +185,32 @@ def test_rollup_commits_once_and_survives_compaction(spark):
     assert store.commit(3, token_counts.signed(counts((2, "a", "en", "v1", None)), None))
     assert store.compact()
     assert list(map(tuple, store.totals().collect())) == [("b", "en", "v1", 1, 7)]
+
+
+def test_a_late_writer_of_a_compacted_number_counts_nothing(spark):
+    kind = "doc_id long, source string, lang string, tokenizer string, n_tokens long"
+    counts = lambda *rows: token_counts.signed(None, spark.createDataFrame(list(rows), kind))
+    for late in ("batch-0", "batch-z"):  # a name before and one after that of the first writer
+        store = token_counts.Rollup(spark, token_counts.new_folder(spark, "test-rollup"))
+        changes = counts((1, "a", "en", "v1", 5))
+        written = store.store(1, changes)  # a second writer, past the check of the journal
+        shutil.move(f"{store.folder}/deltas/{written}", f"{store.folder}/deltas/{late}")
+        assert store.commit(1, changes) and store.compact()
+        store.publish(1, late)
+        want = [("a", "en", "v1", 1, 5)]
+        assert list(map(tuple, store.totals().collect())) == want
+        assert store.commit(2, counts((2, "b", "en", "v1", 7))) and store.compact() and not store.commit(1, changes)
+        want.append(("b", "en", "v1", 1, 7))
+        assert sorted(map(tuple, store.totals().collect())) == want
+        assert store.vacuum() == 4 and sorted(map(tuple, store.totals().collect())) == want
+        assert len(os.listdir(f"{store.folder}/deltas")) == 1
+
+
+def test_records_of_repeated_doc_ids_are_spread(spark):
+    df = spark.createDataFrame([(None if i % 2 else 5, f"text {i}", "s", "en") for i in range(60)], DOCS)
+    folder = records.new_folder(spark, "test-repeats")
+    index = records.write(df, PATH, folder, slice_bytes=40)
+    files = index.groupBy("file").count().collect()
+    assert len(files) > 6 and max(r["count"] for r in files) < 20
+    found = sorted(bytes(r.ids) for r in records.read(index, folder).collect())
+    assert found == sorted(np.array([*expected(f"text {i}"), 2], "<u4").tobytes() for i in range(60))

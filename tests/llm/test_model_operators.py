@@ -36,6 +36,53 @@ def test_language_model(spark):
     assert lm.score(docs.limit(0)).count() == 0
 
 
+def test_model_does_not_depend_on_partitions(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    scores = []
+    for n in (1, 64):
+        held = [r for r in lm.score(docs.repartition(n)).where("held_out").collect()]
+        scores.append({r.doc_id: r.score for r in held})
+        gain = sum(r.score - r.base_score for r in held) / sum(r.n_tokens for r in held)
+        assert gain > 0.1  # log10 per token, over the unigram base
+    assert scores[0].keys() == scores[1].keys() and all(scores[0][d] == pytest.approx(s, rel=1e-4) for d, s in scores[1].items())
+
+
+def test_scores_equal_a_sum_token_by_token(spark):
+    words = [f"w{i}" for i in range(30)] + ["é", "Aa", "x" * 70]
+    rng = np.random.default_rng(13)
+    rows = [(i, " ".join(rng.choice(words, rng.integers(0, 40)))) for i in range(60)] + [(None, None), (7, "w1 w1 unseen")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    taught = docs.where(~lm.held_out(docs["doc_id"]))
+    share = spark.sparkContext.broadcast
+    counts = {r.word: r.c for r in lm.word_counts(taught).collect()}
+    lex = lm.lexicon(lm.word_counts(taught), taught.count())
+    p = lm.train(taught, share(lex), share(lm.first_parameters(lex)))
+    found = collections.Counter({(r.doc_id, round(r.score, 3)): 1 for r in lm.score(docs).collect()})
+    want = collections.Counter()
+    for d, text in rows:
+        tokens = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) + [None]
+        near = far = lm.END_ID
+        total = 0.0
+        for w in tokens:
+            listed = None if w is None else lex.index.get(w.encode())
+            output = lm.END_ID if w is None else int(lex.output[listed]) if listed is not None else lm.class_of(w.encode())
+            score = (p.near[near].astype(float) + p.far[far]) @ p.target.T.astype(float) + p.bias
+            total += (score[output] - np.log(np.exp(score - score.max()).sum()) - score.max()) / math.log(10)
+            if output < lm.CLASSES:  # its share of the class, by counts plus one
+                total += math.log10((counts.get(w, 0) + 1) / (lex.class_total[output] + 1))
+            near, far = output, near
+        want[d, round(total, 3)] = 1
+    close = lambda a, b: a[0] == b[0] and abs(a[1] - b[1]) < 0.01
+    assert len(found) == len(want) and all(any(close(a, b) for b in want) for a in found)
+
+
+def test_learners_follow_the_corpus():
+    assert [lm.shards(n) for n in (0, 1, lm.SHARD_TOKENS, lm.SHARD_TOKENS + 1)] == [1, 1, 1, 2]
+    assert lm.shards(10**15) == lm.SHARDS
+    parts = list(lm._gathered(iter([np.arange(10), np.arange(lm._BLOCK + 5), np.arange(3)])))
+    assert [len(t) for own in parts for t in own] == [10, lm._BLOCK, 5, 3]
+
+
 def test_probabilities_of_all_tokens_add_up_to_one(spark):
     texts = ["a b a c", "a b", "b c d e f g"] * 5
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
