@@ -27,6 +27,9 @@ _AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min, "avg": F.avg, "count":
 _DISTINCT = {"sum": F.sum_distinct, "count": F.count_distinct}
 
 
+MOST_COLUMNS = 1000  # that a pivot looks up by itself
+
+
 def value_counts(df: DataFrame, column: str, where: str | None = None) -> DataFrame:
     """Distinct values of a column with their frequency; stays a table, however many there are."""
     source = df.filter(where) if where else df
@@ -89,8 +92,12 @@ def pivot_columns(
     return result
 
 
-def pivot(df: DataFrame, by: list[str], column: str, values: list | None = None, **options) -> DataFrame:
-    chosen = column_values(df, column) if values is None else values
+def pivot(df: DataFrame, by: list[str], column: str, values: list | None = None, most: int = MOST_COLUMNS, **options) -> DataFrame:
+    """One column for each value of `column`. Without `values` they are looked up, and more than `most` raise ValueError:
+    a plan cannot have a column for each value of a column that grows with the data."""
+    chosen = column_values(df, column, max_records=most + 1) if values is None else values
+    if values is None and len(chosen) > most:
+        raise ValueError(f"{column} has more than {most} values; name those that shall be columns")
     return df.groupBy(*by).agg(*pivot_columns(column, chosen, **options))
 
 

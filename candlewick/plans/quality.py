@@ -24,14 +24,14 @@ FAILURES = "failures"
 
 
 # --- single-row rules ------------------------------------------------------------------------------------------
+# What makes a row break a rule; a rule lists such rows, a suite counts them.
 
 
-def not_null(df: DataFrame, column: str) -> DataFrame:
-    return df.filter(F.col(column).isNull())
+def _is_null(column: str) -> Column:
+    return F.col(column).isNull()
 
 
-def accepted_range(df: DataFrame, column: str, low=None, high=None, inclusive: bool = True) -> DataFrame:
-    """Rows outside the bounds; a NULL value passes."""
+def _out_of_range(column: str, low=None, high=None, inclusive: bool = True) -> Column:
     if low is None and high is None:
         raise ValueError("give low, high or both")
     c = F.col(column)
@@ -40,17 +40,42 @@ def accepted_range(df: DataFrame, column: str, low=None, high=None, inclusive: b
         broken.append(c < low if inclusive else c <= low)
     if high is not None:
         broken.append(c > high if inclusive else c >= high)
-    return df.filter(reduce(lambda a, b: a | b, broken))
+    return reduce(lambda a, b: a | b, broken)
+
+
+def _untrue(expression: str, column: str | None = None) -> Column:
+    return ~F.expr(f"{column} {expression}" if column else expression)
+
+
+def _unequal(actual: str, expected: str) -> Column:
+    return F.col(actual) != F.col(expected)
+
+
+def _empty(column: str, trim: bool = True) -> Column:
+    return (F.trim(F.col(column)) if trim else F.col(column)) == ""
+
+
+def _outside(column: str, values: list) -> Column:
+    return ~F.col(column).isin(values)
+
+
+def not_null(df: DataFrame, column: str) -> DataFrame:
+    return df.filter(_is_null(column))
+
+
+def accepted_range(df: DataFrame, column: str, low=None, high=None, inclusive: bool = True) -> DataFrame:
+    """Rows outside the bounds; a NULL value passes."""
+    return df.filter(_out_of_range(column, low, high, inclusive))
 
 
 def expression_is_true(df: DataFrame, expression: str, column: str | None = None) -> DataFrame:
     """Rows where the expression is false; unknown passes. `column` is put in front of the expression."""
-    return df.filter(~F.expr(f"{column} {expression}" if column else expression))
+    return df.filter(_untrue(expression, column))
 
 
 def assert_equal(df: DataFrame, actual: str, expected: str) -> DataFrame:
     """Rows where the two differ; NULL on either side passes."""
-    return df.filter(F.col(actual) != F.col(expected))
+    return df.filter(_unequal(actual, expected))
 
 
 def not_empty_string(df: DataFrame, column: str, trim: bool = True) -> DataFrame:
@@ -67,7 +92,7 @@ def _tally(df: DataFrame, *columns: str) -> DataFrame:
 
 def accepted_values(df: DataFrame, column: str, values: list) -> DataFrame:
     """Values outside the list, each with its number of rows; NULL passes."""
-    return _tally(df.filter(~F.col(column).isin(values)), column)
+    return _tally(df.filter(_outside(column, values)), column)
 
 
 def not_accepted_values(df: DataFrame, column: str, values: list) -> DataFrame:
@@ -343,36 +368,115 @@ def _status(check: Check) -> Column:
     return F.when(F.expr(f"{FAILURES} {check.error_if}"), "error").otherwise(status)
 
 
-def _null_counts(checks: list[Check]) -> DataFrame:
-    """Results of several not_null checks on one table from one aggregate row."""
-
-    def count(check: Check) -> Column:
-        scope = F.expr(check.where) if check.where else F.lit(True)
-        return F.count_if(F.col(check.options["column"]).isNull() & scope)
-
-    counts = checks[0].table.agg(*[count(c).alias(f"f{i}") for i, c in enumerate(checks)])
+@dataclass
+class Shared:
+    """A check as part of a grouping that it shares with others: aggregates for each group, and the failures of a group
+    from their values. A check that only adds up rows fits any grouping."""
+
+    keys: tuple[str, ...]
+    aggregates: list[Column]
+    failures: Callable[..., Column]
+    additive: bool = False
+
+
+def _within(scope: Column | None, value: Column) -> Column:
+    return value if scope is None else F.when(scope, value)
+
+
+def _rows(scope: Column | None, condition: Column | None = None) -> Column:
+    """Number of rows in scope that meet a condition."""
+    held = [c for c in (scope, condition) if c is not None]
+    return F.count_if(reduce(lambda a, b: a & b, held)) if held else F.count("*")
+
+
+def _one_if(condition: Column) -> Column:
+    return F.when(condition, 1).otherwise(0).cast("long")
+
+
+_ROW_RULES: dict[Callable, Callable[..., Column]] = {
+    not_null: _is_null,
+    accepted_range: _out_of_range,
+    expression_is_true: _untrue,
+    assert_equal: _unequal,
+    not_empty_string: _empty,
+    accepted_values: _outside,
+}
+
+
+def shared_form(check: Check) -> Shared | None:
+    """The check as part of a grouping; None for rules over neighbours or a second table, which need plans of their own."""
+    scope = F.expr(check.where) if check.where else None
+    o = dict(check.options)
+    if check.rule in _ROW_RULES:
+        return Shared((), [_rows(scope, _ROW_RULES[check.rule](**o))], lambda n: n, additive=True)
+    if check.rule is unique:
+        return Shared((o["column"],), [_rows(scope, F.col(o["column"]).isNotNull())], lambda n: _one_if(n > 1))
+    if check.rule is unique_combination:
+        return Shared(tuple(o["columns"]), [_rows(scope)], lambda n: _one_if(n > 1))
+    keys, column = tuple(o.get("group_by", ())), o.get("column")
+    if check.rule is at_least_one:
+        counts = [_rows(scope, F.col(column).isNotNull()), _rows(scope)]
+        return Shared(keys, counts, lambda n, rows: _one_if((n == 0) & (rows > 0 if keys else F.lit(True))))
+    if check.rule is not_constant:
+        value = _within(scope, F.col(column))
+        return Shared(keys, [F.min(value), F.max(value)], lambda low, high: _one_if(low == high))
+    if check.rule is not_null_proportion:
+        filled = F.avg(_within(scope, F.when(F.col(column).isNotNull(), 1.0).otherwise(0.0)))
+        most = o.get("at_most", 1.0)
+        return Shared(keys, [filled], lambda share: _one_if((share < o["at_least"]) | (share > most)))
+    if check.rule is recency:
+        kind = "date" if o.get("ignore_time") else "timestamp"
+        limit = F.timestamp_add(o["part"].upper(), F.lit(-o["interval"]), as_of_column(o.get("as_of"))).cast(kind)
+        newest = F.max(_within(scope, F.col(column)))
+        return Shared(keys, [newest], lambda n: _one_if(n.cast(kind) < limit))
+    return None
+
+
+def _grouped_results(table: DataFrame, keys: tuple[str, ...], checks: list[tuple[Check, Shared]]) -> DataFrame:
+    """Results of all checks of one grouping of a table: one scan, whatever their number."""
+    named = [[a.alias(f"c{i}_{j}") for j, a in enumerate(s.aggregates)] for i, (_, s) in enumerate(checks)]
+    groups = table.groupBy(*[F.col(k).alias(f"_key_{n}") for n, k in enumerate(keys)]).agg(*[a for own in named for a in own])
+    failures = [
+        s.failures(*[F.col(f"c{i}_{j}") for j in range(len(s.aggregates))]).cast("long") for i, (_, s) in enumerate(checks)
+    ]
+    counts = groups.agg(*[F.coalesce(F.sum(f), F.lit(0)).alias(f"f{i}") for i, f in enumerate(failures)])
     per_check = [
         F.struct(F.lit(c.name).alias("test"), F.col(f"f{i}").alias(FAILURES), F.lit(i).alias("i"))
-        for i, c in enumerate(checks)
+        for i, (c, _) in enumerate(checks)
     ]
     rows = counts.select(F.explode(F.array(*per_check)).alias("c")).select("c.*")
     status = reduce(
-        lambda rest, ic: F.when(F.col("i") == ic[0], _status(ic[1])).otherwise(rest), enumerate(checks), F.lit("")
+        lambda rest, ic: F.when(F.col("i") == ic[0], _status(ic[1][0])).otherwise(rest), enumerate(checks), F.lit("")
     )
     return rows.select("test", FAILURES, status.alias("status"))
 
 
-def run_suite(checks: list[Check]) -> DataFrame:
-    """One row per check: name, failures, status.
+def groupings(checks: list[Check]) -> tuple[list[tuple[DataFrame, tuple[str, ...], list[tuple[Check, Shared]]]], list[Check]]:
+    """The groupings that answer the checks, and the checks that no grouping can answer.
 
-    All `not_null` checks of one table share a single pass over it; the other checks are one plan each.
+    Checks of a table on equal keys share a grouping. Those that only add up rows join the first grouping of their table,
+    so a table is scanned once for each set of keys, and once if there is none.
     """
-    by_table: dict[int, list[Check]] = {}
+    found: dict[tuple, tuple[DataFrame, tuple[str, ...], list]] = {}
+    additive, alone = [], []
     for check in checks:
-        if check.rule is not_null:
-            by_table.setdefault(id(check.table), []).append(check)
-    parts = [_null_counts(group) for group in by_table.values()]
-    parts += [check.result() for check in checks if check.rule is not not_null]
+        form = shared_form(check)
+        if form is None:
+            alone.append(check)
+        elif form.additive:
+            additive.append((check, form))
+        else:
+            found.setdefault((id(check.table), form.keys), (check.table, form.keys, []))[2].append((check, form))
+    for check, form in additive:
+        place = next((k for k in found if k[0] == id(check.table)), (id(check.table), ()))
+        found.setdefault(place, (check.table, (), []))[2].append((check, form))
+    return list(found.values()), alone
+
+
+def run_suite(checks: list[Check]) -> DataFrame:
+    """One row per check: name, failures, status; one grouping of a table answers all its checks on the same keys."""
+    shared, alone = groupings(checks)
+    parts = [_grouped_results(*g) for g in shared] + [check.result() for check in alone]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -23,8 +23,11 @@ def activity_level(updates):
     return level
 
 
+MARKED_SECONDS = 3600  # widest window whose seconds are marked as bits
+
+
 def seconds_seen(width: str) -> list[Column]:
-    """Aggregates that mark each second of a window by one bit, 60 to a long integer; meant for windows up to some hours."""
+    """Aggregates that mark each second of a window by one bit, 60 to a long integer."""
     seconds = -(-micros(width) // 1_000_000)
     offset = F.pmod(F.unix_seconds("time"), F.lit(seconds))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(offset, F.lit(60)).cast("int"))
@@ -35,11 +38,15 @@ def price_summary(stg: DataFrame, as_of=None, width: str = WIDTH) -> DataFrame:
     """26 columns per (window, symbol).
 
     Averages of prices are exact decimals. First and last price are order-based aggregates, so the window is read once.
-    Seconds with updates are marked as bits of a few long integers, which a hash aggregate can combine; a distinct
-    count would first need one row per (window, symbol, second).
+    Seconds with updates are marked as bits of a few long integers, which a hash aggregate can combine. Windows above an
+    hour would need a long integer for each of their minutes; they count distinct seconds, in two aggregate levels
+    (window, symbol, second, then window, symbol), so a day has no more aggregates than a quarter of an hour.
     """
     order = arrival_order()
-    seen = seconds_seen(width)
+    marked = micros(width) <= MARKED_SECONDS * 1_000_000
+    seen = [w.alias(f"_seen_{i}") for i, w in enumerate(seconds_seen(width))] if marked else [
+        F.count_distinct(F.unix_seconds("time")).alias("unique_seconds_with_updates")
+    ]
     grouped = stg.groupBy(bucket_start("time", width).alias("window_start"), "symbol").agg(
         F.min("price").alias("min_price"),
         F.max("price").alias("max_price"),
@@ -53,13 +60,14 @@ def price_summary(stg: DataFrame, as_of=None, width: str = WIDTH) -> DataFrame:
         F.avg("spread_pct").alias("avg_spread_pct"),
         F.max("spread").alias("max_spread"),
         F.count("*").alias("update_count"),
-        *[word.alias(f"_seen_{i}") for i, word in enumerate(seen)],
+        *seen,
         F.min_by("price", order).alias("first_price"),
         F.max_by("price", order).alias("last_price"),
     )
     c = F.col
-    bits = [F.coalesce(F.bit_count(f"_seen_{i}"), F.lit(0)).cast("long") for i in range(len(seen))]
-    grouped = grouped.withColumn("unique_seconds_with_updates", reduce(lambda a, b: a + b, bits))
+    if marked:
+        bits = [F.coalesce(F.bit_count(f"_seen_{i}"), F.lit(0)).cast("long") for i in range(len(seen))]
+        grouped = grouped.withColumn("unique_seconds_with_updates", reduce(lambda a, b: a + b, bits))
     return grouped.select(
         period_key("window_start", "symbol").alias("window_id"),
         "window_start",

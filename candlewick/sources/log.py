@@ -1,8 +1,13 @@
-"""The append-only tick log: one folder per day, clustered by symbol inside each file."""
+"""The append-only tick log: one folder per day, clustered by symbol inside each file.
+
+Times are written as plain microseconds, so a bound on `time` is compared with the footers' ranges and passes over row
+groups, and `day_inventory` can tell what a log holds from the footers alone.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,10 +16,13 @@ from pyspark.sql import types as T
 
 from candlewick.functions.times import as_of_column
 from candlewick.schema import DEFAULT_EXCHANGE, MAX_LENGTH, REQUIRED, TICK_LOG, check_same_columns
-from candlewick.sources.scratch import new_folder, remove_folder
+from candlewick.session import setting
+from candlewick.sources.footers import row_groups
+from candlewick.sources.scratch import delete
 
 DAY = "dt"
 MARKER = "_compacted"  # readers skip names that start with an underscore
+WRITING, SWAP, OLD = "_writing-", "_swap-", "_old-"
 
 
 def to_log_rows(ticks: DataFrame, received_at=None) -> DataFrame:
@@ -42,6 +50,10 @@ def broken_rows(ticks: DataFrame) -> DataFrame:
     return marked.filter((F.col("missing") != "") | (F.col("too_long") != ""))
 
 
+def _plain_times(spark: SparkSession):
+    return setting(spark, spark__sql__parquet__outputTimestampType="TIMESTAMP_MICROS")
+
+
 def _clustered(rows: DataFrame) -> DataFrame:
     """One folder per day, files of the advisory size: REBALANCE splits a heavy day and merges light ones at run time."""
     with_day = rows if DAY in rows.columns else rows.withColumn(DAY, F.to_date("time"))
@@ -50,7 +62,8 @@ def _clustered(rows: DataFrame) -> DataFrame:
 
 def append_log(rows: DataFrame, path: str) -> None:
     """Insert only: existing files are never touched."""
-    _clustered(rows).write.mode("append").partitionBy(DAY).parquet(path)
+    with _plain_times(rows.sparkSession):
+        _clustered(rows).write.mode("append").partitionBy(DAY).parquet(path)
 
 
 def read_log(spark: SparkSession, path: str, schema=TICK_LOG) -> DataFrame:
@@ -79,24 +92,51 @@ def on_days(ticks: DataFrame, first: Column | None = None, last: Column | None =
 
 
 def replace_days(rows: DataFrame, path: str) -> None:
-    """Swap exactly the day folders present in `rows`.
+    """Swap exactly the day folders present in `rows`, which are written once, as they come.
 
-    The new content is staged in the shared folder first: the plan may read the folders it is about to replace, and
-    a failed swap can be repeated from the staged copy, which goes once the swap is committed.
+    The new folders are written beside the days, on the same store, while the plan may still read the old ones. A rename
+    marks them as whole; `finish_swaps` then moves each old folder aside and the new one into its place, and may be
+    repeated from wherever a run died. Between the two moves of a day readers miss it; one writer at a time.
     """
-    spark = rows.sparkSession
-    staged = new_folder(spark, "staged-days")
-    rows.write.partitionBy(DAY).parquet(staged)
-    if day_folders(spark, staged):
-        copy = spark.read.schema(rows.schema).parquet(staged)
-        (
-            copy.sortWithinPartitions(DAY)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(DAY)
-            .parquet(path)
-        )
-    remove_folder(spark, staged)
+    spark, name = rows.sparkSession, uuid.uuid4().hex
+    finish_swaps(spark, path)
+    writing = f"{path}/{WRITING}{name}"
+    try:
+        with _plain_times(spark):
+            rows.write.partitionBy(DAY).parquet(writing)
+        _rename(spark, writing, f"{path}/{SWAP}{name}")
+    except Exception:
+        delete(spark, writing)
+        raise
+    finish_swaps(spark, path)
+
+
+def finish_swaps(spark: SparkSession, path: str) -> list[str]:
+    """Put the day folders of whole swaps into place; returns the days that were moved."""
+    moved = []
+    root, fs = _file_system(spark, path)
+    if not fs.exists(root):
+        return moved
+    for swap in sorted(n for n in _names(spark, path) if n.startswith(SWAP)):
+        for day in sorted(n for n in _names(spark, f"{path}/{swap}") if n.startswith(f"{DAY}=")):
+            if path_exists(spark, f"{path}/{day}"):  # what is there is old as long as the new one waits here
+                _rename(spark, f"{path}/{day}", f"{path}/{swap}/{OLD}{day}")
+            _rename(spark, f"{path}/{swap}/{day}", f"{path}/{day}")
+            moved.append(day)
+        delete(spark, f"{path}/{swap}")
+    return moved
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    root, fs = _file_system(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(root)]
+
+
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    root, fs = _file_system(spark, source)
+    goal, _ = _file_system(spark, target)
+    if not fs.rename(root, goal):
+        raise OSError(f"{source} could not be renamed to {target}")
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -169,31 +209,33 @@ def drop_files(spark: SparkSession, path: str, files: list[tuple[dt.date, str]])
 
 
 def day_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """Per day: time range, rows, files, bytes and state. Reads only `time` and the file metadata."""
-    files = (
-        spark.read.parquet(path)
-        .select(DAY, "time", "_metadata.file_path", "_metadata.file_size")
-        .groupBy(DAY, "file_path")
-        .agg(
-            F.min("time").alias("first"),
-            F.max("time").alias("last"),
-            F.count("*").alias("n"),
-            F.max("file_size").alias("size"),
-        )
-    )
+    """Per day: time range, rows, files, bytes and state, from the footers; `time` is read only in files without ranges."""
+    groups = row_groups(spark, path, "time", DAY)
+    files = groups.groupBy(DAY, "file").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.sum("rows").alias("n"),
+        F.max("file_bytes").alias("size"), F.count("*").alias("groups"),
+        F.count_if(F.col("first").isNull() & (F.col("rows") > 0)).alias("unknown"),
+    )
+    if not files.filter("unknown > 0").isEmpty():
+        read = spark.read.parquet(path).groupBy(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("_name"))
+        read = read.agg(F.min("time").alias("_first"), F.max("time").alias("_last"))
+        named = files.withColumn("_name", F.element_at(F.split("file", "/"), -1)).join(read, "_name", "left")
+        files = named.withColumns({"first": F.coalesce("_first", "first"), "last": F.coalesce("_last", "last")})
     return files.groupBy(DAY).agg(
         F.min("first").alias("range_start"),
         F.max("last").alias("range_end"),
         F.sum("n").alias("row_count"),
         F.count("*").alias("file_count"),
         F.sum("size").alias("total_bytes"),
+        F.sum("groups").alias("row_groups"),
     ).withColumn("is_compacted", F.col(DAY).isin(compacted_days(spark, path)))
 
 
 def write_table(df: DataFrame, path: str, partition: str | None = None) -> None:
     """Full refresh of a table."""
     writer = df.write.mode("overwrite")
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    with _plain_times(df.sparkSession):
+        (writer.partitionBy(partition) if partition else writer).parquet(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -208,19 +250,22 @@ def upsert(batch: DataFrame, path: str, keys: list[str], full_refresh: bool = Fa
     touches are read and rewritten.
     """
     spark = batch.sparkSession
+    finish_swaps(spark, path)
     if full_refresh or not path_exists(spark, path):
-        batch.hint("rebalance", DAY).sortWithinPartitions(DAY).write.mode("overwrite").partitionBy(DAY).parquet(path)
+        with _plain_times(spark):
+            batch.hint("rebalance", DAY).sortWithinPartitions(DAY).write.mode("overwrite").partitionBy(DAY).parquet(path)
         return
     if day_folders(spark, path):  # a table without any day has no columns yet
         check_same_columns(batch.schema, spark.read.parquet(path).schema)
-    staged = new_folder(spark, "staged-batch")
-    batch.write.parquet(staged)
-    fresh = spark.read.schema(batch.schema).parquet(staged)
-    # Distinct days of one incremental batch: bounded by the lookback, not by the number of rows.
-    days = [row[0] for row in fresh.select(DAY).distinct().collect()]
-    target = spark.read.schema(batch.schema).parquet(path).filter(F.col(DAY).isin(days)).alias("old")
-    same = [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in keys]
-    kept = target.join(fresh.select(*keys).alias("new"), same, "left_anti")
-    if days:
-        replace_days(kept.select(*batch.columns).unionByName(fresh).hint("rebalance", DAY), path)
-    remove_folder(spark, staged)
+    fresh = batch.persist()  # used three times below; what is lost with an executor is computed again
+    try:
+        # Distinct days of one incremental batch: bounded by the lookback, not by the number of rows.
+        days = [row[0] for row in fresh.select(DAY).distinct().collect()]
+        target = spark.read.schema(batch.schema).parquet(path).filter(F.col(DAY).isin(days)).alias("old")
+        same = [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in keys]
+        kept = target.join(fresh.select(*keys).alias("new"), same, "left_anti")
+        if days:
+            merged = kept.select(*batch.columns).unionByName(fresh)
+            replace_days(merged.hint("rebalance", DAY).sortWithinPartitions(DAY, *[k for k in keys if k != DAY]), path)
+    finally:
+        fresh.unpersist()

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from candlewick.llm import bpe, mixing, quality, simhash
 from candlewick.llm.queries import TOKENIZER, table
-from candlewick.sources.scratch import materialise
+from candlewick.sources.scratch import discard, materialise, passing
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,5 +48,8 @@ ORACLE_SQL = None  # no SQL for hashes, merges and the classifier; tests compare
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        before = docs
+        with passing(spark) as keep:  # what a stage wrote for itself goes, and what it read, once its result is there
+            docs = keep(materialise(stage(spark, before, sf_dir), f"pipeline-{name.replace(' ', '-')}"))
+        discard(before)
     return docs

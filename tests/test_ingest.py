@@ -1,9 +1,12 @@
 import datetime as dt
 import json
 import os
+import shutil
 import time
 from decimal import Decimal
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from helpers import TICKS, at, rows, tick, ticks
 from pyspark.sql import functions as F
@@ -11,7 +14,8 @@ from pyspark.sql import functions as F
 from candlewick.plans import candles, latest, monitor, refresh
 from candlewick.plans.staging import staged_ticks
 from candlewick.schema import MESSAGES, TICK_LOG, SchemaDrift, check_same_columns
-from candlewick.sources import log
+from candlewick.session import setting
+from candlewick.sources import footers, log
 from candlewick.sources import messages as wire
 from candlewick.sources import scratch
 
@@ -272,3 +276,75 @@ def test_inventory_counts_real_files_and_bytes(spark, folder):
         want.append((dt.date(2024, 1, day), n, len(files), sum(os.path.getsize(f"{place}/{f}") for f in files)))
     assert rows(log.day_inventory(spark, folder), "dt", "row_count", "file_count", "total_bytes") == want
     assert [w[2] for w in want] == [3, 4]
+
+
+def days_of(spark, path):
+    return rows(spark.read.parquet(path), "id", "dt")
+
+
+def test_a_swap_is_finished_from_wherever_it_died(spark, folder):
+    """Every state that a run can leave behind leads to the same table."""
+    old = ticks(spark, tick(1, "2024-01-01"), tick(2, "2024-01-02"), tick(3, "2024-01-03"))
+    new = ticks(spark, tick(10, "2024-01-01"), tick(20, "2024-01-02")).withColumn("dt", F.to_date("time"))
+    want = None
+    for state in ("writing", "ready", "aside", "one day done"):
+        path = f"{folder}-{state.replace(' ', '-')}"
+        log.append_log(old, path)
+        swap = Path(path, f"{log.SWAP}x")
+        staged = Path(path, f"{log.WRITING}x") if state == "writing" else swap
+        new.write.partitionBy("dt").parquet(str(staged))
+        if state in ("aside", "one day done"):
+            shutil.move(f"{path}/dt=2024-01-01", f"{swap}/{log.OLD}dt=2024-01-01")
+        if state == "one day done":
+            shutil.move(f"{swap}/dt=2024-01-01", f"{path}/dt=2024-01-01")
+        if state == "writing":  # not whole: nothing happens
+            assert log.finish_swaps(spark, path) == []
+            assert [r[0] for r in days_of(spark, path)] == [1, 2, 3]
+            continue
+        log.finish_swaps(spark, path)
+        found = days_of(spark, path)
+        want = want or found
+        assert found == want and [r[0] for r in found] == [10, 20, 3]
+        assert not [n for n in os.listdir(path) if n.startswith((log.SWAP, log.WRITING))]
+
+
+def test_upsert_writes_its_days_once_and_drops_a_failed_write(spark, folder):
+    table = lambda *r: spark.createDataFrame(list(r), "k int, v string, dt date")
+    day = dt.date(2024, 1, 1)
+    log.upsert(table((1, "a", day), (2, "b", day), (3, "c", day + dt.timedelta(1))), folder, ["dt", "k"])
+    other = os.listdir(f"{folder}/dt=2024-01-02")
+    log.upsert(table((2, "B", day), (4, "d", day)), folder, ["dt", "k"])
+    assert rows(spark.read.parquet(folder), "k", "v") == [(1, "a"), (2, "B"), (3, "c"), (4, "d")]
+    assert os.listdir(f"{folder}/dt=2024-01-02") == other  # a day that the batch does not touch
+    broken = table((5, "x", day)).withColumn("v", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception, match="no"):
+        log.replace_days(broken, folder)
+    assert not [n for n in os.listdir(folder) if n.startswith((log.SWAP, log.WRITING))]
+    assert spark.read.parquet(folder).count() == 4
+
+
+def test_compacted_files_are_clustered(spark, folder):
+    data = [tick(i, f"2024-01-01 00:{i:02d}:00", symbol="AB"[i % 2]) for i in range(20)]
+    for part in (data[:10], data[10:]):
+        log.append_log(ticks(spark, *part), folder)
+    log.compact_log(spark, folder, dt.datetime(2024, 2, 1))
+    (file,) = [f for f in os.listdir(f"{folder}/dt=2024-01-01") if f.endswith(".parquet")]
+    order = [(r["symbol"], -r["time"].timestamp()) for r in pq.read_table(f"{folder}/dt=2024-01-01/{file}").to_pylist()]
+    assert len(order) == 20 and order == sorted(order)
+
+
+def test_inventory_comes_from_the_footers(spark, folder):
+    log.append_log(ticks(spark, tick(1, "2024-01-01 01:00:00"), tick(2, "2024-01-01 02:00:00"), tick(3, "2024-01-02")), folder)
+    groups = footers.row_groups(spark, folder, "time", "dt")
+    assert rows(groups, "dt", "rows", "first", "codec")[0] == (dt.date(2024, 1, 1), 2, at("2024-01-01 01:00:00"), "SNAPPY")
+    assert groups.agg(F.sum("bytes")).first()[0] > 0
+    plan = log.day_inventory(spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "Format: BinaryFile" in plan and "Format: Parquet" not in plan  # no table is scanned
+    with setting(spark, spark__sql__parquet__outputTimestampType="INT96"):  # a writer that leaves out ranges
+        ticks(spark, tick(4, "2024-01-03 05:00:00")).withColumn("dt", F.to_date("time")).write.mode("append").partitionBy("dt").parquet(folder)
+    found = rows(log.day_inventory(spark, folder), "dt", "range_start", "range_end", "row_count", "file_count")
+    assert found == [
+        (dt.date(2024, 1, 1), at("2024-01-01 01:00:00"), at("2024-01-01 02:00:00"), 2, 1),
+        (dt.date(2024, 1, 2), at("2024-01-02"), at("2024-01-02"), 1, 1),
+        (dt.date(2024, 1, 3), at("2024-01-03 05:00:00"), at("2024-01-03 05:00:00"), 1, 1),
+    ]

@@ -244,3 +244,14 @@ def test_summary_and_latest_use_hash_aggregates(spark):
     found = latest.latest_prices(df, at("2024-01-01 01:00:00"))
     assert found._jdf.queryExecution().executedPlan().toString().count("SortAggregate") <= 2  # rows of the newest instants only
     assert (found.first().latest_price, found.first().updates_24h) == (40, 40)
+
+
+@pytest.mark.parametrize("width", ["15 minutes", "1 hour", "1 day"])
+def test_distinct_seconds_at_any_width(spark, width):
+    moments = [f"2024-01-0{1 + d} {h:02d}:{m:02d}:{s:02d}.{f}" for d in range(2) for h in (0, 5, 23) for m in (0, 14, 59) for s in (0, 0, 59) for f in (1, 5)]
+    found = summary.price_summary(ticks(spark, *[tick(i, t) for i, t in enumerate(moments)]).withColumns(
+        {"spread": F.lit(None).cast("decimal(20,8)"), "spread_pct": F.lit(None).cast("double")}), at("2024-01-03"), width)
+    seconds = {t[:19] for t in moments}
+    assert found.agg(F.sum("unique_seconds_with_updates")).first()[0] == len(seconds)
+    aggregates = found._jdf.queryExecution().optimizedPlan().toString().count("bit_or")
+    assert aggregates <= 60 and (aggregates == 0) == (width == "1 day")

@@ -223,3 +223,11 @@ def test_relations_by_schema_and_type(spark, tmp_path):
     finally:
         spark.sql("DROP DATABASE cw_one CASCADE")
         spark.sql("DROP DATABASE cw_two CASCADE")
+
+
+def test_pivot_refuses_a_column_that_grows_with_the_data(spark):
+    df = spark.range(20).selectExpr("id % 2 AS k", "id AS v")
+    assert len(reshape.pivot(df, ["k"], "v").columns) == 21
+    with pytest.raises(ValueError, match="more than 19"):
+        reshape.pivot(df, ["k"], "v", most=19)
+    assert reshape.pivot(df, ["k"], "v", values=[3, 4], most=1).columns == ["k", "3", "4"]

@@ -239,3 +239,38 @@ def test_null_checks_of_a_table_read_it_once(spark, folder):
     df = spark.read.parquet(folder)
     suite = q.run_suite([q.Check("a", df, q.not_null, {"column": "id"}), q.Check("b", df, q.not_null, {"column": "x"})])
     assert suite._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_suite_counts_as_its_rules_do(spark):
+    data = [(1, "a", 5, None), (1, " ", 7, 1), (2, "b", 5, None), (None, "c", None, None), (None, None, 5, None)]
+    df = spark.createDataFrame(data, "k int, v string, n int, m int").withColumn("at", F.expr("timestamp '2024-01-01' + make_interval(0,0,0,n)"))
+    now = dt.datetime(2024, 1, 8)
+    cases = [
+        (q.not_null, {"column": "k"}), (q.accepted_range, {"column": "n", "low": 6}), (q.expression_is_true, {"expression": "n > 5"}),
+        (q.assert_equal, {"actual": "k", "expected": "m"}), (q.not_empty_string, {"column": "v"}),
+        (q.accepted_values, {"column": "v", "values": ["a"]}), (q.unique, {"column": "k"}), (q.unique, {"column": "n"}),
+        (q.unique_combination, {"columns": ["k", "n"]}), (q.unique_combination, {"columns": ["k"]}),
+        (q.at_least_one, {"column": "m"}), (q.at_least_one, {"column": "m", "group_by": ["k"]}),
+        (q.not_constant, {"column": "n"}), (q.not_constant, {"column": "n", "group_by": ["k"]}),
+        (q.not_null_proportion, {"column": "m", "at_least": 0.5}), (q.not_null_proportion, {"column": "n", "at_least": 0.6, "group_by": ["k"]}),
+        (q.recency, {"column": "at", "part": "day", "interval": 1, "as_of": now}),
+        (q.recency, {"column": "at", "part": "day", "interval": 2, "as_of": now, "group_by": ["k"]}),
+        (q.not_accepted_values, {"column": "v", "values": ["a", "b"]}), (q.sequential_values, {"column": "n"}),
+    ]
+    checks = [
+        q.Check(f"{i}-{w}", df, rule, options, where=w) for i, (rule, options) in enumerate(cases) for w in (None, "k = 1", "k > 5")
+    ]
+    shared, alone = q.groupings(checks)
+    assert len(alone) == 6 and len(shared) == 4  # by k, by n, by (k, n), whole table
+    want = {r.test: r.failures for c in checks for r in c.result().collect()}
+    assert {r.test: r.failures for r in q.run_suite(checks).collect()} == want and len(set(want.values())) > 3
+
+
+def test_a_suite_scans_a_table_once_for_each_grouping(spark, folder):
+    spark.range(5).select("id", F.lit(1).alias("x")).write.parquet(folder)
+    df = spark.read.parquet(folder)
+    rules = [(q.not_null, {"column": "x"}), (q.unique, {"column": "id"}), (q.accepted_range, {"column": "x", "low": 0}),
+             (q.at_least_one, {"column": "x", "group_by": ["id"]}), (q.unique, {"column": "x"})]
+    suite = q.run_suite([q.Check(str(i), df, rule, options) for i, (rule, options) in enumerate(rules)])
+    assert suite._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+    assert {r.test: r.failures for r in suite.collect()} == {"0": 0, "1": 0, "2": 0, "3": 0, "4": 1}

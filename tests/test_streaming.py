@@ -4,6 +4,7 @@ import time
 
 import datetime as dt
 import random
+from types import SimpleNamespace
 
 import pytest
 from helpers import TICKS, at, rows, tick, ticks
@@ -12,7 +13,9 @@ from pyspark.sql import functions as F
 from candlewick.plans import alerts, candles
 from candlewick.schema import MESSAGES
 from candlewick.streaming import jobs
-from candlewick.streaming.alerts import alert_stream
+from candlewick.sources.log import to_log_rows
+from candlewick.streaming import late
+from candlewick.streaming.alerts import WindowAlerts, alert_stream, rocksdb_state
 
 
 def write_batches(spark, folder, schema, *batches):
@@ -33,12 +36,16 @@ def random_ticks(n=240, seconds=9000):
             for i, s in enumerate(moments)]
 
 
-@pytest.mark.parametrize("slice_width", ["5 minutes", "1 hour"])
-def test_alerts_in_time_order_equal_the_batch(spark, tmp_path, slice_width):
+@pytest.mark.parametrize("parts", [1, 10])
+def test_alerts_in_time_order_equal_the_batch(spark, tmp_path, parts):
     data = random_ticks()
     write_batches(spark, str(tmp_path / "in"), TICKS, *[data[i : i + 60] for i in range(0, 240, 60)])
-    stream = alert_stream(source(spark, str(tmp_path / "in")), slice_width=slice_width)
-    query = jobs.run_bounded(jobs.write_stream(stream, str(tmp_path / "out")))
+    stream = alert_stream(source(spark, str(tmp_path / "in")), parts=parts)
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    with rocksdb_state(spark):
+        query = jobs.write_stream(stream, str(tmp_path / "out"))
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before  # other streams keep theirs
+    jobs.run_bounded(query)
     assert len([p for p in query.recentProgress if p["numInputRows"]]) == 4
     got, want = spark.read.parquet(str(tmp_path / "out")), alerts.price_alerts(ticks(spark, *data))
     assert want.count() > 20
@@ -47,10 +54,45 @@ def test_alerts_in_time_order_equal_the_batch(spark, tmp_path, slice_width):
     assert kept < 20  # passed slices are forgotten
 
 
-def test_alert_slices_cannot_be_shorter_than_the_window(spark, tmp_path):
-    write_batches(spark, str(tmp_path / "in"), TICKS, random_ticks(2))
-    with pytest.raises(ValueError):
-        alert_stream(source(spark, str(tmp_path / "in")), slice_width="1 minute")
+class Store:
+    """States of one key that count what is read and written."""
+
+    def __init__(self):
+        self.map, self.value, self.touched, self.timers = {}, None, 0, []
+
+    def getMapState(self, *_):
+        return self
+
+    def getValueState(self, *_):
+        return SimpleNamespace(get=lambda: self.value, update=lambda v: setattr(self, "value", v), clear=lambda: None)
+
+    def registerTimer(self, ms):
+        self.timers.append(ms)
+
+    def getValue(self, key):
+        self.touched += len(self.map.get(key, ((),))[0])
+        return self.map.get(key)
+
+    def updateValue(self, key, value):
+        self.map[key] = value
+
+    def keys(self):
+        return iter(self.map)
+
+    def clear(self):
+        self.map.clear()
+
+
+def test_a_batch_touches_the_parts_of_its_ticks_only():
+    store, processor = Store(), WindowAlerts(300_000_000, 10.0)
+    processor.init(store)
+    row = lambda us, own: SimpleNamespace(us=us, id=us, price="1", own=own)
+    for second in range(300):  # a tick a second, one batch each
+        list(processor.handleInputRows(("A", 0), iter([row(second * 1_000_000, True)]), None))
+    assert len(store.map) == 10 and store.timers == [600_000]
+    store.touched = 0
+    assert list(processor.handleInputRows(("A", 0), iter([row(450_000_000, False)]), None)) == []
+    assert store.touched <= 30  # the tenth of the slice where the question falls
 
 
 def test_append_resumes_from_its_checkpoint(spark, tmp_path):
@@ -124,3 +166,37 @@ def test_throughput_numbers(spark, tmp_path):
     assert log.throughput(query).count() == 0
     seen = [p.observedMetrics for p in query.recentProgress if p.observedMetrics]
     assert tuple(seen[0]["throughput"]) == (1, 4)
+
+
+def test_late_ticks_are_kept_and_repaired(spark, tmp_path):
+    data = random_ticks(120, 40000)
+    rng = random.Random(9)
+    rng.shuffle(data)
+    inbox, path, out = (str(tmp_path / n) for n in ("in", "split", "candles"))
+    write_batches(spark, inbox, TICKS, *[data[i : i + 30] for i in range(0, 120, 30)])
+    every = to_log_rows(ticks(spark, *data))
+    schema = every.schema
+    mark = str(tmp_path / "mark")
+    jobs.run_bounded(late.split_late(source(spark, inbox), path, "10 minutes", mark))
+    found = late.late_ticks(spark, path, schema)
+    assert found.filter("batch = 0").count() == 0 and 30 < found.count() < 90
+    assert rows(late.on_time(spark, path, schema).unionByName(found.drop("batch")), "id") == rows(every, "id")
+    stream = jobs.candle_stream(jobs.file_stream(spark, f"{path}/{late.ON_TIME}/*", schema), "60 days")
+    jobs.run_bounded(jobs.upsert_stream(stream, out, ["dt", "bucket", "symbol", "exchange"], "bucket"))
+    want = candles.candles_by(every)
+    assert rows(spark.read.parquet(out), *want.columns) != rows(want)
+    hit = found.selectExpr("window(time, '15 minutes').start", "symbol", "exchange").distinct().count()
+    assert late.repair_candles(spark, path, out, schema) == hit
+    assert rows(spark.read.parquet(out), *want.columns) == rows(want)
+    assert late.repair_candles(spark, path, out, schema) == 0  # all repaired
+
+
+def test_a_repeated_batch_of_the_split_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "split")
+    data = random_ticks(40, 40000)
+    write_batches(spark, str(tmp_path / "in"), TICKS, data[20:], data[:20])
+    for mark in ("one", "two"):  # the second run starts from nothing, as after a lost checkpoint
+        jobs.run_bounded(late.split_late(source(spark, str(tmp_path / "in")), path, "10 minutes", str(tmp_path / mark)))
+    schema = to_log_rows(ticks(spark, *data)).schema
+    counts = late.on_time(spark, path, schema).count(), late.late_ticks(spark, path, schema).count()
+    assert sum(counts) == 40 and counts[1] > 0
