@@ -163,6 +163,7 @@ class ProgressLog(StreamingQueryListener):
 
     def __init__(self, spark: SparkSession, path: str | None = None, keep: int = 1000):
         self.spark, self.path, self.keep, self.rows = spark, path, keep, []
+        self.reported: dict[str, int] = {}  # newest batch by query
         spark.streams.addListener(self)
 
     def onQueryStarted(self, event) -> None:
@@ -174,6 +175,7 @@ class ProgressLog(StreamingQueryListener):
         self.rows.append((str(p.id), p.batchId, p.numInputRows, *(0.0 if r != r else r for r in rates)))
         if self.path and len(self.rows) >= self.keep:
             self.write(self.path)
+        self.reported[str(p.id)] = p.batchId
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -195,9 +197,7 @@ class ProgressLog(StreamingQueryListener):
         """Rows and rates of every finished batch of a query; a report may come a moment after its batch."""
         last = query.lastProgress
         deadline = time.monotonic() + 10
-        while last and not self._written() and time.monotonic() < deadline:
-            if any(r[0] == str(query.id) and r[1] >= last["batchId"] for r in self.rows):
-                break
+        while last and self.reported.get(str(query.id), -1) < last["batchId"] and time.monotonic() < deadline:
             time.sleep(0.05)
         return self._all().filter(F.col("query") == str(query.id)).drop("query")
 

@@ -339,7 +339,7 @@ def test_inventory_comes_from_the_footers(spark, folder):
     assert rows(groups, "dt", "rows", "first", "codec")[0] == (dt.date(2024, 1, 1), 2, at("2024-01-01 01:00:00"), "SNAPPY")
     assert groups.agg(F.sum("bytes")).first()[0] > 0
     plan = log.day_inventory(spark, folder)._jdf.queryExecution().executedPlan().toString()
-    assert "Format: BinaryFile" in plan and "Format: Parquet" not in plan  # no table is scanned
+    assert "ReadSchema: struct<path:string,length:bigint>" in plan and "Format: Parquet" not in plan  # no table is scanned
     with setting(spark, spark__sql__parquet__outputTimestampType="INT96"):  # a writer that leaves out ranges
         ticks(spark, tick(4, "2024-01-03 05:00:00")).withColumn("dt", F.to_date("time")).write.mode("append").partitionBy("dt").parquet(folder)
     found = rows(log.day_inventory(spark, folder), "dt", "range_start", "range_end", "row_count", "file_count")
