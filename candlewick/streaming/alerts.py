@@ -1,12 +1,11 @@
 """Sliding-window price alerts on a stream.
 
-State is kept per symbol and slice, and a slice is as long as the window (five minutes): an hour of one symbol is twelve
-keys, which go to different tasks, and a symbol in a live feed has two keys at work. A tick of slice k goes two ways: to
-its own slice, which remembers it, and as a question to slice k - 1, where its window begins. There the first tick not
-older than the window is looked up; if slice k - 1 has none, the answer is the oldest tick of slice k, which its questions
-have handed over. Within a slice ticks lie in parts of a tenth of the window, each a value of a map state: a batch reads
-and writes only the parts that its ticks and questions fall into, whatever the slice holds. A timer drops a slice once
-the watermark has passed the one after it.
+State is kept per symbol and slice of a quarter of an hour, so an hour of one symbol is spread over several keys. A tick
+is remembered in its own slice, and its question, which is the first tick not older than the window, is asked where the
+window begins: in its own slice, or in the one before. If that one has no tick from there on, the answer is the oldest
+tick of the next slice, which the questions coming from there have handed over. Within a slice ticks lie in parts of a
+tenth of the window, each a value of a map state: a batch reads and writes only the parts that its ticks and questions
+fall into, whatever the slice holds. A timer drops a slice once the watermark has passed it by a window.
 
 `transformWithState` needs the RocksDB state store: start the stream inside `rocksdb_state`, or set it for the session.
 """
@@ -29,7 +28,7 @@ from candlewick.session import ROCKSDB, setting
 
 _OUTPUT = "symbol string, us long, id long, old_price string, new_price string, price_change_pct double"
 _TICKS = "us array<long>, id array<long>, price array<string>"
-PARTS = 10  # of a slice
+PARTS = 10  # of a window
 
 
 # Executors get the class itself, so they need no copy of this package.
@@ -39,10 +38,13 @@ Tick = tuple[int, int, str]
 
 
 class WindowAlerts(StatefulProcessor):
-    """Compares each new tick with the oldest tick of its window; a key is (symbol, start of a slice)."""
+    """Compares each new tick with the oldest tick of its window; a key is (symbol, start of a slice).
 
-    def __init__(self, span: int, threshold: float, parts: int = PARTS):
-        self.span, self.threshold, self.part = span, threshold, -(-span // parts)
+    `own` rows are ticks of the slice; `asks` says that the window begins in this slice too.
+    """
+
+    def __init__(self, span: int, slice_span: int, threshold: float, parts: int = PARTS):
+        self.span, self.slice_span, self.threshold, self.part = span, slice_span, threshold, -(-span // parts)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -52,44 +54,47 @@ class WindowAlerts(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         symbol, start = key
         told: dict[int, list[Tick]] = {}
-        asked: list[Tick] = []
+        asked: list[tuple[Tick, bool]] = []
         for r in rows:
             tick = (r.us, r.id, r.price)
             if r.own:
                 told.setdefault((r.us - start) // self.part, []).append(tick)
-            else:
-                asked.append(tick)
-        known = self.following.get()
-        fresh = known is None
-        if fresh:
-            self.handle.registerTimer((start + 2 * self.span) // 1000)
+            if r.asks:
+                asked.append((tick, r.own))
+        parts = {p for (p,) in self.ticks.keys()}
+        if not parts:
+            self.handle.registerTimer((start + self.slice_span + self.span) // 1000)
         loaded: dict[int, list[Tick]] = {}
 
         def load(part: int) -> list[Tick]:
             if part not in loaded:
-                value = None if fresh else self.ticks.getValue((part,))
-                loaded[part] = list(zip(*value)) if value else []
+                loaded[part] = list(zip(*self.ticks.getValue((part,)))) if part in parts else []
             return loaded[part]
 
         for part, new in told.items():
             loaded[part] = sorted([*load(part), *new])
             self.ticks.updateValue((part,), tuple(map(list, zip(*loaded[part]))))
-        asked.sort()
-        head = None if fresh or known[0] is None else tuple(known)
-        if asked and (head is None or asked[0] < head):
-            head = asked[0]
-        if fresh or head is not None and head != tuple(known):
-            self.following.update(head or (None, None, None))
-        if not asked:
-            return
-        parts = sorted(set(loaded) if fresh else {p for (p,) in self.ticks.keys()})
-        for us, id_, price in asked:
-            old = self._first(load, parts, us - self.span, (us - self.span - start) // self.part) or head
+        head = self._head([tick for tick, own in asked if not own])
+        in_order = sorted(parts | set(loaded))
+        for (us, id_, price), _ in sorted(asked):
+            begin = us - self.span
+            old = self._first(load, in_order, begin, (begin - start) // self.part) or head
             before, after = float(old[2]), float(price)
             pct = (after - before) / before * 100 if before else 0.0
             if abs(pct) > self.threshold:
                 yield Row(symbol=symbol, us=us, id=id_, old_price=old[2], new_price=price, price_change_pct=pct)
 
+    def _head(self, following: list[Tick]) -> Tick | None:
+        """The oldest tick of the next slice that has asked here, now or before."""
+        if not following:
+            return None
+        known = self.following.get()
+        head = min(following)
+        if known is not None and tuple(known) <= head:
+            return tuple(known)
+        self.following.update(head)
+        return head
+
     @staticmethod
     def _first(load, parts: list[int], moment: int, part: int) -> Tick | None:
         """The first tick of the slice from `moment` on."""
@@ -115,25 +120,33 @@ def rocksdb_state(spark: SparkSession) -> AbstractContextManager:
 
 
 def alert_stream(
-    ticks: DataFrame, window: str = WINDOW, threshold: float = THRESHOLD, delay: str = "1 minute", parts: int = PARTS
+    ticks: DataFrame,
+    window: str = WINDOW,
+    threshold: float = THRESHOLD,
+    delay: str = "1 minute",
+    slice_width: str = "15 minutes",
+    parts: int = PARTS,
 ) -> DataFrame:
     """Alerts in event time. A tick is compared with the ticks that arrived before or with it; one later than
     `delay` is left out."""
-    span = micros(window)
+    span, slice_span = micros(window), micros(slice_width)
+    if slice_span < span:
+        raise ValueError("a slice must not be shorter than the window")
     us = F.col("us")
-    own = slice_start(us, span)
-    targets = F.array(
-        F.struct(own.alias("slice"), F.lit(True).alias("own")), F.struct((own - span).alias("slice"), F.lit(False).alias("own"))
-    )
+    own = slice_start(us, slice_span)
+    inside = us - span >= own  # the window begins in the tick's own slice
+    told = F.struct(own.alias("slice"), F.lit(True).alias("own"), inside.alias("asks"))
+    before = F.when(~inside, F.struct((own - slice_span).alias("slice"), F.lit(False).alias("own"), F.lit(True).alias("asks")))
+    targets = F.array_compact(F.array(told, before))
     placed = (
         ticks.withWatermark("time", delay)
         .filter(F.col("symbol").isNotNull() & F.col("price").isNotNull())
         .select("time", "symbol", "id", F.unix_micros("time").alias("us"), F.col("price").cast("string").alias("price"))
         .withColumn("t", F.explode(targets))
-        .select("time", "symbol", "id", "us", "price", "t.slice", "t.own")
+        .select("time", "symbol", "id", "us", "price", "t.slice", "t.own", "t.asks")
     )
     alerts = placed.groupBy("symbol", "slice").transformWithState(
-        statefulProcessor=WindowAlerts(span, threshold, parts),
+        statefulProcessor=WindowAlerts(span, slice_span, threshold, parts),
         outputStructType=_OUTPUT,
         outputMode="Append",
         timeMode="EventTime",

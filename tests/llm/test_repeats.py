@@ -144,7 +144,7 @@ def test_minhash_components(spark, cell=4):
     for g in range(3):
         base = rng.choices(words, k=120)
         for i in range(25):
-            rows.append((1000 * g + 100 + i, " ".join(w if rng.random() > 0.01 * g else rng.choice(words) for w in base)))
+            rows.append((1000 * g + 100 + i, " ".join(w if rng.random() > 0.02 * g else rng.choice(words) for w in base)))
         rows.append((None, " ".join(base)))
     same, other = (" ".join(rng.choices(words, k=60)) for _ in range(2))
     rows += [(3, same), (3, other), (2, other), (1, same + " more"), (3, same)]  # one doc_id, two texts

@@ -36,11 +36,11 @@ def random_ticks(n=240, seconds=9000):
             for i, s in enumerate(moments)]
 
 
-@pytest.mark.parametrize("parts", [1, 10])
-def test_alerts_in_time_order_equal_the_batch(spark, tmp_path, parts):
+@pytest.mark.parametrize("slice_width", ["5 minutes", "1 hour"])
+def test_alerts_in_time_order_equal_the_batch(spark, tmp_path, slice_width):
     data = random_ticks()
     write_batches(spark, str(tmp_path / "in"), TICKS, *[data[i : i + 60] for i in range(0, 240, 60)])
-    stream = alert_stream(source(spark, str(tmp_path / "in")), parts=parts)
+    stream = alert_stream(source(spark, str(tmp_path / "in")), slice_width=slice_width)
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     with rocksdb_state(spark):
         query = jobs.write_stream(stream, str(tmp_path / "out"))
@@ -51,7 +51,14 @@ def test_alerts_in_time_order_equal_the_batch(spark, tmp_path, parts):
     assert want.count() > 20
     assert rows(got, "id", "old_price", "new_price", "message") == rows(want, "id", "old_price", "new_price", "message")
     kept = query.lastProgress["stateOperators"][0]["numRowsTotal"]
-    assert kept < 20  # passed slices are forgotten
+    # passed slices are forgotten; a row is a part of 30 seconds of a slice that is left (all together are over 200)
+    assert kept < (20 if slice_width == "5 minutes" else 100)
+
+
+def test_alert_slices_cannot_be_shorter_than_the_window(spark, tmp_path):
+    write_batches(spark, str(tmp_path / "in"), TICKS, random_ticks(2))
+    with pytest.raises(ValueError):
+        alert_stream(source(spark, str(tmp_path / "in")), slice_width="1 minute")
 
 
 class Store:
@@ -84,15 +91,24 @@ class Store:
 
 
 def test_a_batch_touches_the_parts_of_its_ticks_only():
-    store, processor = Store(), WindowAlerts(300_000_000, 10.0)
+    store, processor = Store(), WindowAlerts(300_000_000, 900_000_000, 10.0)
     processor.init(store)
-    row = lambda us, own: SimpleNamespace(us=us, id=us, price="1", own=own)
-    for second in range(300):  # a tick a second, one batch each
-        list(processor.handleInputRows(("A", 0), iter([row(second * 1_000_000, True)]), None))
-    assert len(store.map) == 10 and store.timers == [600_000]
+    row = lambda us, own, asks: SimpleNamespace(us=us, id=us, price="1", own=own, asks=asks)
+    for second in range(900):  # a tick a second, one batch each
+        list(processor.handleInputRows(("A", 0), iter([row(second * 1_000_000, True, second >= 300)]), None))
+    assert len(store.map) == 30 and set(store.timers) == {1_200_000}
     store.touched = 0
-    assert list(processor.handleInputRows(("A", 0), iter([row(450_000_000, False)]), None)) == []
-    assert store.touched <= 30  # the tenth of the slice where the question falls
+    assert list(processor.handleInputRows(("A", 0), iter([row(1_050_000_000, False, True)]), None)) == []
+    assert store.touched <= 30  # the tenth of a window where the question falls
+
+
+def test_the_oldest_tick_of_the_next_slice_is_handed_over():
+    store, processor = Store(), WindowAlerts(300_000_000, 900_000_000, 10.0)
+    processor.init(store)
+    ask = lambda us, price: SimpleNamespace(us=us, id=us, price=price, own=False, asks=True)
+    assert list(processor.handleInputRows(("A", 0), iter([ask(905_000_000, "100")]), None)) == []
+    (alert,) = processor.handleInputRows(("A", 0), iter([ask(910_000_000, "120")]), None)  # a batch later, nothing before it
+    assert alert.old_price == "100" and alert.price_change_pct == pytest.approx(20)
 
 
 def test_append_resumes_from_its_checkpoint(spark, tmp_path):
