@@ -1,11 +1,13 @@
 """Sliding-window price alerts on a stream.
 
-State is kept per symbol and slice of a quarter of an hour, so an hour of one symbol is spread over several keys. A tick
+State is kept per symbol and slice of time (`slice_width`, an hour unless told otherwise), so catching up with a hot symbol
+is spread over many keys; narrower slices spread more and cost more calls to the state store where ticks are few. A tick
 is remembered in its own slice, and its question, which is the first tick not older than the window, is asked where the
 window begins: in its own slice, or in the one before. If that one has no tick from there on, the answer is the oldest
-tick of the next slice, which the questions coming from there have handed over. Within a slice ticks lie in parts of a
-tenth of the window, each a value of a map state: a batch reads and writes only the parts that its ticks and questions
-fall into, whatever the slice holds. A timer drops a slice once the watermark has passed it by a window.
+tick of the next slice, which the questions coming from there have handed over. The ticks of a slice are one small value
+as long as they are few; more lie in parts of a tenth of the window, each a value of a map state: a batch reads and
+writes only the parts that its ticks and questions fall into, whatever the slice holds. A timer drops a slice once the
+watermark has passed it by a window.
 
 `transformWithState` needs the RocksDB state store: start the stream inside `rocksdb_state`, or set it for the session.
 """
@@ -28,7 +30,9 @@ from candlewick.session import ROCKSDB, setting
 
 _OUTPUT = "symbol string, us long, id long, old_price string, new_price string, price_change_pct double"
 _TICKS = "us array<long>, id array<long>, price array<string>"
+_KNOWN = f"parts array<long>, {_TICKS}, next_us long, next_id long, next_price string"
 PARTS = 10  # of a window
+FEW = 64  # ticks of a slice that are kept in one value
 
 
 # Executors get the class itself, so they need no copy of this package.
@@ -37,6 +41,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 Tick = tuple[int, int, str]
 
 
+def _columns(ticks: list[Tick]) -> tuple[list, list, list]:
+    return tuple(map(list, zip(*ticks))) if ticks else ([], [], [])
+
+
 class WindowAlerts(StatefulProcessor):
     """Compares each new tick with the oldest tick of its window; a key is (symbol, start of a slice).
 
@@ -49,21 +57,29 @@ class WindowAlerts(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.ticks = handle.getMapState("ticks", "part long", _TICKS)
-        self.following = handle.getValueState("following", "us long, id long, price string")
+        # which parts there are, the ticks as long as they are few, the oldest tick of the next slice that has asked here
+        self.known = handle.getValueState("known", _KNOWN)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         symbol, start = key
-        told: dict[int, list[Tick]] = {}
-        asked: list[tuple[Tick, bool]] = []
+        told: list[Tick] = []
+        asked: list[Tick] = []
+        following: list[Tick] = []
         for r in rows:
             tick = (r.us, r.id, r.price)
             if r.own:
-                told.setdefault((r.us - start) // self.part, []).append(tick)
+                told.append(tick)
+            else:
+                following.append(tick)
             if r.asks:
-                asked.append((tick, r.own))
-        parts = {p for (p,) in self.ticks.keys()}
-        if not parts:
+                asked.append(tick)
+        known = self.known.get()
+        if known is None:
             self.handle.registerTimer((start + self.slice_span + self.span) // 1000)
+            parts, few, head = set(), [], None
+        else:
+            parts, few = set(known[0]), list(zip(*known[1:4]))
+            head = None if known[4] is None else tuple(known[4:])
         loaded: dict[int, list[Tick]] = {}
 
         def load(part: int) -> list[Tick]:
@@ -71,30 +87,33 @@ class WindowAlerts(StatefulProcessor):
                 loaded[part] = list(zip(*self.ticks.getValue((part,)))) if part in parts else []
             return loaded[part]
 
-        for part, new in told.items():
-            loaded[part] = sorted([*load(part), *new])
-            self.ticks.updateValue((part,), tuple(map(list, zip(*loaded[part]))))
-        head = self._head([tick for tick, own in asked if not own])
-        in_order = sorted(parts | set(loaded))
-        for (us, id_, price), _ in sorted(asked):
+        if not parts and len(few) + len(told) <= FEW:
+            few = sorted([*few, *told])
+        else:
+            placed: dict[int, list[Tick]] = {}
+            for tick in [*few, *told]:
+                placed.setdefault((tick[0] - start) // self.part, []).append(tick)
+            few = []
+            for part, new in placed.items():
+                loaded[part] = sorted([*load(part), *new])
+                self.ticks.updateValue((part,), _columns(loaded[part]))
+            parts |= set(placed)
+        oldest = min([head, *following] if head else following, default=None)
+        if known is None or told or oldest != head:
+            self.known.update((sorted(parts), *_columns(few), *(oldest or (None, None, None))))
+        in_order = sorted(parts)
+        for us, id_, price in sorted(asked):
             begin = us - self.span
-            old = self._first(load, in_order, begin, (begin - start) // self.part) or head
+            if few:
+                at = bisect_left(few, (begin,))
+                old = few[at] if at < len(few) else oldest
+            else:
+                old = self._first(load, in_order, begin, (begin - start) // self.part) or oldest
             before, after = float(old[2]), float(price)
             pct = (after - before) / before * 100 if before else 0.0
             if abs(pct) > self.threshold:
                 yield Row(symbol=symbol, us=us, id=id_, old_price=old[2], new_price=price, price_change_pct=pct)
 
-    def _head(self, following: list[Tick]) -> Tick | None:
-        """The oldest tick of the next slice that has asked here, now or before."""
-        if not following:
-            return None
-        known = self.following.get()
-        head = min(following)
-        if known is not None and tuple(known) <= head:
-            return tuple(known)
-        self.following.update(head)
-        return head
-
     @staticmethod
     def _first(load, parts: list[int], moment: int, part: int) -> Tick | None:
         """The first tick of the slice from `moment` on."""
@@ -107,7 +126,7 @@ class WindowAlerts(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.ticks.clear()
-        self.following.clear()
+        self.known.clear()
         return iter(())
 
     def close(self) -> None:
@@ -124,7 +143,7 @@ def alert_stream(
     window: str = WINDOW,
     threshold: float = THRESHOLD,
     delay: str = "1 minute",
-    slice_width: str = "15 minutes",
+    slice_width: str = "1 hour",
     parts: int = PARTS,
 ) -> DataFrame:
     """Alerts in event time. A tick is compared with the ticks that arrived before or with it; one later than
