@@ -4,10 +4,10 @@ State is kept per symbol and slice of time (`slice_width`, an hour unless told o
 is spread over many keys; narrower slices spread more and cost more calls to the state store where ticks are few. A tick
 is remembered in its own slice, and its question, which is the first tick not older than the window, is asked where the
 window begins: in its own slice, or in the one before. If that one has no tick from there on, the answer is the oldest
-tick of the next slice, which the questions coming from there have handed over. The ticks of a slice are one small value
-as long as they are few; more lie in parts of a tenth of the window, each a value of a map state: a batch reads and
-writes only the parts that its ticks and questions fall into, whatever the slice holds. A timer drops a slice once the
-watermark has passed it by a window.
+tick of the next slice, which the questions coming from there have handed over.The ticks of a slice lie in chunks of some hundred in order, each a value of a map state, with their first ticks listed in
+one small value (which holds the ticks themselves as long as they are few): a batch reads and writes only the chunks that
+its ticks and questions fall into, whatever the slice holds, and a catch-up writes each chunk once. A timer drops a slice
+once the watermark has passed it by a window.
 
 `transformWithState` needs the RocksDB state store: start the stream inside `rocksdb_state`, or set it for the session.
 """
@@ -15,7 +15,7 @@ watermark has passed it by a window.
 from __future__ import annotations
 
 import sys
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from contextlib import AbstractContextManager
 
@@ -30,9 +30,9 @@ from candlewick.session import ROCKSDB, setting
 
 _OUTPUT = "symbol string, us long, id long, old_price string, new_price string, price_change_pct double"
 _TICKS = "us array<long>, id array<long>, price array<string>"
-_KNOWN = f"parts array<long>, {_TICKS}, next_us long, next_id long, next_price string"
-PARTS = 10  # of a window
-FEW = 64  # ticks of a slice that are kept in one value
+_KNOWN = f"first_us array<long>, first_id array<long>, chunk array<long>, {_TICKS}, next_us long, next_id long, next_price string"
+CHUNK = 512  # ticks of a chunk, up to twice as many before it is cut
+FEW = 64  # ticks of a slice that need no chunk
 
 
 # Executors get the class itself, so they need no copy of this package.
@@ -45,19 +45,66 @@ def _columns(ticks: list[Tick]) -> tuple[list, list, list]:
     return tuple(map(list, zip(*ticks))) if ticks else ([], [], [])
 
 
+class Chunks:
+    """The ticks of a slice in order, cut into chunks that are loaded and stored one by one."""
+
+    def __init__(self, state, firsts: list[tuple[int, int]], numbers: list[int], few: list[Tick]):
+        self.state, self.firsts, self.numbers, self.few = state, firsts, numbers, few
+        self.loaded: dict[int, list[Tick]] = {}
+
+    def load(self, place: int) -> list[Tick]:
+        number = self.numbers[place]
+        if number not in self.loaded:
+            self.loaded[number] = list(zip(*self.state.getValue((number,))))
+        return self.loaded[number]
+
+    def add(self, ticks: list[Tick]) -> None:
+        if not self.numbers and len(self.few) + len(ticks) <= FEW:
+            self.few = sorted([*self.few, *ticks])
+            return
+        placed: dict[int, list[Tick]] = {}
+        for tick in [*self.few, *ticks]:  # a tick before the first chunk belongs to it
+            placed.setdefault(max(0, bisect_right(self.firsts, tick[:2]) - 1), []).append(tick)
+        self.few = []
+        for place in sorted(placed, reverse=True):  # from behind, as a cut moves what follows
+            held = sorted([*(self.load(place) if self.numbers else []), *placed[place]])
+            size = len(held) if len(held) <= 2 * CHUNK else CHUNK
+            pieces = [held[i : i + size] for i in range(0, len(held), size)]
+            fresh = max(self.numbers, default=-1) + 1
+            own = [*self.numbers[place : place + 1], *range(fresh, fresh + len(pieces))][: len(pieces)]
+            for number, piece in zip(own, pieces):
+                self.loaded[number] = piece
+                self.state.updateValue((number,), _columns(piece))
+            self.numbers[place : place + 1] = own
+            self.firsts[place : place + 1] = [piece[0][:2] for piece in pieces]
+
+    def first(self, moment: int) -> Tick | None:
+        """The first tick from `moment` on."""
+        if self.few:
+            at = bisect_left(self.few, (moment,))
+            return self.few[at] if at < len(self.few) else None
+        place = bisect_left(self.firsts, (moment,))
+        if place:
+            before = self.load(place - 1)
+            at = bisect_left(before, (moment,))
+            if at < len(before):
+                return before[at]
+        return self.load(place)[0] if place < len(self.numbers) else None
+
+
 class WindowAlerts(StatefulProcessor):
     """Compares each new tick with the oldest tick of its window; a key is (symbol, start of a slice).
 
     `own` rows are ticks of the slice; `asks` says that the window begins in this slice too.
     """
 
-    def __init__(self, span: int, slice_span: int, threshold: float, parts: int = PARTS):
-        self.span, self.slice_span, self.threshold, self.part = span, slice_span, threshold, -(-span // parts)
+    def __init__(self, span: int, slice_span: int, threshold: float):
+        self.span, self.slice_span, self.threshold = span, slice_span, threshold
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.ticks = handle.getMapState("ticks", "part long", _TICKS)
-        # which parts there are, the ticks as long as they are few, the oldest tick of the next slice that has asked here
+        self.ticks = handle.getMapState("ticks", "chunk long", _TICKS)
+        # the chunks or the few ticks, and the oldest tick of the next slice that has asked here
         self.known = handle.getValueState("known", _KNOWN)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
@@ -67,63 +114,29 @@ class WindowAlerts(StatefulProcessor):
         following: list[Tick] = []
         for r in rows:
             tick = (r.us, r.id, r.price)
-            if r.own:
-                told.append(tick)
-            else:
-                following.append(tick)
+            (told if r.own else following).append(tick)
             if r.asks:
                 asked.append(tick)
-        known = self.known.get()
+        known = self.known.get()  # one value: going through the keys of a map state costs far more
         if known is None:
             self.handle.registerTimer((start + self.slice_span + self.span) // 1000)
-            parts, few, head = set(), [], None
-        else:
-            parts, few = set(known[0]), list(zip(*known[1:4]))
-            head = None if known[4] is None else tuple(known[4:])
-        loaded: dict[int, list[Tick]] = {}
-
-        def load(part: int) -> list[Tick]:
-            if part not in loaded:
-                loaded[part] = list(zip(*self.ticks.getValue((part,)))) if part in parts else []
-            return loaded[part]
-
-        if not parts and len(few) + len(told) <= FEW:
-            few = sorted([*few, *told])
+            chunks, head = Chunks(self.ticks, [], [], []), None
         else:
-            placed: dict[int, list[Tick]] = {}
-            for tick in [*few, *told]:
-                placed.setdefault((tick[0] - start) // self.part, []).append(tick)
-            few = []
-            for part, new in placed.items():
-                loaded[part] = sorted([*load(part), *new])
-                self.ticks.updateValue((part,), _columns(loaded[part]))
-            parts |= set(placed)
+            chunks = Chunks(self.ticks, list(zip(known[0], known[1])), list(known[2]), list(zip(*known[3:6])))
+            head = None if known[6] is None else tuple(known[6:])
+        if told:
+            chunks.add(told)
         oldest = min([head, *following] if head else following, default=None)
         if known is None or told or oldest != head:
-            self.known.update((sorted(parts), *_columns(few), *(oldest or (None, None, None))))
-        in_order = sorted(parts)
+            us, ids = zip(*chunks.firsts) if chunks.firsts else ((), ())
+            self.known.update((list(us), list(ids), chunks.numbers, *_columns(chunks.few), *(oldest or (None, None, None))))
         for us, id_, price in sorted(asked):
-            begin = us - self.span
-            if few:
-                at = bisect_left(few, (begin,))
-                old = few[at] if at < len(few) else oldest
-            else:
-                old = self._first(load, in_order, begin, (begin - start) // self.part) or oldest
+            old = chunks.first(us - self.span) or oldest
             before, after = float(old[2]), float(price)
             pct = (after - before) / before * 100 if before else 0.0
             if abs(pct) > self.threshold:
                 yield Row(symbol=symbol, us=us, id=id_, old_price=old[2], new_price=price, price_change_pct=pct)
 
-    @staticmethod
-    def _first(load, parts: list[int], moment: int, part: int) -> Tick | None:
-        """The first tick of the slice from `moment` on."""
-        for p in parts[bisect_left(parts, part) :]:
-            ticks = load(p)
-            at = bisect_left(ticks, (moment,)) if p == part else 0
-            if at < len(ticks):
-                return ticks[at]
-        return None
-
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.ticks.clear()
         self.known.clear()
@@ -144,7 +157,6 @@ def alert_stream(
     threshold: float = THRESHOLD,
     delay: str = "1 minute",
     slice_width: str = "1 hour",
-    parts: int = PARTS,
 ) -> DataFrame:
     """Alerts in event time. A tick is compared with the ticks that arrived before or with it; one later than
     `delay` is left out."""
@@ -165,7 +177,7 @@ def alert_stream(
         .select("time", "symbol", "id", "us", "price", "t.slice", "t.own", "t.asks")
     )
     alerts = placed.groupBy("symbol", "slice").transformWithState(
-        statefulProcessor=WindowAlerts(span, slice_span, threshold, parts),
+        statefulProcessor=WindowAlerts(span, slice_span, threshold),
         outputStructType=_OUTPUT,
         outputMode="Append",
         timeMode="EventTime",

@@ -15,7 +15,7 @@ from candlewick.schema import MESSAGES
 from candlewick.streaming import jobs
 from candlewick.sources.log import to_log_rows
 from candlewick.streaming import late
-from candlewick.streaming.alerts import WindowAlerts, alert_stream, rocksdb_state
+from candlewick.streaming.alerts import CHUNK, Chunks, WindowAlerts, alert_stream, rocksdb_state
 
 
 def write_batches(spark, folder, schema, *batches):
@@ -87,16 +87,32 @@ class Store:
         self.map.clear()
 
 
-def test_a_batch_touches_the_parts_of_its_ticks_only():
-    store, processor = Store(), WindowAlerts(300_000_000, 900_000_000, 10.0)
+def test_a_batch_touches_the_chunks_of_its_ticks_only():
+    store, processor = Store(), WindowAlerts(300_000_000, 3_600_000_000, 10.0)
     processor.init(store)
     row = lambda us, own, asks: SimpleNamespace(us=us, id=us, price="1", own=own, asks=asks)
-    for second in range(900):  # a tick a second, one batch each
-        list(processor.handleInputRows(("A", 0), iter([row(second * 1_000_000, True, second >= 300)]), None))
-    assert len(store.map) == 30 and set(store.timers) == {1_200_000}
-    store.touched = 0
-    assert list(processor.handleInputRows(("A", 0), iter([row(1_050_000_000, False, True)]), None)) == []
-    assert store.touched <= 30  # the tenth of a window where the question falls
+    for first in range(0, 30_000, 100):  # ten ticks a second, a batch every ten seconds
+        ticks = [row(n * 100_000, True, n >= 3_000) for n in range(first, first + 100)]
+        store.touched = 0
+        list(processor.handleInputRows(("A", 0), iter(ticks), None))
+        assert store.touched <= 4 * CHUNK
+    assert 30_000 / (2 * CHUNK) <= len(store.map) <= 30_000 / CHUNK + 1 and set(store.timers) == {3_900_000}
+    assert sorted(t for us, *_ in store.map.values() for t in us) == [n * 100_000 for n in range(30_000)]
+
+
+@pytest.mark.parametrize("batches", [1, 7, 60])
+def test_chunks_find_the_first_tick_in_any_order(batches):
+    rng = random.Random(batches)
+    ticks = [(rng.randrange(4000), i, str(i)) for i in range(6000)]
+    store, chunks, told = Store(), None, []
+    for n in range(batches):
+        chunks = Chunks(store, *([[], [], []] if chunks is None else [chunks.firsts, chunks.numbers, chunks.few]))
+        new = ticks[n * len(ticks) // batches : (n + 1) * len(ticks) // batches]
+        chunks.add(new)
+        told = sorted(told + new)
+        for moment in rng.sample(range(-5, 4010), 40):
+            assert chunks.first(moment) == next((t for t in told if t[0] >= moment), None)
+    assert chunks.firsts == sorted(chunks.firsts) and len(set(chunks.numbers)) == len(store.map)
 
 
 def test_the_oldest_tick_of_the_next_slice_is_handed_over():
