@@ -40,7 +40,8 @@ def _reader(time: str, part: str) -> Callable[[Iterator[pd.DataFrame]], Iterator
                 for g in range(footer.num_row_groups):
                     group = footer.row_group(g)
                     column = group.column(at)
-                    known = column.statistics if column.is_stats_set and column.statistics.has_min_max else None
+                    plain = column.is_stats_set and column.physical_type != "INT96"  # those have no order to compare by
+                    known = column.statistics if plain and column.statistics.has_min_max else None
                     ends = (_micros(known.min), _micros(known.max)) if known else (None, None)
                     size = sum(group.column(i).total_compressed_size for i in range(group.num_columns))
                     rows.append((path, length, g, group.num_rows, *ends, column.compression, size, of))
