@@ -217,9 +217,10 @@ def day_inventory(spark: SparkSession, path: str) -> DataFrame:
         F.count_if(F.col("first").isNull() & (F.col("rows") > 0)).alias("unknown"),
     )
     if not files.filter("unknown > 0").isEmpty():
-        read = spark.read.parquet(path).groupBy(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("_name"))
+        # a task gives the files of all its days one name
+        read = spark.read.parquet(path).groupBy(DAY, F.element_at(F.split("_metadata.file_path", "/"), -1).alias("_name"))
         read = read.agg(F.min("time").alias("_first"), F.max("time").alias("_last"))
-        named = files.withColumn("_name", F.element_at(F.split("file", "/"), -1)).join(read, "_name", "left")
+        named = files.withColumn("_name", F.element_at(F.split("file", "/"), -1)).join(read, [DAY, "_name"], "left")
         files = named.withColumns({"first": F.coalesce("_first", "first"), "last": F.coalesce("_last", "last")})
     return files.groupBy(DAY).agg(
         F.min("first").alias("range_start"),
