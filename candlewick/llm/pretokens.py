@@ -13,6 +13,7 @@ alone, contractions keep their apostrophe).
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import sys
 from collections.abc import Callable
@@ -124,16 +125,17 @@ class Pieces:
     def look_up(self, pieces: list[bytes]) -> np.ndarray:
         if len(self.index) > self.LIMIT:
             self.clear()
-        known = self.index.get
-        number = np.array([known(p, -1) for p in pieces], np.int64)
-        missing = np.flatnonzero(number < 0).tolist()
-        if missing:
-            new = [pieces[i] for i in missing]
-            plain = [p for p in new if p not in self.added]
+        number = np.fromiter(map(self.index.get, pieces, itertools.repeat(-1)), np.int64, len(pieces))
+        missing = np.flatnonzero(number < 0)
+        if len(missing):
+            new = [pieces[i] for i in missing.tolist()]
+            own = np.fromiter(map(self.added.__contains__, new), bool, len(new))
+            order = np.argsort(own, kind="stable")  # special strings last
+            number[missing[order]] = len(self.index) + np.arange(len(new))
+            plain = list(itertools.compress(new, ~own))
             self.learn(plain, *self.encode(plain))
-            own = [p for p in new if p in self.added]
-            self.learn(own, np.array([self.added[p] for p in own], np.uint32), np.ones(len(own), np.int64))
-            number[missing] = [self.index[pieces[i]] for i in missing]
+            special = list(itertools.compress(new, own))
+            self.learn(special, np.array([self.added[p] for p in special], np.uint32), np.ones(len(special), np.int64))
         return number
 
 

@@ -16,6 +16,7 @@ empty index and no file. Paths go through pyarrow's file systems, so the folder
 
 from __future__ import annotations
 
+import functools
 import struct
 import uuid
 from collections.abc import Iterator
@@ -55,22 +56,36 @@ def _byte_table() -> np.ndarray:
 _TABLE = _byte_table()
 
 
-def _skip_tables(zeros: int) -> np.ndarray:
-    """Four tables, one for each byte of a CRC register: the register after `zeros` more zero bytes."""
-    register = np.concatenate([np.arange(256, dtype=np.uint32) << np.uint32(8 * i) for i in range(4)])
+def _shifted(register: np.ndarray, zeros: int) -> np.ndarray:
+    """CRC registers after `zeros` more zero bytes."""
     for _ in range(zeros):
         register = _TABLE[register & np.uint32(255)] ^ (register >> np.uint32(8))
-    return register.reshape(4, 256)
+    return register
+
+
+# the register after four more bytes, by its lower and its upper half
+_LOW, _HIGH = (_shifted(np.arange(1 << 16, dtype=np.uint32) << np.uint32(at), 4) for at in (0, 16))
+
+
+@functools.cache
+def _skip_tables(level: int) -> np.ndarray:
+    """Four tables, one for each byte of a CRC register: the register after _LANE << level more zero bytes."""
+    if level:
+        half = _skip_tables(level - 1)
+        return _skipped(half.ravel(), half).reshape(4, 256)
+    return np.stack([_shifted(np.arange(256, dtype=np.uint32) << np.uint32(8 * i), _LANE) for i in range(4)])
 
 
-_SKIP = _skip_tables(_LANE)
+def _skipped(r: np.ndarray, tables: np.ndarray) -> np.ndarray:
+    return tables[0][r & 255] ^ tables[1][(r >> 8) & 255] ^ tables[2][(r >> 16) & 255] ^ tables[3][r >> 24]
 
 
 def crc32c(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """CRC-32C of the bytes between neighbouring offsets, for all of them together.
 
     Blocks of 64 bytes, filled up with zeros in front (which do not change an empty register), are worked off
-    side by side; then the blocks of each range are chained, again for all ranges side by side.
+    side by side, four bytes in a step; then neighbouring blocks of each range are joined, twice as many in each round,
+    again for all ranges side by side.
     """
     length = np.diff(offsets)
     n_blocks = -(-length // _LANE)
@@ -86,25 +101,27 @@ def crc32c(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     for i in range(4):
         some = own[length[own] > i]
         filled[first[some] * _LANE + front[some] + i] ^= 0xFF
-    lanes = filled.reshape(total, _LANE).T.copy()
+    lanes = filled.view("<u4").reshape(total, _LANE // 4).T.copy()
     block = np.zeros(total, np.uint32)
-    for byte in lanes:
-        block = _TABLE[(block ^ byte) & np.uint32(255)] ^ (block >> np.uint32(8))
+    for four in lanes:
+        block ^= four
+        block = _LOW[block & np.uint32(0xFFFF)] ^ _HIGH[block >> np.uint32(16)]
+    count, level = n_blocks, 0
+    while count.max(initial=0) > 1:  # pairs are counted from the end of a range; the first block may stay alone
+        left = (count + 1) // 2
+        before_end = np.repeat(np.cumsum(left), left) - 1 - np.arange(int(left.sum()))
+        right = np.repeat(np.cumsum(count), left) - 1 - 2 * before_end
+        pair = 2 * before_end + 1 < np.repeat(count, left)
+        joined = block[right]
+        joined[pair] ^= _skipped(block[right[pair] - 1], _skip_tables(level))
+        block, count, level = joined, left, level + 1
     register = np.zeros(len(length), np.uint32)
-    order = np.argsort(-n_blocks, kind="stable")  # longest first: each step handles a shrinking head
-    count = n_blocks[order]
-    for step in range(int(n_blocks.max(initial=0))):
-        some = order[: np.searchsorted(-count, -step, side="left")]
-        r = register[some]
-        shifted = _SKIP[0][r & 255] ^ _SKIP[1][(r >> 8) & 255] ^ _SKIP[2][(r >> 16) & 255] ^ _SKIP[3][r >> 24]
-        register[some] = shifted ^ block[first[some] + step]
-    register = register ^ np.uint32(0xFFFFFFFF)
+    register[own] = block ^ np.uint32(0xFFFFFFFF)
     for i in own[length[own] < 4].tolist():  # shorter than the register: byte by byte
         value = np.uint32(0xFFFFFFFF)
         for byte in data[offsets[i] : offsets[i + 1]].tolist():
             value = _TABLE[(value ^ np.uint32(byte)) & np.uint32(255)] ^ (value >> np.uint32(8))
         register[i] = value ^ np.uint32(0xFFFFFFFF)
-    register[length == 0] = 0
     return register
 
 

@@ -1,9 +1,11 @@
 """BPE, token records and token counts against the tokenizer library."""
 
 import hashlib
+import json
 import os
 import random
 import shutil
+import time
 import zlib
 
 import numpy as np
@@ -78,6 +80,32 @@ def test_forgetting_rare_pieces_changes_nothing():
     assert len(encoder.index) < 100 and b" word" in encoder.index
 
 
+def test_new_pieces_go_through_the_fast_form_of_the_library():
+    class Fast:
+        def __init__(self, library):
+            self.encode_batch_fast, self.cut = library.encode_batch_fast, library.pre_tokenizer
+
+    encoder = pieces.LibraryEncoder(CONTENT)
+    encoder.library = Fast(encoder.library)
+    texts = ["".join(random.Random(i).choices("ab é日😀'1\n", k=3000)) for i in range(5)] + ["", "<|endoftext|>x", "x" * 700]
+    ids, at = encoder(*flat(texts))
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [expected(t) for t in texts]
+    assert not json.loads(encoder.library.cut.__getstate__())["use_regex"]
+
+
+@pytest.mark.parametrize("unknown", ["<unk>", None])
+def test_a_vocabulary_without_some_bytes(unknown):
+    spec = json.loads(CONTENT)
+    vocab = {c: i for i, c in enumerate(["a", "b", "ab", "Ġ", "Ġa", *([unknown] if unknown else [])])}
+    spec["model"] |= {"vocab": vocab, "merges": [["a", "b"], ["Ġ", "a"]], "unk_token": unknown}
+    spec["added_tokens"] = []
+    content = json.dumps(spec).encode()
+    library = tokenizers.Tokenizer.from_buffer(content)
+    texts = ["ab cab a", "c", "dd ab", "", "ab"]
+    ids, at = pieces.LibraryEncoder(content)(*flat(texts))
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [library.encode(t).ids for t in texts]
+
+
 def test_digests(spark):
     rows = [(i, t, "s", "en") for i, t in enumerate(HARD)] + [(1, "again", "s", "en"), (1, "again", "s", "en"), (None, "x", None, None)]
     df = spark.createDataFrame(rows, DOCS).selectExpr("*", "'clash' as ids", "0 as n_tokens")
@@ -102,6 +130,39 @@ def test_checksums_of_known_values():
         assert records.crc32c(np.frombuffer(data, np.uint8), np.array([0, len(data)])).tolist() == [crc]
 
 
+def plain_crc32c(data):
+    crc = 0xFFFFFFFF
+    for byte in data:
+        crc ^= byte
+        for _ in range(8):
+            crc = (crc >> 1) ^ (0x82F63B78 if crc & 1 else 0)
+    return crc ^ 0xFFFFFFFF
+
+
+def test_checksums_equal_bit_by_bit_ones():
+    rng = np.random.default_rng(5)
+    lengths = [*range(12), 63, 64, 65, 127, 128, 129, 192, 193, 0, 256, 257, 449, 1000, 3, 4097, 0, 9000, 1]
+    data = rng.integers(0, 256, sum(lengths), dtype=np.uint8)
+    data[4000:4300] = 0
+    at = np.concatenate([[0], np.cumsum(lengths)])
+    assert records.crc32c(data, at).tolist() == [plain_crc32c(data[a:b].tobytes()) for a, b in zip(at, at[1:])]
+    inner = at[5:]  # offsets need not begin at 0
+    assert records.crc32c(data, inner).tolist() == records.crc32c(data, at).tolist()[5:]
+
+
+def test_checksum_of_a_long_record_costs_what_its_bytes_cost():
+    data = np.random.default_rng(6).integers(0, 256, 1 << 20, dtype=np.uint8)
+    best = []
+    for at in (np.array([0, 1 << 20]), np.arange(0, (1 << 20) + 1, 1 << 12)):
+        times = []
+        for _ in range(5):
+            began = time.thread_time()
+            records.crc32c(data, at)
+            times.append(time.thread_time() - began)
+        best.append(min(times))
+    assert best[0] < 3 * best[1]
+
+
 def test_checksums_side_by_side_equal_one_by_one():
     rng = np.random.default_rng(1)
     data = rng.integers(0, 256, 5000, dtype=np.uint8)
