@@ -26,3 +26,9 @@ def test_entry_without_the_operators(tmp_path, gone):
 
 def test_entry_without_a_library():
     assert shown(ROOT, "import sys; sys.modules['xxhash'] = None\n") == ["True", "False", "False"]
+
+
+def test_entry_takes_no_pipeline_of_another_folder(tmp_path, monkeypatch):
+    monkeypatch.setenv("PYTHONPATH", str(ROOT))
+    test_entry_without_the_operators(tmp_path, ["corpus_pipeline.py"])
+    assert shown(ROOT) == ["True", "True", "True"]
